@@ -169,13 +169,15 @@ def unescape_html(text: Column) -> Column:
     The text is cut at each `&`; the head of every later piece is decoded from a table that
     the standard library's own reference list fills, and the rest is put back unchanged.
     """
-    named = {name: value for name, value in html5.items() if name.endswith(";")}
+    named = _constant_map({name: value for name, value in html5.items() if name.endswith(";")})
     bare = sorted((name for name in html5 if not name.endswith(";")), key=len, reverse=True)
-    bare_values = {name: html5[name] for name in bare}
+    bare_values = _constant_map({name: html5[name] for name in bare})
     bare_pattern = "^(" + "|".join(bare) + ")"
+    # met first, so that the usual references skip the long table
+    usual = _constant_map({name: html5[name] for name in ("amp;", "lt;", "gt;", "quot;", "nbsp;", "apos;")})
     # low code points that do not stand for themselves: controls and the 0x80 block
-    odd = {n: html.unescape(f"&#{n};") for n in range(160) if html.unescape(f"&#{n};") != chr(n)}
-    odd_points = F.create_map(*[F.lit(x) for pair in odd.items() for x in pair])
+    odd = {str(n): html.unescape(f"&#{n};") for n in range(160) if html.unescape(f"&#{n};") != chr(n)}
+    odd_points = _constant_map(odd)
 
     def from_point(point: Column) -> Column:
         surrogate = point.between(0xD800, 0xDFFF)
@@ -184,7 +186,7 @@ def unescape_html(text: Column) -> Column:
         return first_match(
             [
                 (point.isNull() | (point > 0x10FFFF) | surrogate, F.lit("�")),
-                (odd_points[point.cast("int")].isNotNull(), odd_points[point.cast("int")]),
+                (odd_points[point.cast("string")].isNotNull(), odd_points[point.cast("string")]),
                 (noncharacter, F.lit("")),
             ],
             default=decoded,
@@ -209,8 +211,9 @@ def unescape_html(text: Column) -> Column:
             [
                 (decimal != "", F.concat(from_point(point), after(decimal))),
                 (hexadecimal != "", F.concat(from_point(hex_point), after(hexadecimal))),
-                ((name != "") & mapped(name, named).isNotNull(), F.concat(mapped(name, named), after(name))),
-                (legacy != "", F.concat(mapped(legacy, bare_values), after(legacy))),
+                ((name != "") & usual[name].isNotNull(), F.concat(usual[name], after(name))),
+                ((name != "") & named[name].isNotNull(), F.concat(named[name], after(name))),
+                (legacy != "", F.concat(bare_values[legacy], after(legacy))),
             ],
             default=F.concat(F.lit("&"), piece),
         )
@@ -221,6 +224,12 @@ def unescape_html(text: Column) -> Column:
     return F.when(text.contains("&"), whole).otherwise(text)
 
 
+def _constant_map(table: Mapping[str, str]) -> Column:
+    """A map constant that travels to the JVM as one string, however many entries it has."""
+    entries = "\x02".join(f"{key}\x01{value}" for key, value in table.items())
+    return F.str_to_map(F.lit(entries), F.lit("\x02"), F.lit("\x01"))
+
+
 def clean_lowered(text: Column, decode: bool = True) -> Column:
     """Lower-case text of letters, digits, `'` and `.`, with each sentence capitalised."""
     text = unescape_html(text) if decode else text
