@@ -23,11 +23,14 @@ PROBLEM_RULES = (
 )
 
 
-def clean_reviews(reviews: DataFrame, as_of: str, accents: str = "fold") -> DataFrame:
+def clean_reviews(
+    reviews: DataFrame, as_of: str, accents: str = "fold", check_order: bool = True
+) -> DataFrame:
     """Distinct valid reviews with plain text, a comment flag and the score's z-score.
 
     Score statistics cover all rows with a valid score, before the date checks. `as_of` is the
-    day after which a review counts as being in the future.
+    day after which a review counts as being in the future; `check_order` drops reviews that
+    were answered before they were written.
     """
     typed = reviews.withColumns(
         {
@@ -42,7 +45,8 @@ def clean_reviews(reviews: DataFrame, as_of: str, accents: str = "fold") -> Data
     scored = known.distinct().filter(F.col("review_score").between(1, 5))
     judged = stats.add_zscore(scored, "review_score", "review_score_zscore", "is_outlier", rules.OUTLIER_SIGMAS)
     created, answered = F.col("review_creation_date"), F.col("review_answer_timestamp")
-    return judged.filter(dates.not_after_day(created, as_of) & (answered >= created))
+    past = judged.filter(dates.not_after_day(created, as_of))
+    return past.filter(answered >= created) if check_order else past
 
 
 def rate_reviews(reviews: DataFrame) -> DataFrame:
