@@ -61,7 +61,7 @@ def sql_initcap(text: str) -> str:
 
 def sql_title(text: str, small: tuple[str, ...]) -> str:
     keep = f"lower(w) in ({sql_list(small)}) and i > 1" if small else "false"
-    big = "case when w[1] = 'ß' then 'SS' else upper(w[1]) end || lower(w[2:])"
+    big = "case when w[1] = 'ß' then 'Ss' else upper(w[1]) end || lower(w[2:])"
     return (
         f"case when {text} <> '' then array_to_string(list_transform("
         f"list_filter(string_split({sql_collapse(text)}, ' '), lambda w: w <> ''), "

@@ -320,8 +320,9 @@ def text_quality_score(spark: SparkSession, folder: str) -> DataFrame:
         from (select doc_id, text, {_V1} as c from documents)""",
 )
 def text_change_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    metrics = text.change_metrics(F.col("text"), text.clean_lowered(F.col("text")))
-    return table(spark, folder, "documents").select(
+    metrics = text.change_metrics(F.col("text"), F.col("cleaned"))
+    cleaned = table(spark, folder, "documents").withColumn("cleaned", text.clean_lowered(F.col("text")))
+    return cleaned.select(
         "doc_id", *[column.alias(name) for name, column in metrics.items()]
     )
 

@@ -43,3 +43,12 @@ def floor_at_zero(value: Column) -> Column:
 def safe_ratio(top: Column, bottom: Column, digits: int) -> Column:
     """`top / bottom` rounded, null where the divisor is zero or null."""
     return F.round(F.try_divide(top.cast("double"), bottom.cast("double")), digits)
+
+
+def parse_integer(text: Column, kind: str = "bigint") -> Column:
+    """A whole number out of text, null for anything else.
+
+    Text that is no number is told apart before the cast, which would raise and catch an
+    exception for each such row.
+    """
+    return F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text.try_cast(kind))

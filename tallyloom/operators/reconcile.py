@@ -17,33 +17,62 @@ def count_reconcile(source: DataFrame, copy: DataFrame, table: str) -> DataFrame
     return counts.select(F.lit(table).alias("table_name"), "*", gap.alias("row_gap"), status.alias("status"))
 
 
-def column_contents(df: DataFrame, distinct: bool = True, checksum: bool = True) -> DataFrame:
-    """Per column: type, values, distinct values and an order-free checksum.
+def distinct_values(df: DataFrame) -> DataFrame:
+    """Exact number of distinct values per column, nulls apart.
 
-    Distinct values are counted exactly through one unpivot to (column, value) pairs, which
-    partial aggregation shrinks before the shuffle. The checksum is the sum of row hashes.
+    Columns of one type are unpivoted together to (column, value) pairs, in their own type, and
+    partial aggregation shrinks the pairs before the shuffle. Each type reads its columns only.
     """
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    as_text = [F.col(f"`{c}`").cast("string").alias(c) for c in df.columns]
-    long = df.select(*as_text).unpivot([], list(df.columns), "column_name", "value")
-    pairs = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-    hashed = F.xxhash64("value").cast("decimal(38,0)") * F.col("n").cast("decimal(19,0)")
-    measures = [
-        F.sum(F.when(F.col("value").isNotNull(), F.col("n")).otherwise(0)).alias("values"),
-        F.sum("n").alias("row_count"),
-    ]
-    if distinct:
-        measures.append(F.count("value").alias("distinct_values"))
-    if checksum:
-        measures.append(F.sum(F.when(F.col("value").isNotNull(), hashed)).alias("checksum"))
-    kinds = F.create_map(*[F.lit(x) for pair in types.items() for x in pair])
-    return pairs.groupBy("column_name").agg(*measures).withColumn("data_type", kinds[F.col("column_name")])
-
-
-def column_reconcile(source: DataFrame, copy: DataFrame, checksum: bool = True) -> DataFrame:
+    by_type: dict[str, list[str]] = {}
+    for field in df.schema.fields:
+        by_type.setdefault(field.dataType.simpleString(), []).append(field.name)
+    counts = None
+    for names in by_type.values():
+        quoted = [F.col(f"`{name}`") for name in names]
+        pairs = df.select(*quoted).unpivot([], quoted, "column_name", "value").distinct()
+        counted = pairs.groupBy("column_name").agg(F.count("value").alias("distinct_values"))
+        counts = counted if counts is None else counts.unionByName(counted)
+    return counts
+
+
+def column_contents(df: DataFrame, distinct: str | None = "exact", checksum: bool = True) -> DataFrame:
+    """Per column: type, rows, values, distinct values and an order-free checksum.
+
+    `distinct="approx"` estimates distinct values in the same single pass as the rest; `"exact"`
+    adds a shuffle of the distinct (column, value) pairs; `None` leaves them out. The checksum
+    is the sum of the value hashes.
+    """
+    if distinct not in ("exact", "approx", None):
+        raise ValueError(f"distinct must be 'exact', 'approx' or None, not {distinct!r}")
+    per_column = []
+    for field in df.schema.fields:
+        value = F.col(f"`{field.name}`")
+        measures = [
+            F.lit(field.name).alias("column_name"),
+            F.lit(field.dataType.simpleString()).alias("data_type"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.count(value).alias("values"),
+        ]
+        if distinct == "approx":
+            measures.append(F.approx_count_distinct(value).alias("distinct_values"))
+        if checksum:
+            hashed = F.when(value.isNotNull(), F.xxhash64(value).cast("decimal(20,0)"))
+            measures.append(F.sum(hashed).alias("checksum"))
+        per_column.append(F.struct(*measures))
+    contents = df.agg(F.array(*per_column).alias("columns")).select(F.inline("columns"))
+    if distinct == "exact":
+        # both sides have one row per column
+        contents = contents.join(F.broadcast(distinct_values(df)), "column_name", "left")
+        contents = contents.withColumn("distinct_values", F.coalesce("distinct_values", F.lit(0)))
+    return contents
+
+
+def column_reconcile(
+    source: DataFrame, copy: DataFrame, distinct: str | None = "exact", checksum: bool = True
+) -> DataFrame:
     """Both sides column by column. Columns of one side only are reported as such."""
-    left = column_contents(source, checksum=checksum)
-    right = column_contents(copy, checksum=checksum)
+    left = column_contents(source, distinct, checksum)
+    right = column_contents(copy, distinct, checksum)
     measures = [c for c in left.columns if c not in ("column_name", "row_count")]
     left = left.select("column_name", *[F.col(c).alias(f"source_{c}") for c in measures])
     right = right.select(
@@ -78,11 +107,14 @@ def parity(left: DataFrame, right: DataFrame, category: str, names: tuple[str, s
     return measured(left, names[0]).unionByName(measured(right, names[1]))
 
 
-def data_dictionary(tables: Mapping[str, DataFrame]) -> DataFrame:
-    """Table, column, position, type, rows, nulls, distinct values, and whether it could be a key."""
+def data_dictionary(tables: Mapping[str, DataFrame], distinct: str = "exact") -> DataFrame:
+    """Table, column, position, type, rows, nulls, distinct values, and whether it could be a key.
+
+    The verdict on keys needs `distinct="exact"`; an estimate makes it a guess.
+    """
     parts = []
     for table, df in tables.items():
-        contents = column_contents(df, checksum=False)
+        contents = column_contents(df, distinct, checksum=False)
         positions = F.create_map(*[F.lit(x) for i, c in enumerate(df.columns, 1) for x in (c, i)])
         nulls = F.col("row_count") - F.col("values")
         is_key = (nulls == 0) & (F.col("distinct_values") == F.col("row_count"))

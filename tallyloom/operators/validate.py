@@ -7,10 +7,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql.types import ByteType, DataType, IntegerType, LongType, ShortType, StringType, StructType
 
 from tallyloom.functions.ladders import first_match
-from tallyloom.functions.numbers import percent
+from tallyloom.functions.numbers import parse_integer, percent
 from tallyloom.operators.dedup import distinct_with_copies
 from tallyloom.operators.joins import orphans
 
@@ -49,9 +49,14 @@ def conform(
     """Select, order, rename and cast to a publish schema. Values that do not convert become null."""
     fields = {f.name: f.dataType for f in schema.fields} if isinstance(schema, StructType) else schema
     origin = {new: old for old, new in (renames or {}).items()}
-    return df.select(
-        *[F.col(origin.get(name, name)).try_cast(kind).alias(name) for name, kind in fields.items()]
-    )
+
+    def converted(name: str, kind: DataType) -> Column:
+        source = origin.get(name, name)
+        if isinstance(kind, (ByteType, ShortType, IntegerType, LongType)) and isinstance(df.schema[source].dataType, StringType):
+            return parse_integer(F.col(source), kind.simpleString())
+        return F.col(source).try_cast(kind)
+
+    return df.select(*[converted(name, kind).alias(name) for name, kind in fields.items()])
 
 
 def flag_rules(df: DataFrame, rules: Sequence[Rule], count: str = "broken_rules") -> DataFrame:

@@ -88,11 +88,10 @@ def translate_reviews(cleaned: DataFrame, dictionary: DataFrame) -> DataFrame:
             translated, dictionary, column, "source_text", "translated_text", f"translated_{name}"
         )
     message = F.col("translated_message")
-    cleaned_message = text.correct_words(text.clean_lowered(message), rules.WORD_CORRECTIONS)
-    return translated.withColumns(
+    corrected = text.correct_words(text.clean_lowered(message), rules.WORD_CORRECTIONS)
+    return translated.withColumn("cleaned_message", corrected).withColumns(
         {
-            "cleaned_message": cleaned_message,
-            **text.change_metrics(message, cleaned_message),
+            **text.change_metrics(message, F.col("cleaned_message")),
             "final_translated_title": text.clean_cased(F.col("translated_title")),
             "final_translated_message": text.clean_cased(message),
         }
