@@ -12,6 +12,7 @@ from tallyloom.functions import dates, text
 from tallyloom.functions.ladders import at_least, group_of
 from tallyloom.functions.numbers import percent
 from tallyloom.operators import classify, joins, report, stats, validate
+from tallyloom.operators.scalars import with_scalar
 from tallyloom.plans import orders as order_plans
 from tallyloom.plans import rules
 
@@ -318,8 +319,9 @@ def coverage_stats(spark: SparkSession, folder: str) -> DataFrame:
 def quantile_tiers(spark: SparkSession, folder: str) -> DataFrame:
     value = F.when(F.col("p_type") != "PROMO", F.col("p_retailprice") - 890)
     rows = table(spark, folder, "part").select("p_partkey", value.alias("v"))
-    q = stats.quartiles(rows, ["v"])["v"]
-    return rows.select("p_partkey", stats.volume_tier(F.col("v"), q).alias("tier"))
+    q = stats.quartiles(rows, ["v"])
+    tiers = with_scalar(rows, q, lambda q: {"tier": stats.volume_tier(F.col("v"), q["v"])})
+    return tiers.select("p_partkey", "tier")
 
 
 @bound(
@@ -332,8 +334,9 @@ def quantile_tiers(spark: SparkSession, folder: str) -> DataFrame:
 )
 def weight_category(spark: SparkSession, folder: str) -> DataFrame:
     rows = dimensions(spark, folder)
-    q = stats.quartiles(rows, ["wt"])["wt"]
-    return rows.select("p_partkey", stats.weight_category(F.col("wt"), q, 920).alias("category"))
+    q = stats.quartiles(rows, ["wt"])
+    tiers = with_scalar(rows, q, lambda q: {"category": stats.weight_category(F.col("wt"), q["wt"], 920)})
+    return tiers.select("p_partkey", "category")
 
 
 _QUARTERS_SQL = f"""(select {", ".join(f"quantile_disc({c}, {s}) as {n}{i}"
@@ -352,10 +355,11 @@ _QUARTERS_SQL = f"""(select {", ".join(f"quantile_disc({c}, {s}) as {n}{i}"
 def complexity_class(spark: SparkSession, folder: str) -> DataFrame:
     rows = dimensions(spark, folder).withColumn("vol", F.col("len") * F.col("hei") * F.col("wid"))
     q = stats.quartiles(rows, ["dsc", "vol", "wt"])
-    level = classify.product_complexity(
-        F.col("dsc"), F.col("pho"), F.col("vol"), F.col("wt"), q["dsc"], q["vol"], q["wt"]
+    measures = [F.col(c) for c in ("dsc", "pho", "vol", "wt")]
+    levels = with_scalar(
+        rows, q, lambda q: {"complexity": classify.product_complexity(*measures, q["dsc"], q["vol"], q["wt"])}
     )
-    return rows.select("p_partkey", level.alias("complexity"))
+    return levels.select("p_partkey", "complexity")
 
 
 @bound(
@@ -368,8 +372,11 @@ def shipping_class(spark: SparkSession, folder: str) -> DataFrame:
     rows = dimensions(spark, folder).withColumn("vol", F.col("len") * F.col("hei") * F.col("wid"))
     q = stats.quartiles(rows, ["vol", "wt"])
     sides = [F.col(c) for c in ("len", "hei", "wid")]
-    level = classify.shipping_complexity(F.col("wt"), F.col("vol"), sides, q["wt"], q["vol"], 45)
-    return rows.select("p_partkey", level.alias("shipping"))
+    wt, vol = F.col("wt"), F.col("vol")
+    levels = with_scalar(
+        rows, q, lambda q: {"shipping": classify.shipping_complexity(wt, vol, sides, q["wt"], q["vol"], 45)}
+    )
+    return levels.select("p_partkey", "shipping")
 
 
 _TYPE_GROUPS = {"Basic": ("standard", "economy"), "Sized": ("small", "medium", "large")}
@@ -397,7 +404,9 @@ def state_market_share(spark: SparkSession, folder: str) -> DataFrame:
     total = supplier.agg(F.count(F.lit(1))).scalar()
     placed = supplier.join(nation, supplier["s_nationkey"] == nation["n_nationkey"]).select("s_suppkey", "n_name")
     counted = joins.attach_group_counts(placed, {"suppliers_in_nation": ["n_name"]})
-    return counted.withColumn("market_share", percent(F.col("suppliers_in_nation"), total))
+    return with_scalar(
+        counted, total, lambda t: {"market_share": percent(F.col("suppliers_in_nation"), t)}
+    )
 
 
 _NATION_GROUPS = {

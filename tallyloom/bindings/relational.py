@@ -12,6 +12,7 @@ from tallyloom.functions.ladders import first_match
 from tallyloom.functions.numbers import null_if_not_positive, percent, percent_decimal, percent_text
 from tallyloom.functions.text import slug_title
 from tallyloom.operators import dedup, joins, report, stats, validate
+from tallyloom.operators.scalars import with_scalar
 
 
 def _ship_dates(spark: SparkSession, folder: str) -> DataFrame:
@@ -401,12 +402,16 @@ def value_distribution(spark: SparkSession, folder: str) -> DataFrame:
 def percent_formats(spark: SparkSession, folder: str) -> DataFrame:
     counts = table(spark, folder, "customer").groupBy("c_mktsegment").agg(F.count(F.lit(1)).alias("n"))
     total, n = counts.agg(F.sum("n")).scalar(), F.col("n")
-    return counts.select(
-        "c_mktsegment",
-        percent(n, total).alias("pct"),
-        percent_text(n, total).alias("pct_text"),
-        percent_decimal(n, total).cast("double").alias("pct_decimal"),
+    shares = with_scalar(
+        counts,
+        total,
+        lambda t: {
+            "pct": percent(n, t),
+            "pct_text": percent_text(n, t),
+            "pct_decimal": percent_decimal(n, t).cast("double"),
+        },
     )
+    return shares.drop("n")
 
 
 @bound(

@@ -53,6 +53,9 @@ def attach_group_counts(
     combined = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
     figures = combined
     for name, grouping in counts.items():
+        if set(grouping) == set(keys):
+            figures = figures.withColumn(name, F.col("__rows"))
+            continue
         sums = combined.groupBy(*grouping).agg(F.sum("__rows").alias(name))
         sums = sums.withColumnsRenamed({key: f"__{key}" for key in grouping})
         figures = figures.join(sums, _same_keys(figures, sums, grouping)).drop(*[f"__{k}" for k in grouping])

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import FractionalType, NumericType
 
 from tallyloom.functions.numbers import percent
+from tallyloom.operators.scalars import with_scalar
 
 
 def null_profile(df: DataFrame, nan_is_null: bool = False) -> DataFrame:
@@ -80,7 +81,7 @@ def with_share(counts: DataFrame, count: str = "row_count", name: str = "pct") -
     window over all groups would put a high-cardinality result into one task.
     """
     total = counts.agg(F.sum(count)).scalar()
-    return counts.withColumn(name, percent(F.col(count), total))
+    return with_scalar(counts, total, lambda t: {name: percent(F.col(count), t)})
 
 
 def value_distribution(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -97,8 +98,8 @@ def distribution_report(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     values = [F.col(c).cast("string").alias(c) for c in columns]
     long = df.select(*values).unpivot([], list(columns), "column_name", "value")
     counts = long.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("row_count"))
-    total = F.call_function("div", counts.agg(F.sum("row_count")).scalar(), F.lit(len(columns)))
-    return counts.withColumn("pct", percent(F.col("row_count"), total))
+    total = counts.agg(F.call_function("div", F.sum("row_count"), F.lit(len(columns)))).scalar()
+    return with_scalar(counts, total, lambda t: {"pct": percent(F.col("row_count"), t)})
 
 
 def top_groups(df: DataFrame, keys: Sequence[str], k: int, largest: bool = True) -> DataFrame:

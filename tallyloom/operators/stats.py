@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions.ladders import at_most
 from tallyloom.operators.joins import attach_by_key
+from tallyloom.operators.scalars import with_scalar
 from tallyloom.session import materialise
 
 
@@ -79,11 +80,11 @@ def flag_upper_outliers(df: DataFrame, columns: Mapping[str, str], sigmas: float
     ]
     stats = df.agg(F.struct(*moments).alias("stats")).scalar()
 
-    def above(column: str) -> Column:
+    def above(stats: Column, column: str) -> Column:
         limit = stats[column]["mean"] + F.lit(sigmas) * stats[column]["sd"]
         return F.coalesce(F.col(column) > limit, F.lit(False))
 
-    return df.withColumns({flag: above(column) for column, flag in columns.items()})
+    return with_scalar(df, stats, lambda s: {flag: above(s, c) for c, flag in columns.items()})
 
 
 def add_zscore(
@@ -92,8 +93,10 @@ def add_zscore(
     """Absolute z-score and a two-sided outlier flag; both null where there is no spread."""
     moments = F.struct(F.avg(column).alias("mean"), F.stddev_samp(column).alias("sd"))
     stats = df.agg(moments.alias("stats")).scalar()
-    distance = F.abs(F.try_divide(F.col(column) - stats["mean"], stats["sd"]))
-    return df.withColumn(score, distance).withColumn(flag, F.col(score) > sigmas)
+    scored = with_scalar(
+        df, stats, lambda s: {score: F.abs(F.try_divide(F.col(column) - s["mean"], s["sd"]))}
+    )
+    return scored.withColumn(flag, F.col(score) > sigmas)
 
 
 def quartiles(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> Column:

@@ -9,6 +9,7 @@ from tallyloom.functions import text
 from tallyloom.functions.ladders import at_least, group_of
 from tallyloom.functions.numbers import percent
 from tallyloom.operators import classify, joins, stats
+from tallyloom.operators.scalars import with_scalar
 from tallyloom.plans import rules
 
 CUSTOMER_COLUMNS = (
@@ -85,15 +86,17 @@ def clean_sellers(sellers: DataFrame, keep_null_city: bool = True) -> DataFrame:
     city, state = F.col("seller_city"), F.col("seller_state")
     classed = counted.withColumns(
         {
-            "state_market_share": percent(F.col("sellers_in_state"), total),
             "metropolitan_area": group_of(city, rules.METRO_CITIES, "Other"),
             "seller_region": group_of(state, rules.REGION_STATES, "Unknown"),
             "city_size": at_least(F.col("sellers_in_city"), rules.CITY_SIZE_STEPS, rules.CITY_SIZE_LAST),
             "seller_density": at_least(F.col("sellers_in_city"), rules.DENSITY_STEPS, rules.DENSITY_LAST),
         }
     )
+    shared = with_scalar(
+        classed, total, lambda t: {"state_market_share": percent(F.col("sellers_in_state"), t)}
+    )
     proximity = classify.market_proximity(F.col("metropolitan_area"), state, rules.NEAR_MARKET_STATES)
-    placed = classed.withColumn("market_proximity", proximity)
+    placed = shared.withColumn("market_proximity", proximity)
     potential = classify.business_potential(F.col("market_proximity"), F.col("seller_density"))
     return placed.withColumn("business_potential", potential)
 

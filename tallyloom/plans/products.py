@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.functions import text
 from tallyloom.functions.ladders import group_of
 from tallyloom.functions.numbers import floor_at_zero, null_if_not_positive, safe_ratio
 from tallyloom.operators import classify, joins, stats
+from tallyloom.operators.scalars import with_scalar
 from tallyloom.plans import rules
 
 SIDES = ("product_length_cm", "product_height_cm", "product_width_cm")
@@ -85,10 +86,11 @@ def clean_products(products: DataFrame, categories: DataFrame, drop_missing: boo
     weight, volume = F.col("product_weight_g"), F.col("product_volume_cm3")
     measured = measured.withColumn("product_density_g_cm3", safe_ratio(weight, volume, 3))
     q = stats.quartiles(measured, ["product_volume_cm3", "product_weight_g", "product_description_length"])
-    qv, qw, qd = q["product_volume_cm3"], q["product_weight_g"], q["product_description_length"]
     sides = [F.col(c) for c in SIDES]
-    return measured.withColumns(
-        {
+
+    def classes(q: Column) -> dict[str, Column]:
+        qv, qw, qd = q["product_volume_cm3"], q["product_weight_g"], q["product_description_length"]
+        return {
             "volume_tier": stats.volume_tier(volume, qv),
             "weight_category": stats.weight_category(weight, qw, rules.ULTRA_LIGHT_GRAMS),
             "product_complexity": classify.product_complexity(
@@ -97,6 +99,7 @@ def clean_products(products: DataFrame, categories: DataFrame, drop_missing: boo
             "shipping_complexity": classify.shipping_complexity(
                 weight, volume, sides, qw, qv, rules.LONG_SIDE_CM
             ),
-            "category_group": group_of(F.lower("product_category_name"), rules.CATEGORY_GROUPS, "Other"),
         }
-    )
+
+    group = group_of(F.lower("product_category_name"), rules.CATEGORY_GROUPS, "Other")
+    return with_scalar(measured, q, classes).withColumn("category_group", group)

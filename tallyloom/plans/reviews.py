@@ -9,6 +9,7 @@ from tallyloom.functions import dates, text
 from tallyloom.operators import joins, stats
 from tallyloom.operators.validate import Rule
 from tallyloom.plans import rules
+from tallyloom.session import materialise
 
 TEXTS = ("review_comment_title", "review_comment_message")
 TIMES = ("review_creation_date", "review_answer_timestamp")
@@ -42,7 +43,8 @@ def clean_reviews(
     )
     known = typed.dropna(subset=["review_id", "order_id"])
     known = known.withColumn("has_comment", text.has_text(F.col("review_comment_message")))
-    scored = known.distinct().filter(F.col("review_score").between(1, 5))
+    # written once: the score statistics and the result would each shuffle all texts otherwise
+    scored = materialise(known.distinct().filter(F.col("review_score").between(1, 5)), "reviews")
     judged = stats.add_zscore(scored, "review_score", "review_score_zscore", "is_outlier", rules.OUTLIER_SIGMAS)
     created, answered = F.col("review_creation_date"), F.col("review_answer_timestamp")
     past = judged.filter(dates.not_after_day(created, as_of))
