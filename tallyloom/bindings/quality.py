@@ -20,8 +20,8 @@ _LINE_TYPES = {
 
 def _sql_profile(column: str, kind: str) -> str:
     numeric = kind in ("bigint", "int", "double")
-    mean = f"round(avg({column}), 4)" if numeric else "null::double"
-    sd = f"round(stddev_samp({column}), 4)" if numeric else "null::double"
+    mean = f"round(avg({column})::decimal(38,12), 4)::double" if numeric else "null::double"
+    sd = f"round(stddev_samp({column})::decimal(38,12), 4)::double" if numeric else "null::double"
     return f"""select '{column}' as column_name, '{kind}' as data_type, count(*) as row_count,
         count(*) - count({column}) as null_count, min({column})::varchar as min_value,
         max({column})::varchar as max_value, {mean} as mean, {sd} as stddev, 0.0::double as null_pct from lineitem"""
@@ -269,7 +269,7 @@ def data_dictionary(spark: SparkSession, folder: str) -> DataFrame:
 
 @bound(
     "review_stats",
-    """select count(*) as total_reviews, count(distinct conv_id) as unique_reviews, round(avg(turn), 4) as avg_score,
+    """select count(*) as total_reviews, count(distinct conv_id) as unique_reviews, round(avg(turn)::decimal(38,12), 4)::double as avg_score,
        count(nullif(role, 'user')) as reviews_with_text from conversations""",
 )
 def review_stats(spark: SparkSession, folder: str) -> DataFrame:

@@ -416,7 +416,7 @@ def percent_formats(spark: SparkSession, folder: str) -> DataFrame:
 
 @bound(
     "market_share",
-    f"""with g as (select n_name, n_regionkey, count(*) as members, round(avg(c_acctbal), 2) as avg_c_acctbal
+    f"""with g as (select n_name, n_regionkey, count(*) as members, round(avg(c_acctbal)::decimal(38,12), 2)::double as avg_c_acctbal
           from customer join nation on c_nationkey = n_nationkey group by 1, 2)
         select *, {sql_pct("members", "(select count(*) from customer)")} as market_share_pct from g""",
 )
@@ -428,8 +428,8 @@ def market_share(spark: SparkSession, folder: str) -> DataFrame:
 
 @bound(
     "moments",
-    """select count(*) as row_count, round(avg(l_extendedprice), 4) as mean_price,
-       round(stddev_samp(l_extendedprice), 4) as sd_price, min(l_extendedprice) as min_price,
+    """select count(*) as row_count, round(avg(l_extendedprice)::decimal(38,12), 4)::double as mean_price,
+       round(stddev_samp(l_extendedprice)::decimal(38,12), 4)::double as sd_price, min(l_extendedprice) as min_price,
        max(l_extendedprice) as max_price, min(l_shipdate) as first_ship, max(l_shipdate) as last_ship,
        year(max(l_shipdate))::int as last_year from lineitem""",
 )
@@ -480,8 +480,8 @@ _SUMMARY = ("l_quantity", "l_extendedprice", "l_discount", "l_linenumber")
 @bound(
     "summary_stats",
     " union all ".join(
-        f"""select '{c}' as column_name, count({c}) as value_count, round(avg({c}), 4) as mean,
-            round(stddev_samp({c}), 4) as stddev, min({c})::double as min_value,
+        f"""select '{c}' as column_name, count({c}) as value_count, round(avg({c})::decimal(38,12), 4)::double as mean,
+            round(stddev_samp({c})::decimal(38,12), 4)::double as stddev, min({c})::double as min_value,
             max({c})::double as max_value from lineitem"""
         for c in _SUMMARY
     ),
@@ -517,7 +517,7 @@ def key_uniqueness(spark: SparkSession, folder: str) -> DataFrame:
 
 @bound(
     "frequent_values",
-    """select text, count(*) as frequency, round(avg(quality), 4) as avg_measure from documents
+    """select text, count(*) as frequency, round(avg(quality)::decimal(38,12), 4)::double as avg_measure from documents
        left join labels using (doc_id) where text is not null group by 1 having count(*) > 1
        order by 2 desc, 1 limit 10""",
 )

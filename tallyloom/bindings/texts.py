@@ -93,14 +93,14 @@ def scalar_dates(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# the references that occur in the pages, the ampersand last
-_ENTITIES = (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'), ("&amp;", "&"))
+# the references that occur in the pages, the ampersand last and also without its semicolon
+_ENTITIES = (("&copy;", "©"), ("&middot;", "·"), ("&quot;", '"'))
 
 
 def _sql_unescape(column: str) -> str:
     for reference, value in _ENTITIES:
         column = f"replace({column}, '{reference}', '{value}')"
-    return column
+    return f"regexp_replace({column}, '&amp;?', '&', 'g')"
 
 
 @bound("html_unescape", f"select page_id, {_sql_unescape('html')} as html from pages")
