@@ -51,6 +51,24 @@ def collapse_space(text: Column) -> Column:
     return F.regexp_replace(text, f"{SPACE}+", " ")
 
 
+def keep_only(text: Column, kept: str) -> Column:
+    """The characters of a class, such as `[a-z ]`, and nothing else.
+
+    Taking out the runs to keep is about twice as fast as replacing the rest.
+    """
+    return F.array_join(F.regexp_extract_all(text, F.lit(f"{kept}+"), F.lit(0)), "")
+
+
+def fold_accents(text: Column, accented: str = ACCENTED, folded: str = FOLDED) -> Column:
+    """Exchange letters one by one; plain ASCII text has none and is passed through."""
+    return bind(
+        text,
+        lambda value: F.when(F.octet_length(value) == F.char_length(value), value).otherwise(
+            F.translate(value, accented, folded)
+        ),
+    )
+
+
 def first_upper(text: Column) -> Column:
     """Upper-case the first letter and leave the rest alone."""
     return F.concat(F.upper(F.substring(text, 1, 1)), F.substr(text, F.lit(2)))
@@ -106,7 +124,7 @@ def fold_place(text: Column) -> Column:
     """Lower case, no accents, no state suffix, no hyphens or apostrophes."""
 
     def folded(lowered: Column) -> Column:
-        plain = F.translate(lowered, ACCENTED, FOLDED)
+        plain = fold_accents(lowered)
         for found, replacement in (("d'", "d "), ("-", " "), ("'", "")):
             plain = F.replace(plain, F.lit(found), F.lit(replacement))
         return F.when(lowered == "sp", F.lit("sao paulo")).otherwise(plain)
@@ -145,14 +163,15 @@ def delimited_name(text: Column, abbreviations: Mapping[str, str]) -> Column:
     cases = [(text.rlike("[0-9@]"), F.lit(None))]
     cases += [(text.contains(mark), F.substring_index(text, mark, 1)) for mark in ("/", ",", "-")]
     name = F.replace(F.lower(F.trim(first_match(cases, default=text))), F.lit("são"), F.lit("sao"))
-    for pattern, replacement in (("d['´`]", "d"), (r"\s+", " "), ("[^a-z ]+", "")):
+    for pattern, replacement in (("d['´`]", "d"), (r"\s+", " ")):
         name = F.regexp_replace(name, pattern, replacement)
+    name = keep_only(name, "[a-z ]")
     return F.initcap(bind(name, lambda value: F.coalesce(mapped(value, abbreviations), value)))
 
 
 def place_or_unknown(text: Column, abbreviations: Mapping[str, str], unknown: str = "Unknown") -> Column:
     """Title-cased, accent-free name without hyphens and apostrophes; blank or null is `unknown`."""
-    plain = F.translate(F.lower(text), ACCENTED_WIDE + "-'", FOLDED_WIDE + "  ")
+    plain = F.translate(fold_accents(F.lower(text), ACCENTED_WIDE, FOLDED_WIDE), "-'", "  ")
     cases = [(F.lower(text) == short, F.lit(full)) for short, full in abbreviations.items()]
     cases.append((text.isNull() | (F.length(F.trim(text)) < 1), F.lit(unknown)))
     return first_match(cases, default=title_case(plain, CONNECTIVES_WIDE))
@@ -169,11 +188,12 @@ def plain_review(text: Column, accents: str = "fold", gap: str = "") -> Column:
     """
     if accents == "fold":
         upper = FOLDED_WIDE.upper()
-        text = F.translate(text, ACCENTED_WIDE + ACCENTED_WIDE.upper(), FOLDED_WIDE + upper)
+        text = fold_accents(text, ACCENTED_WIDE + ACCENTED_WIDE.upper(), FOLDED_WIDE + upper)
     elif accents != "delete":
         raise ValueError(f"accents must be 'fold' or 'delete', not {accents!r}")
-    signs = r"[^a-zA-Z0-9\s]" if gap else r"[^a-zA-Z0-9\s]+"
-    return F.lower(F.regexp_replace(text, signs, gap))
+    if gap:
+        return F.lower(F.regexp_replace(text, r"[^a-zA-Z0-9\s]", gap))
+    return F.lower(keep_only(text, r"[a-zA-Z0-9\s]"))
 
 
 def unescape_html(text: Column) -> Column:
@@ -248,7 +268,7 @@ def _constant_map(table: Mapping[str, str]) -> Column:
 def clean_lowered(text: Column, decode: bool = True) -> Column:
     """Lower-case text of letters, digits, `'` and `.`, with each sentence capitalised."""
     text = unescape_html(text) if decode else text
-    kept = F.regexp_replace(collapse_space(F.lower(text)), r"[^a-z0-9\s'.]+", "")
+    kept = keep_only(collapse_space(F.lower(text)), r"[a-z0-9\s'.]")
     sentences = F.array_join(F.transform(F.split(kept, r"\. "), first_upper), ". ")
     return bind(sentences, lambda value: F.when(value != "", value))
 
