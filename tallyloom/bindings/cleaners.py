@@ -45,25 +45,58 @@ def _sql_plain(column: str) -> str:
     return f"lower(regexp_replace({folded}, '[^a-zA-Z0-9\\s]', '', 'g'))"
 
 
-_CLEAN_SQL = f"""(select distinct review_id, order_id, score as review_score, {_sql_plain("title")} as title,
-    {_sql_plain("message")} as message, created, answered, coalesce(length(trim({_sql_plain("message")})) > 0, false)
-    as has_comment from {REVIEWS_SQL} where order_id is not null and score between 1 and 5)"""
+def _sql_clean(source: str) -> str:
+    return f"""(select distinct review_id, order_id, score as review_score, {_sql_plain("title")} as title,
+        {_sql_plain("message")} as message, created, answered,
+        coalesce(length(trim({_sql_plain("message")})) > 0, false) as has_comment
+        from {source} where order_id is not null and score between 1 and 5)"""
 
 
-@bound(
-    "review_clean",
-    f"""with t as {_CLEAN_SQL}, s as (select avg(review_score) as m, stddev_samp(review_score) as sd from t)
+def _sql_review_clean(source: str) -> str:
+    return f"""with t as {_sql_clean(source)}, s as (select avg(review_score) as m, stddev_samp(review_score) as sd from t)
         select review_id, order_id, review_score, title as review_comment_title, message as review_comment_message,
           created as review_creation_date, answered as review_answer_timestamp, has_comment,
-          round(abs((review_score - m) / sd), 6) as review_score_zscore,
+          round(abs((review_score - m) / sd)::decimal(38,12), 6)::double as review_score_zscore,
           abs((review_score - m) / sd) > 3 as is_outlier
-        from t, s where created::date <= date '2020-01-01' and answered >= created""",
-)
+        from t, s where created::date <= date '2020-01-01' and answered >= created"""
+
+
+_CLEAN_SQL = _sql_clean(REVIEWS_SQL)
+
+
+@bound("review_clean", _sql_review_clean(REVIEWS_SQL))
 def review_clean(spark: SparkSession, folder: str) -> DataFrame:
     cleaned = reviews.clean_reviews(retail_reviews(spark, folder), as_of="2020-01-01")
     return cleaned.withColumn("review_score_zscore", F.round("review_score_zscore", 6))
 
 
+# short reviews, one per order, with ids of the usual length
+SHORT_REVIEWS_SQL = """(select md5(o_orderkey::varchar) as review_id, md5(o_custkey::varchar) as order_id,
+    (o_orderkey % 6)::int as score, o_orderpriority as title,
+    'Produto ' || o_orderpriority || ' nº ' || o_custkey::varchar || ', chegou rápido! ' as message,
+    o_orderdate as created, o_orderdate + to_days((o_orderkey % 9 - 1)::int) as answered from orders)"""
+
+
+@bound("review_clean_short", _sql_review_clean(SHORT_REVIEWS_SQL))
+def review_clean_short(spark: SparkSession, folder: str) -> DataFrame:
+    key, priority = F.col("o_orderkey"), F.col("o_orderpriority")
+    answered = F.col("o_orderdate") + F.make_dt_interval(days=(key % 9 - 1).cast("int"))
+    customer = F.col("o_custkey").cast("string")
+    raw = table(spark, folder, "orders").select(
+        F.md5(key.cast("string")).alias("review_id"),
+        F.md5(customer).alias("order_id"),
+        (key % 6).alias("review_score"),
+        priority.alias("review_comment_title"),
+        F.concat(F.lit("Produto "), priority, F.lit(" nº "), customer, F.lit(", chegou rápido! ")).alias(
+            "review_comment_message"
+        ),
+        F.col("o_orderdate").cast("string").alias("review_creation_date"),
+        answered.cast("string").alias("review_answer_timestamp"),
+    )
+    cleaned = reviews.clean_reviews(raw, as_of="2020-01-01")
+    return cleaned.withColumn("review_score_zscore", F.round("review_score_zscore", 6))
+
+
 @bound(
     "reviews_rated",
     f"""select review_id, order_id, m as review_comment_message,
