@@ -6,11 +6,22 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import FractionalType, NumericType
+from pyspark.sql.types import (
+    BooleanType,
+    DateType,
+    FractionalType,
+    MapType,
+    NumericType,
+    StructField,
+    TimestampNTZType,
+    TimestampType,
+)
 
 from tallyloom.functions.numbers import percent
 from tallyloom.operators.scalars import with_scalar
 
+_FIXED_WIDTH = (NumericType, BooleanType, DateType, TimestampType, TimestampNTZType)
+
 
 def null_profile(df: DataFrame, nan_is_null: bool = False) -> DataFrame:
     """Missing values per column: count and percentage.
@@ -34,28 +45,36 @@ def table_profile(df: DataFrame) -> DataFrame:
     """Per column: type, rows, nulls, smallest and largest value as text, mean and deviation.
 
     Dates and text have a smallest and largest value as well; mean and deviation are numeric only.
+    Fixed-width columns and the others form two aggregates over disjoint columns: a text minimum
+    among them would keep all the numbers out of the generated hash aggregate.
     """
+    fixed = [f for f in df.schema.fields if isinstance(f.dataType, _FIXED_WIDTH)]
+    other = [f for f in df.schema.fields if not isinstance(f.dataType, _FIXED_WIDTH)]
+    parts = [_profile(df, fields) for fields in (fixed, other) if fields]
+    profiled = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    share = percent(F.col("null_count"), F.col("row_count"))
+    return profiled.withColumn("null_pct", share)
+
+
+def _profile(df: DataFrame, fields: Sequence[StructField]) -> DataFrame:
     per_column = []
-    for field in df.schema.fields:
+    for field in fields:
         value = F.col(f"`{field.name}`")
         numeric = isinstance(field.dataType, NumericType)
-        mean = F.avg(value) if numeric else F.lit(None)
-        sd = F.stddev_samp(value) if numeric else F.lit(None)
+        ordered = not isinstance(field.dataType, MapType)
         per_column.append(
             F.struct(
                 F.lit(field.name).alias("column_name"),
                 F.lit(field.dataType.simpleString()).alias("data_type"),
                 F.count(F.lit(1)).alias("row_count"),
                 F.count_if(_missing(field, False)).alias("null_count"),
-                F.min(value).cast("string").alias("min_value"),
-                F.max(value).cast("string").alias("max_value"),
-                mean.cast("double").alias("mean"),
-                sd.cast("double").alias("stddev"),
+                (F.min(value) if ordered else F.lit(None)).cast("string").alias("min_value"),
+                (F.max(value) if ordered else F.lit(None)).cast("string").alias("max_value"),
+                (F.avg(value) if numeric else F.lit(None)).cast("double").alias("mean"),
+                (F.stddev_samp(value) if numeric else F.lit(None)).cast("double").alias("stddev"),
             )
         )
-    profiled = df.agg(F.array(*per_column).alias("columns")).select(F.inline("columns"))
-    share = percent(F.col("null_count"), F.col("row_count"))
-    return profiled.withColumn("null_pct", share)
+    return df.agg(F.array(*per_column).alias("columns")).select(F.inline("columns"))
 
 
 def summary_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
