@@ -21,3 +21,14 @@ def bytes_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
     """The UTF-8 texts of a batch; null texts as empty."""
     values = batch.column(batch.schema.get_field_index(column)).cast(pa.large_binary())
     return [v or b"" for v in values.to_pylist()]
+
+
+def runs(texts: list[bytes], most: int = 4 << 20) -> list[range]:
+    """Row ranges of about `most` bytes of text each, so that a batch is worked on in bounded memory."""
+    out, start, total = [], 0, 0
+    for row, text in enumerate(texts):
+        total += len(text)
+        if total >= most:
+            out.append(range(start, row + 1))
+            start, total = row + 1, 0
+    return out + [range(start, len(texts))] * (start < len(texts))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import line_dedup, packing, token_files
+from tallyloom.llm import line_dedup, packing, repetition, secrets, token_files
 from tallyloom.llm.tokens import vocabulary
 
 QUERIES: dict = {}
@@ -69,3 +69,29 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     """All documents in sequences of at most 4096 tokens."""
     docs = table(spark, folder, "documents")
     return packing.pack(packing.token_pieces(docs, vocabulary(VOCABULARY), capacity=SEQUENCE, end_id=END_ID), capacity=SEQUENCE)
+
+
+SECRET_SAMPLE_DOCS = 500
+
+
+@query("op1_secret_scan")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets of every text: the base patterns' spans, and those the Markov models add."""
+    docs = table(spark, folder, "documents")
+    model = secrets.train(secrets.samples_from(docs, sample_docs=SECRET_SAMPLE_DOCS))
+    found = secrets.find_secrets(docs, model)
+    return found.select(
+        "doc_id",
+        *[secrets.count_kind(F.col("base"), i).alias(f"n_{kind}") for i, (kind, *_) in enumerate(secrets.KINDS)],
+        F.sha2(secrets.rendered(F.col("base")), 256).alias("base_sha256"),
+        secrets.rendered(F.array_sort(F.concat("base", "added"))).alias("spans"),
+        F.size("added").cast("long").alias("n_markov"),
+    )
+
+
+@query("op2_suffix_repetition")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Repetition figures and verdicts of every text."""
+    figures = repetition.repetition_figures(table(spark, folder, "documents"))
+    first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
+    return figures.select(*first, "n_covered_words", "longest_repeat")
