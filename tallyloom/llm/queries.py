@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import line_dedup, packing, repetition, secrets, token_files
+from tallyloom.llm import edit_decontam, line_dedup, nbsvm, packing, repetition, secret_scan, token_files, warc, zstd_lang
 from tallyloom.llm.tokens import vocabulary
 
 QUERIES: dict = {}
@@ -78,13 +78,13 @@ SECRET_SAMPLE_DOCS = 500
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets of every text: the base patterns' spans, and those the Markov models add."""
     docs = table(spark, folder, "documents")
-    model = secrets.train(secrets.samples_from(docs, sample_docs=SECRET_SAMPLE_DOCS))
-    found = secrets.find_secrets(docs, model)
+    model = secret_scan.train(secret_scan.samples_from(docs, sample_docs=SECRET_SAMPLE_DOCS))
+    found = secret_scan.find_secrets(docs, model)
     return found.select(
         "doc_id",
-        *[secrets.count_kind(F.col("base"), i).alias(f"n_{kind}") for i, (kind, *_) in enumerate(secrets.KINDS)],
-        F.sha2(secrets.rendered(F.col("base")), 256).alias("base_sha256"),
-        secrets.rendered(F.array_sort(F.concat("base", "added"))).alias("spans"),
+        *[secret_scan.count_kind(F.col("base"), i).alias(f"n_{kind}") for i, (kind, *_) in enumerate(secret_scan.KINDS)],
+        F.sha2(secret_scan.rendered(F.col("base")), 256).alias("base_sha256"),
+        secret_scan.rendered(F.array_sort(F.concat("base", "added"))).alias("spans"),
         F.size("added").cast("long").alias("n_markov"),
     )
 
@@ -95,3 +95,40 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     figures = repetition.repetition_figures(table(spark, folder, "documents"))
     first = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"]
     return figures.select(*first, "n_covered_words", "longest_repeat")
+
+
+@query("op3_warc_normaliser")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages as WARC records in whole-file streams, normalised to a member a record, and read back."""
+    pages = warc.mark_revisits(table(spark, folder, "pages"))
+    archives = warc.normalise(warc.write_monolithic(pages))
+    back = warc.read_archives(archives, with_payload=False)
+    return back.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def fold(of: int) -> Column:
+    """crc32 of the document id as text, modulo `of`; -1 without an id."""
+    return F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(of)), F.lit(-1))
+
+
+@query("op6_zstd_language")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of every text, from dictionaries of two thirds of the documents."""
+    docs = table(spark, folder, "documents")
+    found = zstd_lang.classify(docs, zstd_lang.learn_dictionaries(docs.where(fold(3) != 1)))
+    return found.select("doc_id", (fold(3) == 1).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@query("op7_edit_decontamination")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark passages in all documents, with up to a twentieth of their characters edited."""
+    return edit_decontam.find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op8_nbsvm_quality")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Quality of every text, learned from the labels of four fifths of the documents."""
+    docs = table(spark, folder, "documents")
+    model = nbsvm.train(docs, table(spark, folder, "labels").where(fold(5) != 0))
+    rated = nbsvm.score(docs, model)
+    return rated.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
