@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import edit_decontam, line_dedup, nbsvm, packing, repetition, secret_scan, token_files, warc, zstd_lang
+from tallyloom.llm import edit_decontam, hamming_dedup, line_dedup, nbsvm, packing, repetition, secret_scan, token_files, warc, zstd_lang
 from tallyloom.llm.tokens import vocabulary
 
 QUERIES: dict = {}
@@ -132,3 +132,9 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     model = nbsvm.train(docs, table(spark, folder, "labels").where(fold(5) != 0))
     rated = nbsvm.score(docs, model)
     return rated.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query("op5_hamming_minhash")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of documents whose sets of four-word shingles are alike by 80 per cent."""
+    return hamming_dedup.near_duplicates(table(spark, folder, "documents"), shingle_words=4, percent=80)
