@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import bytes_of, id_and_text
+from tallyloom.llm.common import bytes_of, id_and_text, text_mark
 from tallyloom.llm.components import components
 from tallyloom.llm.files import in_arrow, in_pandas
 from tallyloom.session import materialise
@@ -104,8 +104,8 @@ def _matrix(column) -> np.ndarray:
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, n_shingles, set_id (a 128-bit hash of the set; null when empty), signature of each input row."""
-    names = ["doc_id", "n_shingles", "set_id", "signature"]
+    """doc_id, mark, n_shingles, set_id (a 128-bit hash of the set; null when empty), signature of each input row."""
+    names = ["doc_id", "mark", "n_shingles", "set_id", "signature"]
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -116,10 +116,10 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 sizes.append(len(shingles))
                 ids.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
                 signatures.append(signature(shingles).tobytes() if len(shingles) else None)
-            columns = [batch.column(0), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(signatures, pa.binary())]
+            columns = [batch.column(0), batch.column(2), pa.array(sizes, pa.int64()), pa.array(ids, pa.binary()), pa.array(signatures, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return in_arrow(docs, sketch, "doc_id long, n_shingles long, set_id binary, signature binary")
+    return in_arrow(docs, sketch, "doc_id long, mark long, n_shingles long, set_id binary, signature binary")
 
 
 def cells(nodes: DataFrame, distance: int) -> DataFrame:
@@ -310,7 +310,7 @@ def _cross_links(members: DataFrame, docs: DataFrame, width: int, distance: int,
 def near_duplicates(
     docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of each input row.
+    """doc_id, mark, n_shingles, component_id, kept of each input row; `mark` is a hash of the text.
 
     A text's set is its distinct shingles of `shingle_words` words; with fewer words the whole sequence is one shingle; a
     text without words, or null, has none and links with nothing. Texts link when 100 * intersection >= `percent` *
@@ -318,7 +318,7 @@ def near_duplicates(
     with nothing and kept (component_id null). Rows that repeat an id are judged each by its text.
     """
     own = id_and_text(docs, id_col, text_col)
-    own = own.withColumn("doc_id", F.col("doc_id").cast("long"))
+    own = own.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_mark(F.col("text")).alias("mark"))
     rows = materialise(sketches(own, shingle_words), "sketches")
     distance = max_distance(percent)
     classes = rows.where("doc_id is not null and set_id is not null").groupBy("set_id")
@@ -341,7 +341,25 @@ def near_duplicates(
     roots = roots.select("set_id", F.coalesce("v", "node").alias("component"))
     found = rows.join(roots, "set_id", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
-    return found.select("doc_id", "n_shingles", component).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return found.select("doc_id", "mark", "n_shingles", component).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def drop_near_duplicates(
+    docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """`docs`, all columns, with one document of each component: the one with the smallest id.
+
+    Of rows that repeat an id with its text one stays. Rows without an id or without words stay.
+    """
+    found = near_duplicates(docs, shingle_words=shingle_words, percent=percent, id_col=id_col, text_col=text_col)
+    rows = found.where("doc_id is not null").groupBy("doc_id", "mark").agg(F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
+    odd = materialise(rows.where("not kept or n > 1").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "kept"), "dropped")
+    same = (F.col(id_col) == F.col("_id")) & (text_mark(F.col(text_col)) == F.col("_mark"))
+    rest = docs.join(odd, same, "left_anti")
+    repeated = odd.where("kept")
+    if not repeated.take(1):
+        return rest
+    return rest.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col]))
 
 
 def _open_cells(stars: DataFrame, joined: DataFrame, nodes: DataFrame) -> DataFrame:

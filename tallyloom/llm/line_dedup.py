@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import bind, id_and_text
+from tallyloom.llm.common import bind, id_and_text, text_mark
 from tallyloom.session import materialise
 
 WHITE = " \t\n\x0b\x0c\r"
@@ -34,11 +34,6 @@ def line_key(line: Column) -> Column:
     return F.translate(F.btrim(line, F.lit(WHITE)), UPPER, LOWER)
 
 
-def text_mark(text: Column) -> Column:
-    """Tells rows of one document id with different texts apart."""
-    return F.xxhash64(F.coalesce(text, F.lit("")))
-
-
 def _hashed_lines(docs: DataFrame, min_key_chars: int) -> DataFrame:
     lines = docs.select("doc_id", text_mark(F.col("text")).alias("mark"), F.posexplode(split_lines(F.col("text"))).alias("pos", "line"))
     keyed = lines.select("doc_id", "mark", "pos", line_key(F.col("line")).alias("key")).where(F.length("key") >= min_key_chars)
@@ -144,3 +139,15 @@ def dedup_lines(docs: DataFrame, bitmaps: DataFrame, *, id_col: str = "doc_id",
         "n_dropped": F.coalesce(F.col("_gone"), F.lit(0)).cast("long"),
         text_col: kept_text(F.col(text_col), F.col("_keep")),
     }).drop("_id", "_mark", "_keep", "_gone")
+
+
+def drop_repeated_lines(docs: DataFrame, *, min_docs: int, min_key_chars: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """`docs`, all columns, with only the first of lines that `min_docs` documents hold.
+
+    Documents of which no word is left go; those that lose nothing stay, empty ones too.
+    """
+    names = docs.columns
+    bitmaps = keep_bitmaps(docs, min_docs=min_docs, min_key_chars=min_key_chars, keep_first=True, id_col=id_col, text_col=text_col)
+    kept = dedup_lines(docs.select(id_col, text_col, F.struct(*names).alias("_row")), bitmaps, id_col=id_col, text_col=text_col)
+    kept = kept.where((F.col("n_dropped") == 0) | (F.btrim(F.col(text_col), F.lit(WHITE)) != ""))
+    return kept.select(*[F.col(text_col) if n == text_col else F.col("_row")[n].alias(n) for n in names])
