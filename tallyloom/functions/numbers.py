@@ -7,17 +7,17 @@ from pyspark.sql import functions as F
 
 
 def percent(part: Column, whole: Column, digits: int = 2) -> Column:
-    """`part` as a percentage of `whole`, rounded half-up in integer arithmetic.
+    """`part` as a percentage of `whole`, halves rounded away from zero, in integer arithmetic.
 
     Two bigint counts give the same digits on every engine: no binary fraction is rounded.
     Counts may reach 4e14 at two digits before the intermediate overflows.
     """
     scale = 10**digits
-    whole = F.nullif(whole.cast("bigint"), F.lit(0).cast("bigint"))
-    units = F.call_function(
-        "div", part.cast("bigint") * F.lit(200 * scale).cast("bigint") + whole, whole * F.lit(2)
-    )
-    return units / F.lit(scale)
+    part, whole = part.cast("bigint"), F.nullif(whole.cast("bigint"), F.lit(0).cast("bigint"))
+    size = F.abs(whole)
+    # `div` cuts off towards zero, so the magnitude is rounded and the sign put back
+    units = F.call_function("div", F.abs(part) * F.lit(200 * scale).cast("bigint") + size, size * F.lit(2))
+    return F.when((part < 0) != (whole < 0), -units).otherwise(units) / F.lit(scale)
 
 
 def percent_text(part: Column, whole: Column, digits: int = 2) -> Column:

@@ -287,12 +287,20 @@ def clean_cased(text: Column) -> Column:
 def correct_words(text: Column, corrections: Mapping[str, str]) -> Column:
     """Replace whole words, in any case. Letters with accents are part of a word.
 
-    The pattern looks for the word before it looks at what surrounds it.
+    A text is searched once for any of the words; the others are left alone. The pattern of a word looks
+    for it before it looks at what surrounds it.
     """
+    if not corrections:
+        return text
+    anywhere = "(?iu)" + "|".join(re.escape(word) for word in corrections)
+    return bind(text, lambda t: F.when(t.rlike(anywhere), _corrected(t, corrections)).otherwise(t))
+
+
+def _corrected(text: Column, corrections: Mapping[str, str]) -> Column:
     for word, correction in corrections.items():
         before = rf"(?<![\p{{L}}\p{{N}}_].{{{len(word)}}})"
         pattern = rf"(?ius){re.escape(word)}{before}(?![\p{{L}}\p{{N}}_])"
-        text = F.regexp_replace(text, pattern, correction)
+        text = F.regexp_replace(text, pattern, correction.replace("\\", "\\\\").replace("$", "\\$"))
     return text
 
 

@@ -57,7 +57,7 @@ def shipping_complexity(
 def market_proximity(metro: Column, state: Column, near_states: Sequence[str]) -> Column:
     cases = [
         (metro != "Other", F.lit("Core Market")),
-        (state.isin(*near_states) & (metro == "Other"), F.lit("Near Market")),
+        (state.isin(*near_states), F.lit("Near Market")),
     ]
     return first_match(cases, default="Remote Market")
 
@@ -93,7 +93,10 @@ def name_distance(
     near: Sequence[str],
     near_distance: int,
 ) -> Column:
-    """0 for equal wording, `near_distance` for listed names, else the edit distance."""
+    """0 for equal wording, `near_distance` for listed names, else the edit distance.
+
+    The words to exchange are patterns, what they become is literal but for `$` and a backslash.
+    """
 
     def exchanged(text: Column, words: Mapping[str, str]) -> Column:
         for found, replacement in words.items():

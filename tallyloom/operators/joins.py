@@ -6,11 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-# A key is hot when it holds at least 1/HOT_SHARE of all rows, so there are at most
-# HOT_SHARE hot keys, however large the data is: a table of them is safe to broadcast.
-HOT_SHARE = 1000
-
+from pyspark.sql.types import MapType
 
 def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     condition = F.lit(True)
@@ -19,23 +15,15 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column
     return condition
 
 
-def attach_by_key(df: DataFrame, figures: DataFrame, keys: Sequence[str], weight: str) -> DataFrame:
+def attach_by_key(df: DataFrame, figures: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the figures of each key group to every row of the group; null is a key of its own.
 
-    `figures` has one row per key of `df` and a column `weight` with the group's row count.
-    Hot keys are met by a broadcast of at most HOT_SHARE rows and never shuffled; the rest
-    join on the key, where by construction no single key holds more than 1/HOT_SHARE of the rows.
+    `figures` has one row per key of `df`, which is read once for the join. No side is hinted: a
+    small table of figures is broadcast by size, and otherwise AQE splits the partitions of hot
+    keys on the side of the rows; the other side holds each key once.
     """
-    total = figures.agg(F.sum(weight)).scalar()
     right = figures.withColumnsRenamed({key: f"__{key}" for key in keys})
-    right_keys = [f"__{key}" for key in keys]
-    is_hot = F.col(weight) * F.lit(HOT_SHARE) >= total
-    hot, cold = right.filter(is_hot), right.filter(~is_hot)
-    on_hot = _same_keys(df, hot, keys)
-    hot_rows = df.join(F.broadcast(hot), on_hot, "inner").drop(*right_keys)
-    other = df.join(F.broadcast(hot.select(*right_keys)), on_hot, "left_anti")
-    cold_rows = other.join(cold, _same_keys(other, cold, keys), "inner").drop(*right_keys)
-    return hot_rows.unionByName(cold_rows)
+    return df.join(right, _same_keys(df, right, keys)).drop(*[f"__{key}" for key in keys])
 
 
 def attach_group_counts(
@@ -43,23 +31,17 @@ def attach_group_counts(
 ) -> DataFrame:
     """Add row counts of one or more groupings; `counts` maps a new column to its keys.
 
-    The rows are counted once per combination of all keys. Every figure is summed from that
-    table and attached together, so the input is not read again for each grouping.
+    The rows are counted once per combination of all keys, each figure is summed from that table
+    and joined as a small table of its own, so the input is not read again for each grouping.
     `keep_null_keys=False` gives inner-join semantics: rows with a null key are dropped.
     """
     keys = list(dict.fromkeys(key for grouping in counts.values() for key in grouping))
     if not keep_null_keys:
         df = df.dropna(subset=keys)
     combined = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__rows"))
-    figures = combined
     for name, grouping in counts.items():
-        if set(grouping) == set(keys):
-            figures = figures.withColumn(name, F.col("__rows"))
-            continue
-        sums = combined.groupBy(*grouping).agg(F.sum("__rows").alias(name))
-        sums = sums.withColumnsRenamed({key: f"__{key}" for key in grouping})
-        figures = figures.join(sums, _same_keys(figures, sums, grouping)).drop(*[f"__{k}" for k in grouping])
-    return attach_by_key(df, figures, keys, "__rows").drop("__rows")
+        df = attach_by_key(df, combined.groupBy(*grouping).agg(F.sum("__rows").alias(name)), grouping)
+    return df
 
 
 def one_per_key(lookup: DataFrame, key: str, value: str) -> DataFrame:
@@ -69,6 +51,33 @@ def one_per_key(lookup: DataFrame, key: str, value: str) -> DataFrame:
     return votes.groupBy(key).agg(F.min(ballot)["value"].alias(value))
 
 
+def _unique(lookup: DataFrame, key: str, value: str, on_ambiguous: str) -> DataFrame:
+    """`__key` and `__value` of a lookup: one value per key, or with "expand" every distinct one."""
+    narrow = lookup.select(F.col(key).alias("__key"), F.col(value).alias("__value"))
+    if on_ambiguous == "mode":
+        return one_per_key(narrow, "__key", "__value")
+    if on_ambiguous == "expand":
+        return narrow.distinct()
+    raise ValueError(f"on_ambiguous must be 'mode' or 'expand', not {on_ambiguous!r}")
+
+
+def _look_up(df: DataFrame, narrow: DataFrame, column: str, absent: Column | None = None) -> DataFrame:
+    """Left join to `__key`, `__value` that keeps rows without a key from piling up in one task.
+
+    Rows whose key is null, or `absent`, match nothing: they are dealt out by a hash of the row, the others
+    by a hash of the key, and equality decides. No side is forced to broadcast.
+    """
+    if absent is None:
+        absent = F.col(column).isNull()
+    kind = df.schema[column].dataType
+    narrow = narrow.where(F.col("__key").isNotNull()).withColumn("__spot", F.xxhash64(F.col("__key").cast(kind)))
+    spread = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
+    own = F.when(absent, F.xxhash64(*spread)).otherwise(F.xxhash64(column))
+    keyed = df.withColumns({"__own": own, "__sought": F.when(~absent, F.col(column))})
+    on = (keyed["__own"] == narrow["__spot"]) & (keyed["__sought"] == narrow["__key"])
+    return keyed.join(narrow, on, "left").drop("__own", "__sought", "__spot", "__key")
+
+
 def prefer_reference(
     df: DataFrame,
     lookup: DataFrame,
@@ -81,40 +90,47 @@ def prefer_reference(
     """Take `column` from the lookup where the lookup has a value for the row's key.
 
     `on_ambiguous="mode"` keeps one row per input row; `"expand"` yields a row for every
-    distinct lookup value. No side is forced to broadcast: Catalyst does so below its size
-    threshold and otherwise shuffles, with AQE splitting hot keys of the left side.
+    distinct lookup value.
     """
-    narrow = lookup.select(F.col(lookup_key).alias("__key"), F.col(lookup_value).alias("__value"))
-    if on_ambiguous == "mode":
-        narrow = one_per_key(narrow, "__key", "__value")
-    elif on_ambiguous == "expand":
-        narrow = narrow.distinct()
-    else:
-        raise ValueError(f"on_ambiguous must be 'mode' or 'expand', not {on_ambiguous!r}")
-    joined = df.join(narrow, df[key] == narrow["__key"], "left")
+    joined = _look_up(df, _unique(lookup, lookup_key, lookup_value, on_ambiguous), key)
     preferred = F.coalesce(F.col("__value"), F.col(column)).alias(column)
     return joined.select(*[preferred if c == column else F.col(c) for c in df.columns])
 
 
 def replace_by_lookup(
-    df: DataFrame, lookup: DataFrame, column: str, lookup_key: str, lookup_value: str
+    df: DataFrame,
+    lookup: DataFrame,
+    column: str,
+    lookup_key: str,
+    lookup_value: str,
+    on_ambiguous: str = "mode",
 ) -> DataFrame:
-    """Swap `column` for the lookup's value; no match gives null."""
-    narrow = lookup.select(F.col(lookup_key).alias("__key"), F.col(lookup_value).alias("__value"))
-    joined = df.join(narrow, df[column] == narrow["__key"], "left").drop("__key", column)
-    return joined.withColumnRenamed("__value", column)
+    """Swap `column` for the lookup's value; no match gives null.
+
+    A key with several values has its most frequent one, the smallest among equals, or with
+    `on_ambiguous="expand"` a row for each.
+    """
+    joined = _look_up(df, _unique(lookup, lookup_key, lookup_value, on_ambiguous), column)
+    return joined.drop(column).withColumnRenamed("__value", column)
 
 
 def translate_by_dictionary(
-    df: DataFrame, dictionary: DataFrame, column: str, source: str, target: str, name: str
+    df: DataFrame,
+    dictionary: DataFrame,
+    column: str,
+    source: str,
+    target: str,
+    name: str,
+    on_ambiguous: str = "mode",
 ) -> DataFrame:
     """Add `name`: the dictionary's translation of `column`, or the text itself without one.
 
-    `dictionary` must hold one row per source text.
+    A text with several translations has the most frequent one, the smallest among equals, so no
+    row is multiplied unless `on_ambiguous="expand"`. Null and blank texts are not looked up.
     """
-    narrow = dictionary.select(F.col(source).alias("__source"), F.col(target).alias("__target"))
-    joined = df.join(narrow, df[column] == narrow["__source"], "left")
-    return joined.withColumn(name, F.coalesce("__target", column)).drop("__source", "__target")
+    blank = F.coalesce(F.length(F.trim(F.col(column))) == 0, F.lit(True))
+    joined = _look_up(df, _unique(dictionary, source, target, on_ambiguous), column, blank)
+    return joined.withColumn(name, F.coalesce("__value", column)).drop("__value")
 
 
 def untranslated(df: DataFrame, dictionary: DataFrame, column: str, source: str) -> DataFrame:

@@ -28,7 +28,7 @@ def group_mode(df: DataFrame, keys: Sequence[str], column: str, name: str = "mod
 def attach_mode(df: DataFrame, keys: Sequence[str], column: str, name: str = "mode_value") -> DataFrame:
     """The group's mode on every row of the group."""
     modes = group_mode(df, keys, column, name)
-    return attach_by_key(df, modes, keys, "group_rows").drop("group_rows")
+    return attach_by_key(df, modes, keys).drop("group_rows")
 
 
 def repair_by_mode(
@@ -66,7 +66,7 @@ def running_count(df: DataFrame, by: str, name: str = "row_num") -> DataFrame:
     keyed = ranged.join(F.broadcast(offsets), "__part").select(
         by, "__n", (F.col("__offset") + F.sum("__n").over(within)).alias(name)
     )
-    return attach_by_key(df, keyed, [by], "__n").drop("__n")
+    return attach_by_key(df, keyed, [by]).drop("__n")
 
 
 def flag_upper_outliers(df: DataFrame, columns: Mapping[str, str], sigmas: float = 3) -> DataFrame:
@@ -99,11 +99,72 @@ def add_zscore(
     return scored.withColumn(flag, F.col(score) > sigmas)
 
 
-def quartiles(df: DataFrame, columns: Sequence[str], accuracy: int = 10_000) -> Column:
-    """A scalar struct of `[q1, median, q3]` arrays by column, from one mergeable-sketch pass."""
-    shares = F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))
-    sketches = [F.percentile_approx(c, shares, accuracy).alias(c) for c in columns]
-    return df.agg(F.struct(*sketches).alias("quartiles")).scalar()
+def quartiles(
+    df: DataFrame, columns: Sequence[str], method: str = "exact", accuracy: int = 10_000
+) -> Column:
+    """A scalar struct of `[q1, median, q3]` arrays by column, nulls left out; null without values.
+
+    Exact at any size: each is the smallest value that a quarter, a half, three quarters of the
+    values do not exceed. `method="approx"` is one pass of a mergeable sketch instead, with a
+    rank error of 1/`accuracy` that depends on the partitioning.
+    """
+    if method == "approx":
+        shares = F.array(*[F.lit(share) for share in QUARTERS])
+        sketches = [F.percentile_approx(c, shares, accuracy).alias(c) for c in columns]
+        return df.agg(F.struct(*sketches).alias("quartiles")).scalar()
+    if method != "exact":
+        raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
+    return exact_quantiles(df, columns, QUARTERS).select(F.struct(*columns).alias("quartiles")).scalar()
+
+
+QUARTERS = (0.25, 0.5, 0.75)
+
+
+def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
+    """One row: for each column the array of its discrete quantiles.
+
+    Rows are counted per column and value; these counts are range-partitioned by value and written
+    once, so that their partitions stay put; each partition adds the total of those before it. The
+    one row that comes of it is written too: a scalar subquery of it costs nothing further.
+    """
+    kinds = {c: df.schema[c].dataType for c in columns}
+    slots = {kind: f"v{i}" for i, kind in enumerate(dict.fromkeys(kinds.values()))}
+    # a row per column and value, the value in the slot of its type
+    cells = [
+        F.struct(
+            F.lit(i).alias("__column"),
+            *[(F.col(c) if kind == kinds[c] else F.lit(None).cast(kind)).alias(slot) for kind, slot in slots.items()],
+        )
+        for i, c in enumerate(columns)
+    ]
+    values = df.select(F.inline(F.array(*cells))).where(F.coalesce(*[F.col(s).cast("string") for s in slots.values()]).isNotNull())
+    order = ["__column", *slots.values()]
+    counts = values.groupBy(*order).agg(F.count(F.lit(1)).alias("__n"))
+    ranged = counts.repartitionByRange(*order).withColumn("__part", F.spark_partition_id())
+    ranged = materialise(ranged, "value-counts")
+    # a row for each partition and column: their number bounds the windows over them and the broadcast
+    totals = ranged.groupBy("__column", "__part").agg(F.sum("__n").alias("__sum"))
+    before = Window.partitionBy("__column").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        "__column",
+        "__part",
+        F.coalesce(F.sum("__sum").over(before), F.lit(0)).alias("__before"),
+        F.sum("__sum").over(Window.partitionBy("__column")).alias("__all"),
+    )
+    within = Window.partitionBy("__column", "__part").orderBy(*slots.values())
+    ranked = ranged.join(F.broadcast(offsets), ["__column", "__part"]).withColumn(
+        "__upto", F.col("__before") + F.sum("__n").over(within)
+    )
+
+    def quantile(i: int, c: str, share: float) -> Column:
+        reached = (F.col("__column") == i) & (F.col("__upto") >= F.ceil(F.lit(share) * F.col("__all")))
+        return F.min(F.when(reached, F.col(slots[kinds[c]])))
+
+    found = [
+        F.when(F.count_if(F.col("__column") == i) > 0, F.array(*[quantile(i, c, s) for s in shares])).alias(c)
+        for i, c in enumerate(columns)
+    ]
+    return materialise(ranked.agg(*found), "quantiles")
 
 
 def volume_tier(value: Column, q: Column) -> Column:

@@ -79,6 +79,22 @@ def split_by_rules(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, Dat
     return good, judged.filter(F.col("failed_rule") != PASSED)
 
 
+def problem_rows(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """One row: all rows, those that break a rule, those that break none, and both shares."""
+    broken = F.lit(False)
+    for rule in rules:
+        broken = broken | rule.broken()
+    counts = df.agg(F.count(F.lit(1)).alias("total_rows"), F.count_if(broken).alias("problem_rows"))
+    clean = F.col("total_rows") - F.col("problem_rows")
+    return counts.select(
+        "total_rows",
+        "problem_rows",
+        clean.alias("clean_rows"),
+        percent(F.col("problem_rows"), F.col("total_rows")).alias("problem_pct"),
+        percent(clean, F.col("total_rows")).alias("clean_pct"),
+    )
+
+
 def constraint_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Violations per rule, all rules counted in one pass."""
     per_rule = [
@@ -115,7 +131,8 @@ def funnel(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
 def retention(report: DataFrame) -> DataFrame:
     """One row out of a funnel report: input, kept, removed, and the shares."""
     kept = F.coalesce(F.sum(F.when(F.col("stage") == PASSED, F.col("row_count"))), F.lit(0))
-    totals = report.agg(F.sum("row_count").alias("original_rows"), kept.alias("kept_rows"))
+    rows = F.coalesce(F.sum("row_count"), F.lit(0))
+    totals = report.agg(rows.alias("original_rows"), kept.alias("kept_rows"))
     removed = F.col("original_rows") - F.col("kept_rows")
     return totals.select(
         "original_rows",
