@@ -30,7 +30,7 @@ from tallyloom.llm.files import in_arrow, in_pandas
 from tallyloom.session import materialise
 
 SLOTS, BITS, RADIUS, MISS = 64, 16, 1, 1e-5
-BLOCK = 256
+BLOCK = 512
 GROUP_ROWS = 4_000
 CACHED_WORDS = 300_000
 FACTORS = (np.random.default_rng(20_231).integers(0, 1 << 63, SLOTS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
@@ -270,9 +270,9 @@ def block_links(sets: list[np.ndarray], signatures: np.ndarray, component: np.nd
     return out
 
 
-def _in_groups(rows: DataFrame, function, schema: str) -> DataFrame:
-    """Apply to frames that hold whole block pairs, about GROUP_ROWS rows each."""
-    groups = max(1, -(-rows.count() // GROUP_ROWS))
+def _in_groups(rows: DataFrame, count: int, function, schema: str) -> DataFrame:
+    """Apply to frames that hold whole block pairs, about GROUP_ROWS of the `count` rows each."""
+    groups = max(1, -(-count // GROUP_ROWS))
     dealt = rows.withColumn("_g", F.pmod(F.xxhash64("pivot", "first", "second"), F.lit(groups)))
     return in_pandas(dealt.groupBy("_g"), rows.sparkSession, function, schema)
 
@@ -292,7 +292,7 @@ def _cross_links(members: DataFrame, docs: DataFrame, width: int, distance: int,
         return pd.concat(parts).drop(columns="_g")
 
     schema = "pivot long, first string, second string, node long, component long, signature binary"
-    close = materialise(_in_groups(rows, survivors, schema), "close-members")
+    close = materialise(_in_groups(rows, rows.count(), survivors, schema), "close-members")
     sets = materialise(_sets_of(docs, close.select("node").distinct(), width), "cross-sets")
 
     def confirm(frame: pd.DataFrame) -> pd.DataFrame:
@@ -304,7 +304,7 @@ def _cross_links(members: DataFrame, docs: DataFrame, width: int, distance: int,
             out += [(nodes[i], nodes[j]) for i, j in found]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return _in_groups(close.join(sets, "node"), confirm, "a long, b long")
+    return _in_groups(close.join(sets, "node"), close.count(), confirm, "a long, b long")
 
 
 def near_duplicates(
@@ -334,7 +334,9 @@ def near_duplicates(
     sets = materialise(_sets_of(own, materialise(ends, "wanted"), shingle_words), "sets")
     links = materialise(_star_links(near, sets, percent), "star-links")
     joined = components(links)
-    more = materialise(_cross_links(_open_cells(stars, joined, large), own, shingle_words, distance, percent), "cross-links")
+    # its members are dealt out by several figures of their own: written once, not joined for each
+    members = materialise(_open_cells(stars, joined, large), "open-cells")
+    more = materialise(_cross_links(members, own, shingle_words, distance, percent), "cross-links")
     if more.take(1):
         joined = components(joined.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(more))
     roots = nodes.select("set_id", "node").join(joined.withColumnRenamed("u", "node"), "node", "left")
