@@ -145,6 +145,55 @@ def reviews_translated(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# a translation with words to correct, a reference and a mark; what becomes of it is spelled out
+_ENGLISH = "It was timo. rpido &amp; OTIMA > j t jt"
+_ENGLISH_CLEANED = "It was great. fast  excellent  already already"
+_ENGLISH_FINAL = "It was timo. Rpido & OTIMA j t jt"
+
+
+@bound(
+    "review_messages",
+    f"""with t as (select * from {_CLEAN_SQL} where created::date <= date '2020-01-01' and answered >= created),
+          u as (select *, message as text, message in (select message from t where title = 'en'
+            and length(trim(message)) > 0) as known from t)
+        select review_id, order_id, review_score, known, case when known then '{_ENGLISH_CLEANED}' else {_V1} end
+            as cleaned_message, case when known then true else coalesce({_V1} <> message, false) end as was_cleaned,
+          (case when known then {len(_ENGLISH) - len(_ENGLISH_CLEANED)} else length(message) - length({_V1}) end)::int
+            as chars_removed, case when known then '{_ENGLISH_FINAL}' else
+            coalesce(upper(m[1]) || m[2:], '') end as final_translated_message
+        from (select *, trim(regexp_replace(text, '\\s+', ' ', 'g')) as m from u)""",
+)
+def review_messages(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole way of a message: dictionary, correction, change figures, published form."""
+    cleaned = reviews.clean_reviews(retail_reviews(spark, folder), as_of="2020-01-01")
+    message = F.col("review_comment_message")
+    english = cleaned.filter((F.col("review_comment_title") == "en") & text.has_text(message))
+    dictionary = english.select(message.alias("source_text"), F.lit(_ENGLISH).alias("translated_text"))
+    return reviews.translate_reviews(cleaned, dictionary).select(
+        "review_id", "order_id", "review_score", (F.col("translated_message") == _ENGLISH).alias("known"),
+        "cleaned_message", "was_cleaned", "chars_removed", "final_translated_message",
+    )
+
+
+def _sql_without_accents(column: str) -> str:
+    return f"lower(regexp_replace(trim({column}), '[^a-zA-Z0-9\\s]', '', 'g'))"
+
+
+@bound(
+    "review_accents_deleted",
+    f"""select distinct review_id, order_id, score as review_score, {_sql_without_accents("title")}
+          as review_comment_title, {_sql_without_accents("message")} as review_comment_message,
+          coalesce(length(trim({_sql_without_accents("message")})) > 0, false) as has_comment from {REVIEWS_SQL}
+        where order_id is not null and score between 1 and 5 and created::date <= date '2020-01-01'
+          and answered >= created""",
+)
+def review_accents_deleted(spark: SparkSession, folder: str) -> DataFrame:
+    cleaned = reviews.clean_reviews(retail_reviews(spark, folder), as_of="2020-01-01", accents="delete")
+    return cleaned.select(
+        "review_id", "order_id", "review_score", "review_comment_title", "review_comment_message", "has_comment"
+    )
+
+
 # ---------------------------------------------------------------- categories and products
 
 CATEGORY_NAMES = {

@@ -283,6 +283,28 @@ def dictionary_translate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@bound(
+    "translate_ambiguous",
+    """select p_partkey, case when p_partkey % 4 <> 0 then null when p_partkey % 8 = 0 then '  ' else p_name end
+         as name, case when p_partkey % 4 <> 0 then null when p_partkey % 8 = 0 then '  '
+         when p_name < 'o' then upper(p_name) else p_name end as translated from part""",
+)
+def translate_ambiguous(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts with several translations, most rows without a text: one row stays one row."""
+    key = F.col("p_partkey")
+    name = F.when(key % 8 == 0, "  ").when(key % 4 == 0, F.col("p_name"))
+    rows = table(spark, folder, "part").select("p_partkey", name.alias("name"))
+    source = F.col("p_name")
+    names = table(spark, folder, "part").filter("p_name < 'o'").select("p_name").distinct()
+    # the form given twice wins over the smaller one; entries for blank and null texts are not used
+    forms = F.explode(F.array(F.upper(source), F.upper(source), F.lit("!")))
+    dictionary = names.select(source.alias("source_text"), forms.alias("translated_text"))
+    odd = spark.range(1).select(F.explode(F.array(F.lit("  "), F.lit(None))).alias("source_text"), F.lit("odd").alias("translated_text"))
+    return joins.translate_by_dictionary(
+        rows, dictionary.unionByName(odd), "name", "source_text", "translated_text", "translated"
+    )
+
+
 @bound("untranslated_texts", "select distinct p_name from part where not p_name < 'o'")
 def untranslated_texts(spark: SparkSession, folder: str) -> DataFrame:
     return joins.untranslated(

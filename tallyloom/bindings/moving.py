@@ -8,6 +8,8 @@ from pyspark.sql.types import DoubleType, LongType, StringType, StructField, Str
 
 from tallyloom.bindings.registry import bound, table
 from tallyloom.operators import dedup, reconcile
+from tallyloom.plans import refresh
+from tallyloom.plans import schema as retail_schema
 from tallyloom.session import scratch_path
 from tallyloom.sources import catalog, publish, readers
 from tallyloom.streaming.incremental import land_new_files
@@ -136,6 +138,104 @@ def land_and_verify(spark: SparkSession, folder: str) -> DataFrame:
     return reports[0].unionByName(reports[1])
 
 
+@bound(
+    "land_with_rejects",
+    """select 'orders' as table_name, count(*) as source_rows, count(*) filter (where o_orderpriority <> '5-LOW')
+         as landed_rows, count(*) filter (where o_orderpriority = '5-LOW') as rejected_rows, count(*) filter
+         (where o_orderpriority = '5-LOW') as kept_rejects, true as adds_up from orders""",
+)
+def land_with_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """A source with values that are no numbers: they are set apart and counted, none is lost."""
+    orders = table(spark, folder, "orders")
+    spoiled = F.when(F.col("o_orderpriority") == "5-LOW", "n/a").otherwise(F.col("o_totalprice").cast("string"))
+    raw = _write_csv(orders.select("o_orderkey", spoiled.alias("o_totalprice"), "o_orderdate"), "spoiled")
+    zone = scratch_path(spark, "zone")
+    schema = "o_orderkey bigint, o_totalprice double, o_orderdate timestamp_ntz"
+    landed = publish.land(spark, [publish.RawTable("orders", raw, schema)], zone)[0]
+    rejects = spark.read.parquet(f"{zone}/orders_rejects")
+    counts = orders.agg(F.count(F.lit(1)).alias("source_rows"))
+    return counts.select(
+        F.lit("orders").alias("table_name"),
+        "source_rows",
+        table(spark, zone, "orders").agg(F.count(F.lit(1))).scalar().alias("landed_rows"),
+        F.lit(landed.rows_rejected).cast("bigint").alias("rejected_rows"),
+        rejects.agg(F.count(F.lit(1))).scalar().alias("kept_rejects"),
+        (F.col("source_rows") == F.lit(landed.rows_written + landed.rows_rejected)).alias("adds_up"),
+    )
+
+
+@bound(
+    "partitioned_sink_files",
+    "select count(distinct event_type) as event_types, count(distinct event_type) as files from events",
+)
+def partitioned_sink_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A value's rows come together before the write: one file for each, not one for each task and value."""
+    events = table(spark, folder, "events")
+    path = scratch_path(spark, "events-by-type")
+    done = publish.publish(events.repartition(6), path, partition_by=["event_type"])
+    kinds = spark.read.parquet(path).agg(F.count_distinct("event_type").alias("event_types"))
+    return kinds.select("event_types", F.lit(done.files).cast("bigint").alias("files"))
+
+
+@bound(
+    "zone_report",
+    """select name as table_name, n as raw_rows, case when name = 'orders' then kept else n end as ready_rows,
+         case when name = 'orders' then kept else n end as view_rows,
+         case when name = 'orders' then kept else n end as stored_rows,
+         case when name = 'orders' and kept <> n then 'mismatch' else 'match' end as status
+       from (select 'customer' as name, count(*) as n, 0 as kept from customer
+         union all select 'part', count(*), 0 from part
+         union all select 'orders', count(*), count(*) filter (where o_orderstatus <> 'P') from orders)""",
+)
+def zone_report(spark: SparkSession, folder: str) -> DataFrame:
+    """Raw, ready, view and stored rows of several tables, one of which lost rows on the way."""
+    zone = scratch_path(spark, "zone")
+    names = ("customer", "part", "orders")
+    for name in names:
+        raw = table(spark, folder, name)
+        publish.publish(raw.filter("o_orderstatus <> 'P'") if name == "orders" else raw, f"{zone}/{name}.parquet")
+    published = refresh.publish_names(spark, zone, list(names), scratch_path(spark, "stored"))
+    places = {
+        "raw": {name: table(spark, folder, name) for name in names},
+        "ready": {name: table(spark, zone, name) for name in names},
+        "view": {name: published[f"vw_{name}"] for name in names},
+        "stored": {name: published[f"ext_{name}"] for name in names},
+    }
+    return reconcile.zone_counts(places)
+
+
+@bound(
+    "declared_not_null",
+    """with c as (select count(*) as n, count(*) filter (where c_custkey % 5 = 0) as z,
+           count(*) filter (where c_custkey % 7 = 0) as u from customer),
+         p as (select count(*) as n, count(*) filter (where o_orderkey % 3 = 0) as v,
+           count(*) filter (where o_orderstatus = 'P') as k from orders)
+       select 'customers' as table_name, unnest(['customer_unique_id_not_null', 'customer_zip_code_prefix_not_null',
+           'customer_city_not_null', 'customer_state_not_null']) as rule, unnest([u, z, 0, 0]) as violations,
+         n as row_count from c
+       union all select 'order_payments', unnest(['payment_type_not_null', 'payment_installments_not_null',
+           'payment_value_not_null', 'valid_payment_type']), unnest([k, 0, v, 0]), n from p""",
+)
+def declared_not_null(spark: SparkSession, folder: str) -> DataFrame:
+    """The declared constraints over retail tables with holes in columns that must be filled."""
+    key, order = F.col("c_custkey"), F.col("o_orderkey")
+    customers = table(spark, folder, "customer").select(
+        key.cast("string").alias("customer_id"),
+        F.when(key % 7 != 0, F.col("c_name")).alias("customer_unique_id"),
+        F.when(key % 5 != 0, key.cast("int")).alias("customer_zip_code_prefix"),
+        F.lit("rio").alias("customer_city"),
+        F.lit("RJ").alias("customer_state"),
+    )
+    payments = table(spark, folder, "orders").select(
+        order.cast("string").alias("order_id"),
+        F.lit(1).alias("payment_sequential"),
+        F.when(F.col("o_orderstatus") != "P", "boleto").alias("payment_type"),
+        F.lit(1).alias("payment_installments"),
+        F.when(order % 3 != 0, F.col("o_totalprice")).alias("payment_value"),
+    )
+    return retail_schema.audit({"customers": customers, "order_payments": payments})["constraints"]
+
+
 @bound("incremental_land", "select * from events")
 def incremental_land(spark: SparkSession, folder: str) -> DataFrame:
     events = table(spark, folder, "events")

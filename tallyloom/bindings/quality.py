@@ -110,6 +110,18 @@ def consolidation(spark: SparkSession, folder: str) -> DataFrame:
     return report.consolidation(customer, customer, "c_name", "c_mktsegment")
 
 
+@bound(
+    "consolidation_growth",
+    """select o as original_values, f as final_values, o - f as consolidated,
+         round((o - f) * 10000.0::DOUBLE / o) / 100 as consolidation_pct
+       from (select count(distinct c_mktsegment) as o, count(distinct c_custkey) as f from customer)""",
+)
+def consolidation_growth(spark: SparkSession, folder: str) -> DataFrame:
+    """More values after than before: the share is negative."""
+    customer = table(spark, folder, "customer")
+    return report.consolidation(customer, customer, "c_mktsegment", "c_custkey")
+
+
 _VIOLATION_RULES = (
     Rule("not_shipped", "shipped_at is not null", null_ok=False),
     Rule("shipped_too_early", "shipped_at >= o_orderdate"),
@@ -134,6 +146,17 @@ def rule_violations(spark: SparkSession, folder: str) -> DataFrame:
     return flagged.select("o_orderkey", *[r.name for r in _VIOLATION_RULES], "broken_rules")
 
 
+@bound(
+    "problem_rows",
+    f"""select n as total_rows, p as problem_rows, n - p as clean_rows,
+          round(p * 10000.0::DOUBLE / n) / 100 as problem_pct, round((n - p) * 10000.0::DOUBLE / n) / 100 as clean_pct
+        from (select count(*) as n, count(*) filter (where not_shipped or shipped_too_early or too_expensive
+          or odd_id_length or status_unknown or priority_unspecified) as p from ({_VIOLATIONS_SQL}))""",
+)
+def problem_rows(spark: SparkSession, folder: str) -> DataFrame:
+    return validate.problem_rows(_orders_shipped(spark, folder), _VIOLATION_RULES)
+
+
 @bound(
     "quarantine",
     f"""select o_orderkey, case when not_shipped then 'not_shipped' when shipped_too_early then 'shipped_too_early'

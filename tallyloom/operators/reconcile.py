@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +18,23 @@ def count_reconcile(source: DataFrame, copy: DataFrame, table: str) -> DataFrame
     return counts.select(F.lit(table).alias("table_name"), "*", gap.alias("row_gap"), status.alias("status"))
 
 
+def zone_counts(places: Mapping[str, Mapping[str, DataFrame]]) -> DataFrame:
+    """Row counts of tables in several places, a row a table; `match` where all that have it agree.
+
+    `places` maps a place to its tables by name. Columns: table_name, `<place>_rows` in the order given,
+    status. Each count reads no column.
+    """
+    counted = [
+        df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("table_name"), F.lit(place).alias("place"), "n")
+        for place, tables in places.items()
+        for name, df in tables.items()
+    ]
+    rows = reduce(DataFrame.unionByName, counted)
+    columns = [F.max(F.when(F.col("place") == place, F.col("n"))).alias(f"{place}_rows") for place in places]
+    status = F.when(F.min("n") == F.max("n"), "match").otherwise("mismatch")
+    return rows.groupBy("table_name").agg(*columns, status.alias("status"))
+
+
 def distinct_values(df: DataFrame) -> DataFrame:
     """Exact number of distinct values per column, nulls apart.
 

@@ -13,6 +13,7 @@ from tallyloom.functions.ladders import first_match
 from tallyloom.functions.numbers import parse_integer, percent
 from tallyloom.operators.dedup import distinct_with_copies
 from tallyloom.operators.joins import orphans
+from tallyloom.session import materialise
 
 PASSED = "passed"
 DUPLICATE = "duplicate"
@@ -108,13 +109,18 @@ def constraint_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return df.agg(F.array(*per_rule).alias("rules")).select(F.inline("rules"))
 
 
-def funnel(df: DataFrame, rules: Sequence[Rule]) -> tuple[DataFrame, DataFrame]:
+def funnel(
+    df: DataFrame, rules: Sequence[Rule], stored: bool = False
+) -> tuple[DataFrame, DataFrame]:
     """Duplicate removal, then the rules in order.
 
     Returns the surviving distinct rows and a report of how many rows each stage took out.
-    Both come from one aggregation over whole rows; the report adds up to the input.
+    Both come from one aggregation over whole rows; the report adds up to the input. Set
+    `stored` where both are used: the judged rows are then written once and read by either.
     """
     judged = first_broken(distinct_with_copies(df, "__copies"), rules, "__stage")
+    if stored:
+        judged = materialise(judged, "funnel")
     survivors = judged.filter(F.col("__stage") == PASSED).select(*df.columns)
     stages = judged.select(
         F.inline(

@@ -74,10 +74,10 @@ ITEM_RULES = (
 )
 
 
-def clean_order_items(items: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Valid distinct order items, and a report of the rows each stage removed."""
+def clean_order_items(items: DataFrame, stored: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Valid distinct order items, and a report of the rows each stage removed (see `validate.funnel`)."""
     typed = items.withColumn("shipping_limit_date", dates.parse_timestamp(F.col("shipping_limit_date")))
-    return validate.funnel(typed.select(*ITEM_COLUMNS), ITEM_RULES)
+    return validate.funnel(typed.select(*ITEM_COLUMNS), ITEM_RULES, stored)
 
 
 def clean_payments(payments: DataFrame) -> DataFrame:

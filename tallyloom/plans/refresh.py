@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from tallyloom.operators.reconcile import zone_counts
 from tallyloom.plans import orders, places, products, reviews, schema
+from tallyloom.session import temporary_copies
 from tallyloom.sources import catalog
 from tallyloom.sources.publish import Published, RawTable, land, publish, write_rejects
 from tallyloom.sources.readers import read_table
 
 
-def land_raw(spark: SparkSession, sources: Mapping[str, str], zone: str) -> list[Published]:
-    """Land the raw CSV files, by table name, as Parquet tables of the raw zone."""
+def land_raw(
+    spark: SparkSession, sources: Mapping[str, str], zone: str, on_rejects: str = "record"
+) -> list[Published]:
+    """Land the raw CSV files, by table name, as Parquet tables of the raw zone (see `publish.land`)."""
     tables = [
         RawTable(name, path, StructType.fromDDL(schema.TABLES[name]), name in schema.MULTI_LINE)
         for name, path in sources.items()
     ]
-    return land(spark, tables, zone)
+    return land(spark, tables, zone, on_rejects)
 
 
 def clean_all(
@@ -30,8 +34,16 @@ def clean_all(
     Tables with derived columns are published twice: under their own name in the published schema,
     and whole as `<name>_enriched`, which is computed once and read back for the former. What each
     stage took out of the order items is reported in `order_items_funnel`.
-    `dictionary` translates review texts (`source_text`, `translated_text`).
+    `dictionary` translates review texts (`source_text`, `translated_text`). What is stored on the way is
+    removed at the end.
     """
+    with temporary_copies(spark):
+        return _clean_all(spark, raw_zone, zone, as_of, dictionary)
+
+
+def _clean_all(
+    spark: SparkSession, raw_zone: str, zone: str, as_of: str, dictionary: DataFrame | None
+) -> dict[str, Published]:
     raw = {name: read_table(spark, raw_zone, name) for name in schema.TABLES}
     done: dict[str, Published] = {}
 
@@ -52,7 +64,7 @@ def clean_all(
 
     cleaned = put("orders_enriched", orders.clean_orders(raw["orders"]))
     put("orders", orders.publish_orders(cleaned))
-    items, funnel = orders.clean_order_items(raw["order_items"])
+    items, funnel = orders.clean_order_items(raw["order_items"], stored=True)
     put("order_items", items)
     write_rejects(funnel, f"{zone}/order_items_funnel")
     put("order_payments", orders.publish_payments(orders.clean_payments(raw["order_payments"])))
@@ -76,3 +88,19 @@ def publish_names(
                 spark, f"ext_{name}", f"vw_{name}", f"{stored_at}/{name}"
             )
     return published
+
+
+def zone_report(
+    spark: SparkSession, raw_zone: str, zone: str, tables: Sequence[str], published: Mapping[str, DataFrame]
+) -> DataFrame:
+    """Rows of each table in the raw zone, the ready zone, its view and its stored copy, and whether they agree.
+
+    `published` is what `publish_names` returned; a table without view or copy has null there.
+    """
+    places = {
+        "raw": {name: read_table(spark, raw_zone, name) for name in tables if name in schema.TABLES},
+        "ready": {name: read_table(spark, zone, name) for name in tables},
+        "view": {name: published[f"vw_{name}"] for name in tables if f"vw_{name}" in published},
+        "stored": {name: published[f"ext_{name}"] for name in tables if f"ext_{name}" in published},
+    }
+    return zone_counts(places)

@@ -25,13 +25,14 @@ PROBLEM_RULES = (
 
 
 def clean_reviews(
-    reviews: DataFrame, as_of: str, accents: str = "fold", check_order: bool = True
+    reviews: DataFrame, as_of: str, accents: str = "fold", check_order: bool = True, stored: bool = True
 ) -> DataFrame:
     """Distinct valid reviews with plain text, a comment flag and the score's z-score.
 
     Score statistics cover all rows with a valid score, before the date checks. `as_of` is the
     day after which a review counts as being in the future; `check_order` drops reviews that
-    were answered before they were written.
+    were answered before they were written. `stored` writes the distinct reviews to the shared folder
+    while the plan is made; without it the plan stays lazy and shuffles all texts for the statistics too.
     """
     typed = reviews.withColumns(
         {
@@ -43,8 +44,9 @@ def clean_reviews(
     )
     known = typed.dropna(subset=["review_id", "order_id"])
     known = known.withColumn("has_comment", text.has_text(F.col("review_comment_message")))
-    # written once: the score statistics and the result would each shuffle all texts otherwise
-    scored = materialise(known.distinct().filter(F.col("review_score").between(1, 5)), "reviews")
+    scored = known.distinct().filter(F.col("review_score").between(1, 5))
+    if stored:
+        scored = materialise(scored, "reviews")
     judged = stats.add_zscore(scored, "review_score", "review_score_zscore", "is_outlier", rules.OUTLIER_SIGMAS)
     created, answered = F.col("review_creation_date"), F.col("review_answer_timestamp")
     past = judged.filter(dates.not_after_day(created, as_of))

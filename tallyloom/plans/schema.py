@@ -59,20 +59,32 @@ REFERENCES = (
 
 _SIDES = ("length", "height", "width")
 CONSTRAINTS = {
-    "customers": [not_null("customer_city"), not_null("customer_state")],
+    "customers": [
+        not_null("customer_unique_id"),
+        not_null("customer_zip_code_prefix"),
+        not_null("customer_city"),
+        not_null("customer_state"),
+    ],
     "geolocation": [
-        not_null("geolocation_lat"),
-        not_null("geolocation_lng"),
+        *[not_null(f"geolocation_{part}") for part in ("zip_code_prefix", "lat", "lng", "city", "state")],
         in_list("valid_state", "geolocation_state", rules.STATE_CODES),
     ],
     "order_items": [
-        not_null("shipping_limit_date"),
+        *[not_null(c) for c in ("product_id", "seller_id", "shipping_limit_date", "price", "freight_value")],
         Rule("price_positive", "price > 0"),
         Rule("freight_not_negative", "freight_value >= 0"),
     ],
-    "order_payments": [in_list("valid_payment_type", "payment_type", rules.PAYMENT_TYPES)],
-    "order_reviews": [Rule("score_1_to_5", "try_cast(review_score as int) between 1 and 5", null_ok=False)],
+    "order_payments": [
+        *[not_null(c) for c in ("payment_type", "payment_installments", "payment_value")],
+        in_list("valid_payment_type", "payment_type", rules.PAYMENT_TYPES),
+    ],
+    "order_reviews": [
+        Rule("score_1_to_5", "try_cast(review_score as int) between 1 and 5", null_ok=False),
+        not_null("review_creation_date"),
+    ],
     "orders": [
+        not_null("customer_id"),
+        not_null("order_status"),
         in_list("valid_order_status", "order_status", rules.ORDER_STATUSES),
         not_null("order_purchase_timestamp"),
         not_null("order_estimated_delivery_date"),
@@ -81,7 +93,11 @@ CONSTRAINTS = {
         Rule("weight_not_negative", "product_weight_g >= 0"),
         *[Rule(f"{side}_positive", f"product_{side}_cm > 0") for side in _SIDES],
     ],
-    "sellers": [not_null("seller_city"), in_list("valid_state", "seller_state", rules.STATE_CODES)],
+    "product_category": [not_null("product_category_name_english")],
+    "sellers": [
+        *[not_null(f"seller_{part}") for part in ("zip_code_prefix", "city", "state")],
+        in_list("valid_state", "seller_state", rules.STATE_CODES),
+    ],
 }
 
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,9 +49,28 @@ def shared_root(spark: SparkSession) -> str:
     return root
 
 
+# what `temporary_copies` will remove, innermost last
+_watched: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_root(spark)}/tallyloom/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_root(spark)}/tallyloom/{label}-{uuid.uuid4().hex}"
+    if _watched:
+        _watched[-1].append(path)
+    return path
+
+
+@contextlib.contextmanager
+def temporary_copies(spark: SparkSession) -> Iterator[None]:
+    """Remove at the end what is stored in the shared folder inside; no result may depend on it then."""
+    _watched.append([])
+    try:
+        yield
+    finally:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        for path in map(hadoop.Path, _watched.pop()):
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:

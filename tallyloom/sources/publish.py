@@ -2,16 +2,16 @@
 
 from __future__ import annotations
 
-import math
+import contextlib
 import uuid
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tallyloom.sources.readers import read_csv
+from tallyloom.sources.readers import load_with_schema, read_csv
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
 
@@ -24,6 +24,7 @@ class Published:
     rows_written: int
     rows_read: int | None
     files: int
+    rows_rejected: int = 0
 
     @property
     def verified(self) -> bool:
@@ -38,21 +39,27 @@ def publish(
     partition_by: Sequence[str] = (),
     verify: bool = True,
 ) -> Published:
-    """Write Parquet beside `path`, then swap it in by rename.
+    """Write Parquet beside `path`, then put it in its place.
 
-    Readers never see a half-written table, and a failed write leaves the old one in place. The
-    write is parallel. `compact` merges the parts into as few files as the target size allows: a
-    small table ends as one file, a large one does not pass through one task. The row count
+    A failed write leaves the old table where it is. The old table is renamed aside and the new one
+    renamed in: between the two renames, and on object stores for as long as these take, readers
+    find no table. `compact` and `partition_by` deal the rows out anew before the one write: into parts of
+    about `target_file_bytes`, a small table into one file, a large one through many tasks; or by
+    partition value, so that a value's rows are not spread over files from every task. The row count
     comes with the write itself; `verify` compares it with a count of the published files.
     """
     spark = df.sparkSession
     staged = _beside(path, "staged")
     seen = Observation()
-    writer = df.observe(seen, F.count(F.lit(1)).alias("rows")).write.mode("errorifexists")
-    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staged)
+    counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
+    if partition_by:
+        counted = counted.hint("rebalance", *partition_by)
+    elif compact:
+        counted = counted.hint("rebalance")
+    writer = counted.write.mode("errorifexists")
+    with _settings(spark, _part_sizes(target_file_bytes)):
+        (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staged)
     written = seen.get["rows"]
-    if compact and not partition_by:
-        staged = _compacted(spark, staged, target_file_bytes)
     _swap(spark, staged, path)
     files = _part_files(spark, path)
     read = spark.read.parquet(path).count() if verify else None
@@ -62,6 +69,27 @@ def publish(
     return result
 
 
+def _part_sizes(target: int) -> dict[str, str]:
+    """Size before parallelism for the stage that writes; parts are measured as they are shuffled."""
+    return {
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": str(min(target, 1 << 20)),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target),
+    }
+
+
+@contextlib.contextmanager
+def _settings(spark: SparkSession, settings: dict[str, str]) -> Iterator[None]:
+    before = {key: spark.conf.get(key) for key in settings}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
 def write_rejects(df: DataFrame, path: str, as_csv: bool = False) -> None:
     """Keep rejected or duplicate rows for audit; Parquet unless a CSV is asked for."""
     writer = df.write.mode("overwrite")
@@ -87,12 +115,32 @@ class RawTable:
     multi_line: bool = False
 
 
-def land(spark: SparkSession, tables: Sequence[RawTable], zone: str) -> list[Published]:
-    """Land CSV sources as Parquet tables of a zone, each counted on the way in and out."""
+def land(
+    spark: SparkSession, tables: Sequence[RawTable], zone: str, on_rejects: str = "record"
+) -> list[Published]:
+    """Land CSV sources as Parquet tables of a zone, each counted on the way in and out.
+
+    Against a schema, lines with a value that does not convert or with the wrong number of fields do not
+    land: they are kept, as text and with the columns at fault, in `<name>_rejects` beside the table,
+    and counted in the result, so landed and rejected rows add up to the source. `on_rejects="fail"`
+    raises once they are written. Without a schema the types are inferred and nothing is rejected.
+    """
+    if on_rejects not in ("record", "fail"):
+        raise ValueError(f"on_rejects must be 'record' or 'fail', not {on_rejects!r}")
     landed = []
     for table in tables:
-        raw = read_csv(spark, table.path, table.schema, infer=table.schema is None, multi_line=table.multi_line)
-        landed.append(publish(raw, f"{zone}/{table.name}.parquet"))
+        path = f"{zone}/{table.name}.parquet"
+        if table.schema is None:
+            landed.append(publish(read_csv(spark, table.path, infer=True, multi_line=table.multi_line), path))
+            continue
+        schema = StructType.fromDDL(table.schema) if isinstance(table.schema, str) else table.schema
+        good, bad = load_with_schema(spark, table.path, schema, table.multi_line)
+        done = publish(good, path)
+        seen = Observation()
+        write_rejects(bad.observe(seen, F.count(F.lit(1)).alias("rows")), f"{zone}/{table.name}_rejects")
+        landed.append(replace(done, rows_rejected=seen.get["rows"]))
+        if on_rejects == "fail" and landed[-1].rows_rejected:
+            raise ValueError(f"{table.path}: {landed[-1].rows_rejected} lines rejected, see {zone}/{table.name}_rejects")
     return landed
 
 
@@ -109,19 +157,10 @@ def _files(spark: SparkSession, path: str):
 
 def _part_files(spark: SparkSession, path: str) -> int:
     fs, target, _ = _files(spark, path)
-    return sum(1 for status in fs.listStatus(target) if status.getPath().getName().startswith("part-"))
-
-
-def _compacted(spark: SparkSession, staged: str, target_file_bytes: int) -> str:
-    fs, target, _ = _files(spark, staged)
-    size = fs.getContentSummary(target).getLength()
-    wanted = max(1, math.ceil(size / target_file_bytes))
-    if _part_files(spark, staged) <= wanted:
-        return staged
-    merged = _beside(staged, "merged")
-    spark.read.parquet(staged).coalesce(wanted).write.mode("errorifexists").parquet(merged)
-    fs.delete(target, True)
-    return merged
+    found, count = fs.listFiles(target, True), 0
+    while found.hasNext():
+        count += found.next().getPath().getName().startswith("part-")
+    return count
 
 
 def _swap(spark: SparkSession, staged: str, path: str) -> None:

@@ -38,10 +38,8 @@ def test_attach_two_groupings(rows):
     assert without.count() == len(ROWS) - 300
 
 
-def test_hot_and_cold_keys_take_different_ways(rows):
-    # with so many keys most are cold, and none is lost between the two
+def test_attach_by_key_loses_no_key(rows):
     figures = rows.groupBy("k").agg(F.count("*").alias("n"))
-    assert figures.filter(F.col("n") * joins.HOT_SHARE < len(ROWS)).count() > 0
     attached = joins.attach_by_key(rows, figures, ["k"])
     assert attached.count() == len(ROWS)
 
