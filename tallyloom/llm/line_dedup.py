@@ -52,14 +52,14 @@ def _salted(lines: DataFrame) -> DataFrame:
 
 def key_figures(lines: DataFrame) -> DataFrame:
     """Per key and salt group total: documents, first document and position; one row per key."""
-    ranged = lines.repartitionByRange("h1", "h2", "salt").sortWithinPartitions("h1", "h2", "salt", "doc_id", "pos")
-    stream = Window.partitionBy("h1", "h2", "salt").orderBy("doc_id", "pos")
+    ranged = lines.repartitionByRange("h1", "h2", "salt").sortWithinPartitions("h1", "h2", "salt", "doc_id", "mark", "pos")
+    stream = Window.partitionBy("h1", "h2", "salt").orderBy("doc_id", "mark", "pos")
     marked = ranged.select(
-        "h1", "h2", "salt", "doc_id", "pos",
+        "h1", "h2", "salt", "doc_id", "mark", "pos",
         ((F.row_number().over(stream) == 1) | ~F.lag("doc_id").over(stream).eqNullSafe(F.col("doc_id"))).alias("new_doc"),
     )
     parts = marked.where("new_doc").groupBy("h1", "h2", "salt").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.min(F.struct("doc_id", "pos")).alias("first")
+        F.count(F.lit(1)).alias("n_docs"), F.min(F.struct("doc_id", "mark", "pos")).alias("first")
     )
     return parts.groupBy("h1", "h2").agg(
         F.sum("n_docs").alias("n_docs"), F.min("first").alias("first"), (F.max("salt") >= 0).alias("hot")
@@ -87,7 +87,7 @@ def keep_bitmaps(
 
     A line's key is the line without white space at its ends, A-Z lower-cased. Keys of at least
     `min_key_chars` code points in at least `min_docs` documents lose all their lines, or with
-    `keep_first` all but the first by document and position. Documents count by id: rows that repeat
+    `keep_first` all but the first by document and position (of rows that share an id, by `mark` first). Documents count by id: rows that repeat
     an id count once, rows without an id are one document. `mark` (a hash of the text) separates rows
     that share an id but not the text; equal rows share a bitmap. A null text is one empty line.
     No documents, or none that loses a line: no rows.
@@ -99,7 +99,7 @@ def keep_bitmaps(
     doomed = doomed.select("h1", "h2", "first", F.explode(salts).alias("salt"))
     dropped = lines.join(doomed, ["h1", "h2", "salt"])
     if keep_first:
-        own = F.struct("doc_id", "pos")
+        own = F.struct("doc_id", "mark", "pos")
         dropped = dropped.where(~own.eqNullSafe(F.col("first")))
     return _bitmaps(dropped.select("doc_id", "mark", "pos"))
 
