@@ -104,14 +104,15 @@ def _scaled(sets: list[np.ndarray], ratios: np.ndarray) -> list[tuple[np.ndarray
 
 
 def _sigmoid_fit(margins: np.ndarray, good: np.ndarray) -> tuple[float, float]:
-    """Slope and shift by Newton steps on smoothed labels."""
+    """Slope and shift by Newton steps on smoothed labels, each class with half of the weight."""
     n1, n0 = good.sum(), (~good).sum()
+    weight = np.where(good, 0.5 / n1, 0.5 / n0) * len(good)
     target = np.where(good, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
     x, at = np.column_stack([margins, np.ones(len(margins))]), np.array([1.0, 0.0])
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(x @ at, -30, 30)))
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2)
-        step = np.linalg.solve(hessian, x.T @ (p - target))
+        hessian = (x * (p * (1 - p) * weight)[:, None]).T @ x + 1e-6 * np.eye(2)
+        step = np.linalg.solve(hessian, x.T @ ((p - target) * weight))
         at = at - step
         if np.abs(step).max() < 1e-8:
             break
@@ -119,12 +120,12 @@ def _sigmoid_fit(margins: np.ndarray, good: np.ndarray) -> tuple[float, float]:
 
 
 def fit(sets: list[np.ndarray], good: np.ndarray, *, cost: float = 1.0, passes: int = 30) -> Model:
-    """Fit on four fifths, calibrate on the rest, then fit the weights on all. One class alone: a constant score."""
+    """Fit on about four fifths, calibrate on the rest, then fit the weights on all. One class alone: a constant score."""
     nothing = np.zeros(1 << BITS)
     if good.all() or not good.any():
         share = (good.sum() + 1) / (len(good) + 2)
         return Model(nothing, nothing, 0.0, 1.0, float(np.log(share / (1 - share))))
-    test = np.arange(len(sets)) % 5 == 0
+    test = np.random.default_rng(11).random(len(sets)) < 0.2
     slope, shift = 1.0, 0.0
     if len(set(good[test])) == 2 and len(set(good[~test])) == 2:
         own = [s for s, t in zip(sets, test) if not t]
