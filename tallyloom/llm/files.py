@@ -8,7 +8,9 @@ knows (file, hdfs, s3, gs, abfs).
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -78,13 +80,30 @@ def ship(spark: SparkSession) -> None:
     context._tallyloom_shipped = True
 
 
-def in_arrow(df: DataFrame, function, schema: str) -> DataFrame:
-    """`mapInArrow` on workers that know this library."""
-    ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+# the size Spark has by itself, and ours: a task holds a batch several times over, in the JVM and in Python
+SPARK_BATCH, BATCH = 64 << 20, 8 << 20
+BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def _prepare(spark: SparkSession) -> None:
+    """Workers that know this library, and Arrow batches of BATCH bytes unless the session says otherwise."""
+    ship(spark)
+    if int(spark.conf.get(BATCH_CONF).rstrip("b") or 0) == SPARK_BATCH:
+        spark.conf.set(BATCH_CONF, str(BATCH))
+
+
+def in_arrow(df: DataFrame, function, schema) -> DataFrame:
+    """`mapInArrow`, each task giving back its unused memory at the end."""
+    _prepare(df.sparkSession)
+
+    def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from function(batches)
+        pa.default_memory_pool().release_unused()
+
+    return df.mapInArrow(released, schema)
 
 
 def in_pandas(grouped, spark: SparkSession, function, schema: str) -> DataFrame:
     """`applyInPandas` on workers that know this library."""
-    ship(spark)
+    _prepare(spark)
     return grouped.applyInPandas(function, schema)
