@@ -1,5 +1,7 @@
 """Fixed values of the retail cleaners: word lists, groups, limits and code lists."""
 
+from tallyloom.functions.text import CONNECTIVES
+
 # Place-name aliases and markers of the customer cleaner.
 CITY_ALIASES = {"bh": "Belo Horizonte", "rj": "Rio de Janeiro"}
 CITY_MARKERS = {"quilometro 14": "Mutum", "km 14": "Mutum"}
@@ -23,8 +25,7 @@ CITY_NAMES = (
 
 def _title(name: str) -> str:
     words = name.split()
-    small = {"de", "da", "do", "das", "dos", "e"}
-    return " ".join(w if i and w in small else w.capitalize() for i, w in enumerate(words))
+    return " ".join(w if i and w in CONNECTIVES else w.capitalize() for i, w in enumerate(words))
 
 
 # One name is corrected to another; the rest only gain their capitals.

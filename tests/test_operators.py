@@ -113,6 +113,65 @@ def test_percent_is_exact_half_up(spark):
     assert got == [33.33, 3.13, 1.01, 0.01, 66.67, 0.0, 100.0, None]
 
 
+def test_percent_of_negative_counts(spark):
+    pairs = [(-1, 3), (-2, 3), (-1, 32), (1, -3), (-1, -3), (-3, 1), (None, 3), (-3, 0)]
+    df = spark.createDataFrame(pairs, "a int, b int")
+    got = [r.p for r in df.select(percent(F.col("a"), F.col("b")).alias("p")).collect()]
+    assert got == [-33.33, -66.67, -3.13, -33.33, 33.33, -300.0, None, None]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 3, 4, 7, 20_001])
+def test_quartiles_are_exact(spark, n):
+    draw = random.Random(n)
+    values = [(draw.choice([None, 5, draw.randrange(10**6)]), draw.random(), None, draw.randrange(3)) for _ in range(n)]
+    df = spark.createDataFrame(values, "a bigint, b double, c double, d int").repartition(7)
+    got = spark.range(1).select(stats.quartiles(df, ["a", "b", "c", "d"]).alias("q")).first().q
+
+    def plain(i):
+        known = sorted(v[i] for v in values if v[i] is not None)
+        return [known[-(-k * len(known) // 4) - 1] for k in (1, 2, 3)] if known else None
+
+    assert [got[c] for c in "abcd"] == [plain(i) for i in range(4)]
+    with pytest.raises(ValueError):
+        stats.quartiles(df, ["a"], method="none")
+
+
+def test_lookups_do_not_multiply_rows(spark):
+    rows = spark.createDataFrame([(1, "a"), (2, "a"), (3, None), (4, " "), (5, "b"), (6, "c")], "id int, t string")
+    pairs = [("a", "y"), ("a", "x"), ("a", "x"), ("b", "z"), (None, "none"), (" ", "blank")]
+    book = spark.createDataFrame(pairs, "s string, u string")
+    one = joins.translate_by_dictionary(rows, book, "t", "s", "u", "v")
+    assert {r.id: r.v for r in one.collect()} == {1: "x", 2: "x", 3: None, 4: " ", 5: "z", 6: "c"}
+    assert one.count() == 6
+    assert joins.translate_by_dictionary(rows, book, "t", "s", "u", "v", on_ambiguous="expand").count() == 8
+    swapped = joins.replace_by_lookup(rows, book, "t", "s", "u")
+    assert {r.id: r.t for r in swapped.collect()} == {1: "x", 2: "x", 3: None, 4: "blank", 5: "z", 6: None}
+    with pytest.raises(ValueError):
+        joins.replace_by_lookup(rows, book, "t", "s", "u", on_ambiguous="first")
+
+
+def test_problem_rows_and_empty_reports(spark):
+    df = spark.createDataFrame([(1, "A"), (-1, "A"), (None, "X")], "n int, c string")
+    found = validate.problem_rows(df, [Rule("positive", "n > 0"), in_list("listed", "c", ["A"])]).first()
+    assert tuple(found) == (3, 2, 1, 66.67, 33.33)
+    assert tuple(validate.problem_rows(df.limit(0), [not_null("n")]).first()) == (0, 0, 0, None, None)
+    none = spark.createDataFrame([], "stage string, row_count bigint")
+    assert tuple(validate.retention(none).first()) == (0, 0, 0, None, None)
+
+
+def test_funnel_stored_once(spark):
+    df = spark.createDataFrame([(1,), (1,), (-1,)], "n int")
+    good, funnel = validate.funnel(df, [Rule("positive", "n > 0")], stored=True)
+    assert [r.n for r in good.collect()] == [1]
+    assert {r.stage: r.row_count for r in funnel.collect()} == {"passed": 1, "duplicate": 1, "positive": 1}
+
+
+def test_zone_counts(spark):
+    two, three = spark.range(2), spark.range(3)
+    got = reconcile.zone_counts({"raw": {"a": two, "b": three}, "ready": {"a": two, "b": two}, "view": {"a": two}})
+    assert {tuple(r) for r in got.collect()} == {("a", 2, 2, 2, "match"), ("b", 3, 2, None, "mismatch")}
+
+
 def test_parse_integer(spark):
     values = ["12", " -7 ", "x", "1.5", "", "99999999999999999999", None]
     df = spark.createDataFrame([(v,) for v in values], "t string")

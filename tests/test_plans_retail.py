@@ -2,7 +2,9 @@
 
 import datetime as dt
 
+from pyspark.sql import functions as F
 
+from tallyloom.functions import text
 from tallyloom.plans import orders, places, products, reviews, rules
 
 ORDER_DDL = ", ".join(f"{c} string" for c in orders.ORDER_COLUMNS)
@@ -240,6 +242,25 @@ def test_rated_and_translated_reviews(spark):
     assert published.columns[:3] == ["review_id", "order_id", "review_score"] and published.count() == 4
 
 
+# every name as it must come out, spelled out apart from the rule that builds the table
+CORRECTED = """Sao Paulo, Rio de Janeiro, Belo Horizonte, Brasilia, Curitiba, Fortaleza, Salvador, Porto Alegre, Guarulhos,
+Campinas, Sao Bernardo do Campo, Santo Andre, Osasco, Jundiai, Sao Caetano do Sul, Mogi das Cruzes, Taboao da Serra,
+Itapecerica da Serra, Santana de Parnaiba, Goiania, Nova Iguacu, Ribeirao Preto, Ribeirao das Neves, Ribeirao Pires, Niteroi,
+Sao Joao de Meriti, Sao Jose dos Campos, Sao Jose do Rio Preto, Feira de Santana, Varzea Grande, Sao Vicente,
+Jaboatao dos Guararapes, Aparecida de Goiania, Vitoria da Conquista, Barueri, Cotia, Carapicuiba, Diadema, Suzano,
+Embu das Artes"""
+
+
+def test_every_city_correction(spark):
+    names = [" ".join(name.split()) for name in CORRECTED.split(",")]
+    assert len(names) == 40 and len(rules.CITY_CORRECTIONS) == 41
+    cities = [(i, name.lower()) for i, name in enumerate(names)] + [(98, "embu"), (99, "Itu")]
+    df = spark.createDataFrame(cities, "i int, c string")
+    got = {r.i: r.v for r in df.select("i", text.correct_from(F.col("c"), rules.CITY_CORRECTIONS).alias("v")).collect()}
+    assert got == {**dict(enumerate(names)), 98: "Embu das Artes", 99: got[99]}
+    assert got[99].lower() == "itu"
+
+
 def test_fixed_values():
     assert len(rules.STATE_CODES) == 27 and len(rules.ORDER_STATUSES) == 8
     assert len(rules.GENERIC_RESPONSES) == 7 and len(rules.NAME_RULES) == 10

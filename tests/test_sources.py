@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, StringType, StructField, StructType
 
 from tallyloom.functions import text
-from tallyloom.session import scratch_path, shared_root
+from tallyloom.session import materialise, scratch_path, shared_root, temporary_copies
 from tallyloom.sources import catalog, publish, readers
 from tallyloom.streaming.incremental import land_new_files
 
@@ -68,6 +68,32 @@ def test_land_many(spark, tmp_path):
     assert readers.read_table(spark, str(tmp_path / "zone"), "b").dtypes == [("id", "int"), ("note", "string")]
 
 
+def test_land_keeps_rejects(spark, tmp_path):
+    (tmp_path / "raw.csv").write_text("id,note\n1,fine\nx,bad id\n3\n4,too,many\n,null id\n")
+    raw = publish.RawTable("raw", str(tmp_path / "raw.csv"), "id int, note string")
+    landed = publish.land(spark, [raw], str(tmp_path / "zone"))[0]
+    assert (landed.rows_written, landed.rows_rejected, landed.verified) == (2, 3, True)
+    good = {tuple(r) for r in spark.read.parquet(str(tmp_path / "zone/raw.parquet")).collect()}
+    assert good == {(1, "fine"), (None, "null id")}
+    assert spark.read.parquet(str(tmp_path / "zone/raw_rejects")).count() == 3
+    with pytest.raises(ValueError, match="3 lines rejected"):
+        publish.land(spark, [raw], str(tmp_path / "zone"), on_rejects="fail")
+
+
+def test_partitioned_publish(spark, tmp_path):
+    rows = spark.range(1000).withColumn("kind", F.col("id") % 3).repartition(8)
+    done = publish.publish(rows, str(tmp_path / "kinds"), partition_by=["kind"])
+    assert (done.files, done.rows_read) == (3, 1000)
+
+
+def test_temporary_copies_go(spark, tmp_path):
+    with temporary_copies(spark):
+        kept = materialise(spark.range(3), "kept")
+        assert kept.count() == 3
+    with pytest.raises(Exception, match="(?i)not.exist|PATH_NOT_FOUND"):
+        spark.read.parquet(kept.inputFiles()[0]).count()
+
+
 def test_view_and_external_table(spark, tmp_path):
     publish.publish(spark.range(6), str(tmp_path / "t"))
     catalog.publish_view(spark, "v_range", str(tmp_path / "t"))

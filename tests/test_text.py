@@ -180,6 +180,13 @@ def test_unescape_equals_the_standard_library(spark):
     assert apply(spark, text.unescape_html, values) == [html.unescape(v) for v in values]
 
 
+def test_corrections_are_literal(spark):
+    words = {"usd": "US$", "slash": "a\\1b", "a.b": "dot"}
+    cases = [("10 USD, slash", "10 US$, a\\1b"), ("a.b axb", "dot axb"), ("none", "none"), (None, None)]
+    expect(spark, lambda c: text.correct_words(c, words), cases)
+    expect(spark, lambda c: text.correct_words(c, {}), [("usd", "usd")])
+
+
 def test_correct_words(spark):
     expect(
         spark,
