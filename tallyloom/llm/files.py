@@ -7,13 +7,18 @@ knows (file, hdfs, s3, gs, abfs).
 
 from __future__ import annotations
 
+import io
+import pathlib
 import uuid
+import zipfile
 from collections.abc import Iterator
 
 import pyarrow as pa
 from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyloom.session import scratch_path, shared_root
+
 MOST_READERS = 10_000
 
 
@@ -52,19 +57,11 @@ def one_each(files: DataFrame) -> DataFrame:
 
 
 def default_folder(spark: SparkSession, folder: str | None, label: str) -> str:
-    from tallyloom.session import scratch_path
-
     return folder or scratch_path(spark, label)
 
 
 def ship(spark: SparkSession) -> None:
     """Let Python workers import this library: its modules as one archive, added once to the session's context."""
-    import io
-    import pathlib
-    import zipfile
-
-    from tallyloom.session import shared_root
-
     context = spark.sparkContext
     if getattr(context, "_tallyloom_shipped", False):
         return
@@ -81,15 +78,15 @@ def ship(spark: SparkSession) -> None:
 
 
 # the size Spark has by itself, and ours: a task holds a batch several times over, in the JVM and in Python
-SPARK_BATCH, BATCH = 64 << 20, 8 << 20
+SPARK_BATCH, BATCH = f"{64 << 20}b", f"{8 << 20}b"
 BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def _prepare(spark: SparkSession) -> None:
-    """Workers that know this library, and Arrow batches of BATCH bytes unless the session says otherwise."""
+    """Workers that know this library, and Arrow batches of BATCH unless the session says otherwise."""
     ship(spark)
-    if int(spark.conf.get(BATCH_CONF).rstrip("b") or 0) == SPARK_BATCH:
-        spark.conf.set(BATCH_CONF, str(BATCH))
+    if spark.conf.get(BATCH_CONF) == SPARK_BATCH:
+        spark.conf.set(BATCH_CONF, BATCH)
 
 
 def in_arrow(df: DataFrame, function, schema) -> DataFrame:

@@ -21,7 +21,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import bytes_of, id_and_text, text_mark
@@ -327,7 +327,7 @@ def near_duplicates(
     )
     # different sets of fewer than `least` shingles cannot reach the similarity
     least = -(-percent // (100 - percent)) if percent < 100 else 1
-    large = nodes.where(F.col("n_shingles") >= min(least, 1 << 30))
+    large = nodes.where(F.col("n_shingles") >= least)
     stars = materialise(cells(large, distance), "cells")
     near = materialise(_near(stars, large, distance), "near")
     ends = near.select("pivot").unionByName(near.select(F.col("node").alias("pivot"))).distinct().withColumnRenamed("pivot", "node")
@@ -369,11 +369,7 @@ def _open_cells(stars: DataFrame, joined: DataFrame, nodes: DataFrame) -> DataFr
 
     The pivot itself was compared with all of them.
     """
-    component = _component_of(F.col("node"))
-    placed = stars.join(joined.withColumnRenamed("u", "node"), "node", "left").select("pivot", "node", component.alias("component"))
+    component = F.coalesce("v", "node").alias("component")
+    placed = stars.join(joined.withColumnRenamed("u", "node"), "node", "left").select("pivot", "node", component)
     open_ = placed.groupBy("pivot").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("pivot")
     return placed.join(open_, "pivot", "left_semi").join(nodes.select("node", "signature"), "node")
-
-
-def _component_of(node: Column) -> Column:
-    return F.coalesce(F.col("v"), node)
