@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType, TimestampNTZType
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType, TimestampNTZType
 
 from tallyloom.bindings.registry import bound, table
 from tallyloom.operators import dedup, reconcile
