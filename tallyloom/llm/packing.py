@@ -1,9 +1,10 @@
 """Best-fit packing of token pieces into fixed-length sequences, improved by swap-based local search.
 
 Pieces are dealt by hash over groups of bounded size. In each group, best-fit decreasing fills bins;
-then underfull bins trade: a move, a one-for-one or a two-for-one exchange is made whenever it raises
-the sum of squared fills, so that full bins get fuller and the emptiest run dry. What still lies in
-underfull bins goes through a second, coarser round, so that few bins in all stay underfull.
+then all underfull bins trade: a move, a one-for-one or a two-for-one exchange is made whenever it raises
+the sum of squared fills, so that full bins get fuller and the emptiest run dry, until none is left or the
+group has as few bins as its total length allows. What still lies in underfull bins is dealt out anew over
+fewer groups for a second round, so that few bins in all stay underfull.
 """
 
 from __future__ import annotations
@@ -24,7 +25,6 @@ from tallyloom.llm.tokens import ID, encoder
 from tallyloom.session import materialise
 
 GROUP_PIECES = 20_000
-SEARCH_BINS = 400
 
 
 def token_pieces(
@@ -121,20 +121,46 @@ class Bins:
             self._give(source, best[1], target, best[2])
         return best[0] > 0
 
-    def search(self, bins: int = SEARCH_BINS) -> None:
-        """Trade between the `bins` emptiest bins until the emptiest of them are empty or nothing gains.
+    def search(self) -> None:
+        """Trade between all underfull bins, pass after pass, until a pass gains nothing or no bin can be saved.
 
         Each trade takes length from the emptier bin to the fuller one, so the sum of squared fills rises
         and the search ends.
         """
-        under = sorted((at for at, room in enumerate(self.free) if room), key=lambda at: -self.free[at])[:bins]
-        if len(under) < 2 or sum(self.free[at] for at in under) < self.capacity:
-            return  # too little room in all to save a bin
-        for source in under:
-            for target in sorted(under, key=lambda at: self.free[at]):
-                while self.held[source] and 0 < self.free[target] <= self.free[source] and target != source:
-                    if not self._trade(source, target):
-                        break
+        piece_of = [p for at, room in enumerate(self.free) if room for p in self.held[at]]
+        own = {at: n for n, at in enumerate(at for at, room in enumerate(self.free) if room)}
+        # the pieces of these bins and, for moves, a piece of length 0 in each
+        sizes = np.array([self.lengths[p] for p in piece_of] + [0] * len(own), np.int64)
+        bin_of = np.array([at for at in own for _ in self.held[at]] + list(own), np.int64)
+        place = {p: n for n, p in enumerate(piece_of)}
+        free = np.array(self.free, np.int64)
+        gained = True
+        while gained:
+            gained = False
+            under = sorted((at for at in own if self.held[at] and self.free[at]), key=lambda at: -self.free[at])
+            if len(under) < 2 or sum(self.free[at] for at in under) < self.capacity:
+                return  # too little room in all to save a bin
+            for source in under:
+                while self.held[source] and (target := self._target(source, sizes, bin_of, free)) is not None:
+                    before = {*self.held[source]}, {*self.held[target]}
+                    gained = self._trade(source, target) or gained
+                    for at, was in zip((source, target), before):
+                        free[at] = self.free[at]
+                        for piece in was.symmetric_difference(self.held[at]).intersection(self.held[at]):
+                            bin_of[place[piece]] = at
+
+    def _target(self, source: int, sizes: np.ndarray, bin_of: np.ndarray, free: np.ndarray) -> int | None:
+        """The fullest bin to which `source`, the emptier one, can give length by a trade."""
+        own, copies = np.unique([self.lengths[p] for p in self.held[source]], return_counts=True)
+        given = np.zeros(self.capacity + 1, bool)
+        given[own] = True
+        given[np.add.outer(own, own)[np.triu_indices(len(own), 1)]] = True
+        given[2 * own[copies > 1]] = True
+        upto = np.cumsum(given)
+        room = free[bin_of]
+        gains = (upto[sizes + room] > upto[sizes]) & (room > 0) & (room <= free[source]) & (free[source] < self.capacity) & (bin_of != source)
+        found = np.flatnonzero(gains)
+        return int(bin_of[found[np.argmin(room[found])]]) if len(found) else None
 
     def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Per piece: its bin (renumbered without empty ones), its offset there, the bin's room."""

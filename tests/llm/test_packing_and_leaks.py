@@ -81,6 +81,17 @@ def test_search_raises_squared_fill_and_empties_bins():
     assert sum(map(bool, bins.held)) == 2
 
 
+def test_search_treats_all_underfull_bins():
+    bins = packing.Bins(np.random.default_rng(5).integers(700, 4_096, 1_500), 4_096)
+    bins.fill()
+    count = sum(map(bool, bins.free))
+    assert count > 600
+    bins.search()
+    under = sorted((at for at, room in enumerate(bins.free) if room and bins.held[at]), key=lambda at: -bins.free[at])
+    assert not any(bins._trade(a, b) for n, a in enumerate(under) for b in under[n + 1 :])
+    assert sorted(p for held in bins.held for p in held) == list(range(1_500))
+
+
 def test_exchanges():
     two_for_one = packing.Bins(np.array([7, 4, 5]), 10)
     two_for_one.held, two_for_one.free = [[0], [1, 2]], [3, 1]
