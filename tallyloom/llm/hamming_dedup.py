@@ -155,7 +155,7 @@ def _near(pairs: DataFrame, nodes: DataFrame, distance: int) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """node, shingles: the full sets of the wanted nodes, from their whole texts."""
+    """node, shingles: the full sets of the wanted nodes (node, doc_id, mark), from their whole texts."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -163,10 +163,15 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             sets = [shingle_set(t, width, hashes).tobytes() for t in bytes_of(batch)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
 
-    own = docs.select(F.col("doc_id").alias("node"), "text").join(wanted, "node", "left_semi")
+    own = docs.join(wanted, ["doc_id", "mark"]).select("node", "text")
     return in_arrow(own, build, "node long, shingles binary")
 
 
+def _texts_of(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
+    """node, doc_id, mark: a text for each of the wanted nodes."""
+    return nodes.select("node", "doc_id", "mark").join(wanted.distinct(), "node", "left_semi")
+
+
 def linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
         return False
@@ -280,7 +285,7 @@ def _in_groups(rows: DataFrame, count: int, function, schema: str) -> DataFrame:
 BLOCK_KEY = ["pivot", "first", "second"]
 
 
-def _cross_links(members: DataFrame, docs: DataFrame, width: int, distance: int, percent: int) -> DataFrame:
+def _cross_links(members: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, distance: int, percent: int) -> DataFrame:
     """Links between members of a cell that lie in different components."""
     rows = materialise(_block_pairs(members), "block-pairs")
 
@@ -293,7 +298,7 @@ def _cross_links(members: DataFrame, docs: DataFrame, width: int, distance: int,
 
     schema = "pivot long, first string, second string, node long, component long, signature binary"
     close = materialise(_in_groups(rows, rows.count(), survivors, schema), "close-members")
-    sets = materialise(_sets_of(docs, close.select("node").distinct(), width), "cross-sets")
+    sets = materialise(_sets_of(docs, _texts_of(nodes, close.select("node")), width), "cross-sets")
 
     def confirm(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
@@ -314,42 +319,46 @@ def near_duplicates(
 
     A text's set is its distinct shingles of `shingle_words` words; with fewer words the whole sequence is one shingle; a
     text without words, or null, has none and links with nothing. Texts link when 100 * intersection >= `percent` *
-    union. component_id is the smallest id reachable; `kept` where it is the row's own. Rows without an id are linked
-    with nothing and kept (component_id null). Rows that repeat an id are judged each by its text.
+    union. component_id is the smallest id reachable; `kept` where it is the row's own, and of several texts under that id in
+    the component, for the one with the smallest mark. Rows without an id are linked with nothing and kept
+    (component_id null). Rows that repeat an id are judged each by its text.
     """
     own = id_and_text(docs, id_col, text_col)
     own = own.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_mark(F.col("text")).alias("mark"))
     rows = materialise(sketches(own, shingle_words), "sketches")
     distance = max_distance(percent)
+    text = F.struct("doc_id", "mark")
     classes = rows.where("doc_id is not null and set_id is not null").groupBy("set_id")
-    nodes = materialise(
-        classes.agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature")), "classes"
-    )
+    classes = classes.agg(F.min(text).alias("text"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
+    # a number of its own for each class, as texts may share an id; fixed by the write
+    nodes = materialise(classes.select(F.monotonically_increasing_id().alias("node"), "set_id", "text.*", "n_shingles", "signature"), "classes")
     # different sets of fewer than `least` shingles cannot reach the similarity
     least = -(-percent // (100 - percent)) if percent < 100 else 1
     large = nodes.where(F.col("n_shingles") >= least)
     stars = materialise(cells(large, distance), "cells")
     near = materialise(_near(stars, large, distance), "near")
-    ends = near.select("pivot").unionByName(near.select(F.col("node").alias("pivot"))).distinct().withColumnRenamed("pivot", "node")
-    sets = materialise(_sets_of(own, materialise(ends, "wanted"), shingle_words), "sets")
+    ends = near.select("pivot").unionByName(near.select(F.col("node").alias("pivot"))).withColumnRenamed("pivot", "node")
+    sets = materialise(_sets_of(own, materialise(_texts_of(nodes, ends), "wanted"), shingle_words), "sets")
     links = materialise(_star_links(near, sets, percent), "star-links")
     joined = components(links)
     # its members are dealt out by several figures of their own: written once, not joined for each
     members = materialise(_open_cells(stars, joined, large), "open-cells")
-    more = materialise(_cross_links(members, own, shingle_words, distance, percent), "cross-links")
+    more = materialise(_cross_links(members, own, nodes, shingle_words, distance, percent), "cross-links")
     if more.take(1):
         joined = components(joined.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(more))
-    roots = nodes.select("set_id", "node").join(joined.withColumnRenamed("u", "node"), "node", "left")
-    roots = roots.select("set_id", F.coalesce("v", "node").alias("component"))
-    found = rows.join(roots, "set_id", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id")
-    return found.select("doc_id", "mark", "n_shingles", component).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    placed = nodes.join(joined.withColumnRenamed("u", "node"), "node", "left")
+    placed = placed.select("set_id", F.coalesce("v", "node").alias("root"), text.alias("text"))
+    firsts = placed.groupBy("root").agg(F.min("text").alias("first"))
+    found = rows.join(placed.select("set_id", "root").join(firsts, "root").drop("root"), "set_id", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("first.doc_id", "doc_id")).alias("component_id")
+    kept = F.col("doc_id").isNull() | F.col("first").isNull() | (text == F.col("first"))
+    return found.select("doc_id", "mark", "n_shingles", component, kept.alias("kept"))
 
 
 def drop_near_duplicates(
     docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
-    """`docs`, all columns, with one document of each component: the one with the smallest id.
+    """`docs`, all columns, with one document of each component: the one with the smallest id, and mark among texts of that id.
 
     Of rows that repeat an id with its text one stays. Rows without an id or without words stay.
     """

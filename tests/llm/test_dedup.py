@@ -200,3 +200,18 @@ def test_components_of_chains_and_hubs(spark):
     got = components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r.u: r.v for r in got} == {**{i: 100 for i in range(101, 141)}, **{n: 1 for n in range(2, 60)}, 301: 300}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_texts_that_share_an_id(spark):
+    # (5, a) is a near copy of 3; (5, b) is like nothing, (7, c) and (7, d) are near copies under one id
+    near = prose(61, 300).split(" ")
+    a, b, c = " ".join(near[:150] + ["changed"] + near[151:]), prose(62, 300), prose(63, 300)
+    rows = [(3, " ".join(near)), (5, a), (5, b), (7, c), (7, c + " tail"), (8, prose(64, 300))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = hamming_dedup.near_duplicates(docs).join(docs.withColumn("mark", hamming_dedup.text_mark(F.col("text"))), ["doc_id", "mark"])
+    got = {(r.doc_id, r.text): (r.component_id, r.kept) for r in found.collect()}
+    assert got[rows[0]] == (3, True)
+    assert got[(5, a)] == (3, False) and got[(5, b)] == (5, True)
+    assert {got[rows[3]], got[rows[4]]} == {(7, True), (7, False)}
+    kept = [(r.doc_id, r.text) for r in hamming_dedup.drop_near_duplicates(docs).collect()]
+    assert len(kept) == 4 and {rows[0], (5, b), rows[5]} <= set(kept)
