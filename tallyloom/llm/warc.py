@@ -94,17 +94,25 @@ def write_monolithic(
     return materialise(in_arrow(rows, write, "path string, n_records long"), "warc-manifest")
 
 
+def _line(stream: io.BufferedIOBase) -> bytes:
+    """The next line whole, however long; read in pieces."""
+    parts = [stream.readline(HEAD_LINE)]
+    while len(parts[-1]) == HEAD_LINE and not parts[-1].endswith(b"\n"):
+        parts.append(stream.readline(HEAD_LINE))
+    return b"".join(parts)
+
+
 def read_head(stream: io.BufferedIOBase) -> dict[str, str] | None:
     """The fields of the next record's head, names in lower case; None at the end."""
-    line = stream.readline(HEAD_LINE)
+    line = _line(stream)
     while line in (b"\r\n", b"\n"):
-        line = stream.readline(HEAD_LINE)
+        line = _line(stream)
     if not line:
         return None
     if not line.startswith(b"WARC/"):
         raise ValueError(f"no WARC record: {line[:40]!r}")
     fields = {"": line.decode().strip()}
-    while (line := stream.readline(HEAD_LINE)).strip():
+    while (line := _line(stream)).strip():
         name, _, value = line.decode("utf-8", "replace").partition(":")
         fields[name.strip().lower()] = value.strip()
     return fields

@@ -170,3 +170,11 @@ def test_no_pages(spark):
 def test_digest():
     assert warc.payload_digest(b"") == "3I42H3S6NNFQ2MSVX7XZKYAYSCX5QBYJ"
     assert len(warc.payload_digest(hashlib.sha1(b"x").digest())) == 32
+
+
+def test_long_header_lines(spark):
+    exact = "data:" + "x" * (warc.HEAD_LINE - len("WARC-Target-URI: data:"))
+    urls = {1: "data:text/html," + "Ab" * 50_000, 2: exact, 3: exact + "Y", 4: exact[:-1], 5: "http://a/"}
+    pages = spark.createDataFrame([(i, u, f"page {i}", None) for i, u in urls.items()], "page_id long, url string, html string, refers_to long")
+    back = warc.read_archives(warc.normalise(warc.write_monolithic(pages)))
+    assert {r.page_id: (r.url, bytes(r.payload)) for r in back.collect()} == {i: (u, f"page {i}".encode()) for i, u in urls.items()}
