@@ -3,7 +3,7 @@
 A test item that occurs with at most k edits contains one of its k + 1 pieces unedited. All pieces of a block of
 items go into one automaton, which every text is run through; each hit says where the item would lie, and the
 bit-parallel distance of the item to that stretch decides. Item and text are lower-cased, runs of white space
-being one blank.
+being one blank. Short items are found word for word only, with word boundaries at both ends.
 """
 
 from __future__ import annotations
@@ -53,16 +53,25 @@ def myers(item: str, text: str, anchored: bool = False) -> list[int]:
     return out
 
 
+def whole_words(text: str, start: int, end: int) -> bool:
+    """Whether the stretch neither begins nor ends inside a word."""
+    word = lambda at: 0 <= at < len(text) and (text[at].isalnum() or text[at] == "_")
+    return not (word(start - 1) and word(start)) and not (word(end - 1) and word(end))
+
+
 class Finder:
-    """A block of items, ready to be looked for."""
+    """A block of items, ready to be looked for; those under `min_chars` unedited and as whole words."""
 
-    def __init__(self, items: list[tuple[int, str]], error_share: float):
+    def __init__(self, items: list[tuple[int, str]], error_share: float, min_chars: int):
         import ahocorasick
 
-        self.items, self.automaton = [], ahocorasick.Automaton()
+        self.items, self.automaton, self.short = [], ahocorasick.Automaton(), set()
         where: dict[str, list[tuple[int, int]]] = {}
         for number, (item_id, text) in enumerate(items):
             errors = int(error_share * len(text))
+            if len(text) < min_chars:
+                errors = 0
+                self.short.add(number)
             self.items.append((item_id, text, errors))
             for offset, piece in pieces(text, errors):
                 where.setdefault(piece, []).append((number, offset))
@@ -77,6 +86,8 @@ class Finder:
         if len(self.automaton):
             for last, (length, at) in self.automaton.iter(text):
                 for number, offset in at:
+                    if number in self.short and not whole_words(text, last + 1 - length, last + 1):
+                        continue
                     starts.setdefault(number, set()).add(last + 1 - length - offset)
         out = {}
         for number, found in starts.items():
@@ -113,11 +124,11 @@ class Finder:
 
 
 def item_blocks(items: DataFrame, *, block_chars: int, min_chars: int, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
-    """The test items, normalised, in blocks of about `block_chars`; shorter ones than `min_chars` are no evidence."""
+    """The test items, normalised, in blocks of about `block_chars`; shorter ones than `min_chars`, and empty ones, are left out."""
     block: list[tuple[int, str]] = []
     held = 0
     for row in items.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).orderBy("id").toLocalIterator():
-        if len(text := normalised(row["text"])) >= min_chars:
+        if len(text := normalised(row["text"])) >= max(1, min_chars):
             block.append((row["id"], text))
             held += len(text)
         if held >= block_chars:
@@ -136,7 +147,7 @@ def find_leaks(
 ) -> DataFrame:
     """doc_id, item_id, distance, start, end: items found with at most `error_share` of their characters edited.
 
-    One row per input row and item, its best occurrence, in characters of the normalised text. The items are the query
+    Items under `min_chars` characters are found unedited only, as whole words. One row per input row and item, its best occurrence, in characters of the normalised text. The items are the query
     set: each block of them is broadcast, bounded by `block_chars`, and run over all texts; several blocks are written one
     by one. Null texts hold nothing; repeated documents and items are reported each.
     """
@@ -144,11 +155,11 @@ def find_leaks(
     own = own.withColumn("doc_id", own["doc_id"].cast("long"))
     schema = "doc_id long, item_id long, distance int, start long, end long"
     found: DataFrame | None = None
-    for block in item_blocks(items, block_chars=block_chars, min_chars=min_chars, id_col=item_id_col, text_col=item_text_col):
+    for block in item_blocks(items, block_chars=block_chars, min_chars=1, id_col=item_id_col, text_col=item_text_col):
         shared = spark.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            finder = Finder(shared.value, error_share)
+            finder = Finder(shared.value, error_share, min_chars)
             for batch in batches:
                 rows = [(d, *hit) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for hit in finder.find(t)]
                 if rows:
@@ -163,12 +174,12 @@ def drop_leaks(
     docs: DataFrame, items: DataFrame, *, error_share: float = 0.05, min_chars: int = 40, block_chars: int = 4_000_000,
     text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
-    """The rows of `docs`, all columns, in which no item is found."""
+    """The rows of `docs`, all columns, in which no item of `min_chars` characters or more is found."""
     for block in item_blocks(items, block_chars=block_chars, min_chars=min_chars, id_col=item_id_col, text_col=item_text_col):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def sift(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            finder = Finder(shared.value, error_share)
+            finder = Finder(shared.value, error_share, min_chars)
             for batch in batches:
                 texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
                 yield batch.filter(pa.array([not finder.find(t, first_only=True) for t in texts], pa.bool_()))

@@ -183,3 +183,13 @@ def test_no_documents_or_items(spark):
     assert edit_decontam.drop_leaks(odd_documents(spark), items).count() == len(texts())
     some = spark.createDataFrame([(1, prose(1, 20))], "item_id long, text string")
     assert edit_decontam.find_leaks(no_documents(spark), some).count() == 0
+
+
+def test_short_items_are_found_as_whole_words(spark):
+    rows = [(1, "So: What is\n RUST? Yes."), (2, "what is rusty? what is rust"), (3, "concat cat_ cats"), (4, "cats, a Cat."), (5, "cat"), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, "What is rust?"), (2, "cat"), (3, " "), (4, "cats,")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id, r.distance, r.start, r.end) for r in edit_decontam.find_leaks(docs, items).collect()}
+    assert got == {(1, 1, 0, 4, 17), (4, 2, 0, 8, 11), (4, 4, 0, 0, 5), (5, 2, 0, 0, 3)}
+    # no evidence for dropping
+    assert edit_decontam.drop_leaks(docs, items).count() == 6
