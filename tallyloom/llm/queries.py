@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.llm import edit_decontam, hamming_dedup, line_dedup, nbsvm, packing, repetition, secret_scan, token_files, warc, zstd_lang
+from tallyloom.llm import (
+    cross_align, edit_decontam, hamming_dedup, line_dedup, nbsvm, packing, repetition, secret_scan, simhash_dedup, token_files, vector_codes,
+    warc, zstd_lang,
+)
 from tallyloom.llm.tokens import vocabulary
 
 QUERIES: dict = {}
@@ -138,3 +141,59 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of documents whose sets of four-word shingles are alike by 80 per cent."""
     return hamming_dedup.near_duplicates(table(spark, folder, "documents"), shingle_words=4, percent=80).drop("mark")
+
+
+BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+@query("op11_cross_alignment")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Two tokenizers' ids aligned over every text, with the links' counts over all texts."""
+    docs = table(spark, folder, "documents")
+    found = cross_align.score(docs, vocabulary(BYTE_VOCABULARY), vocabulary(PIECE_VOCABULARY))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def _codes_sql(parts: int = 4, entries: int = 256, rounds: int = 4, scale: int = 1024) -> str:
+    """The same codebooks and codes by plain scans: every part against every entry of its codebook."""
+    steps = [f"""
+kept as (
+  select vec_id, label, list_transform(embedding, lambda x: floor({scale} * x::double)::bigint) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), parts as (
+  select vec_id, label, p, v[p * len(v) // {parts} + 1 : (p + 1) * len(v) // {parts}] as q from kept, range({parts}) r(p)
+), books0 as (
+  select p, row_number() over (partition by p order by vec_id) - 1 as i, q as e from parts
+  qualify row_number() over (partition by p order by vec_id) <= {entries}
+)"""]
+    apart = "list_sum(list_transform(list_zip(q, e), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::bigint"
+    for n in range(rounds + 1):
+        steps.append(f"found{n} as materialized (select vec_id, label, p, q, min({apart} * {entries} + i) as m from parts join books{n} using (p) group by all)")
+        if n < rounds:
+            steps.append(f"""
+sums{n} as (
+  select p, i, list(mean order by k) as e from (
+    select p, i, k, ((s - ((s % c) + c) % c) // c)::bigint as mean from (
+      select p, m % {entries} as i, k, sum(q[k])::bigint as s, count(*) as c from found{n}, range(1, 4096) r(k) where k <= len(q) group by all))
+  group by all
+), books{n + 1} as materialized (select p, i, coalesce(s.e, b.e) as e from books{n} b left join sums{n} s using (p, i))""")
+    last = f"""
+select vec_id, string_agg(printf('%02x', (m % {entries})::int), '' order by p) as code, sum(m // {entries})::bigint as error,
+  any_value(label) as label from found{rounds} group by vec_id"""
+    digest = f"select sha256(string_agg(array_to_string(e, ','), ',' order by p, i)) from books{rounds}"
+    return f"""with {", ".join(steps)}, coded as ({last})
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error, ({digest}) as codebooks_sha256 from coded"""
+
+
+@query("op12_vector_codes", _codes_sql())
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Four-byte codes of all vectors, with their errors."""
+    coded, codebooks = vector_codes.compress(table(spark, folder, "embeddings"))
+    return coded.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", vector_codes.digest(codebooks).alias("codebooks_sha256"))
+
+
+@query("op13_simhash_dedup")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Classes of documents whose fingerprints of three-word shingles differ in two bits at most."""
+    found = simhash_dedup.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fingerprint")), 16, "0").alias("fingerprint"), "component_id")
