@@ -6,8 +6,8 @@ chunks so that, by pigeonhole, two signatures within the distance have a chunk w
 chunk is entered under every choice of RADIUS slots left out, so every such pair shares a bucket.
 
 Buckets are never expanded into pairs. Each is compared with its pivot, its smallest member (a star). Where the
-members of a pivot's cell still lie in several components, they are compared across components in blocks of
-bounded size. Candidates within the distance are confirmed on full shingle sets; components join what links.
+members of a pivot's cell still lie in several components, they are compared across components in blocks that hold
+each member once, and those that are close in tiles of bounded size. Candidates within the distance are confirmed on full shingle sets; components join what links.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 import hashlib
 import math
 from collections.abc import Iterator
-from itertools import combinations
+from itertools import combinations, combinations_with_replacement, product
 
 import numpy as np
 import pandas as pd
@@ -24,14 +24,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import bytes_of, id_and_text, text_mark
+from tallyloom.llm.common import bloom_filtered, bytes_of, id_and_text, text_mark
 from tallyloom.llm.components import components
 from tallyloom.llm.files import in_arrow, in_pandas
-from tallyloom.session import materialise
+from tallyloom.session import materialise, scratch_path, temporary_copies
 
 SLOTS, BITS, RADIUS, MISS = 64, 16, 1, 1e-5
-BLOCK = 512
-GROUP_ROWS = 4_000
+BLOCK = 4_096
+# members compared by signature at once, and those compared by their full sets: so many, or of so many bytes
+TILE, TILE_BYTES, GROUP_BYTES = 512, 8 << 20, 48 << 20
+LEAST_LONG = -(1 << 63)
 CACHED_WORDS = 300_000
 FACTORS = (np.random.default_rng(20_231).integers(0, 1 << 63, SLOTS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
 K1, K2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
@@ -123,7 +125,10 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
 
 
 def cells(nodes: DataFrame, distance: int) -> DataFrame:
-    """pivot, node: every member of a shared bucket under the bucket's smallest member."""
+    """pivot, node: every member of a shared bucket under the bucket's smallest member.
+
+    The entries are shuffled once; a bucket comes sorted, so its first entry is the pivot and none is held back.
+    """
 
     def enter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -134,9 +139,21 @@ def cells(nodes: DataFrame, distance: int) -> DataFrame:
                     ids = np.repeat(batch.column(0).slice(at, len(part)).to_numpy(), part.shape[1])
                     yield pa.RecordBatch.from_arrays([pa.array(part.ravel()), pa.array(ids)], ["key", "node"])
 
+    def under_pivots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, pivot = None, -1
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, members = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            opens = np.append(last is None or keys[0] != last, keys[1:] != keys[:-1])
+            pivots = np.append(pivot, members[opens])[np.cumsum(opens)]
+            last, pivot = keys[-1], pivots[-1]
+            apart = pivots != members
+            yield pa.RecordBatch.from_arrays([pa.array(pivots[apart]), pa.array(members[apart])], ["pivot", "node"])
+
     entries = in_arrow(nodes.select("node", "signature"), enter, "key long, node long")
-    pivots = entries.groupBy("key").agg(F.min("node").alias("pivot"), F.max("node").alias("last")).where("pivot < last")
-    return entries.join(pivots.drop("last"), "key").where("node <> pivot").select("pivot", "node").distinct()
+    dealt = entries.repartition("key").sortWithinPartitions("key", "node")
+    return in_arrow(dealt, under_pivots, "pivot long, node long").distinct()
 
 
 def _near(pairs: DataFrame, nodes: DataFrame, distance: int) -> DataFrame:
@@ -155,7 +172,11 @@ def _near(pairs: DataFrame, nodes: DataFrame, distance: int) -> DataFrame:
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """node, shingles: the full sets of the wanted nodes (node, doc_id, mark), from their whole texts."""
+    """node, shingles: the full sets of the wanted nodes (node, doc_id, mark), from their whole texts; stored.
+
+    A Bloom filter of the wanted rows, which Spark builds and applies to the scan, keeps other texts out of the exchange. What it
+    lets through by chance falls out in the join.
+    """
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -163,8 +184,12 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
             sets = [shingle_set(t, width, hashes).tobytes() for t in bytes_of(batch)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["node", "shingles"])
 
-    own = docs.join(wanted, ["doc_id", "mark"]).select("node", "text")
-    return in_arrow(own, build, "node long, shingles binary")
+    wanted = materialise(wanted, "wanted")
+    # the optimizer takes a side with a comparison for a selective one; every id passes
+    chosen = wanted.where(F.col("doc_id") >= LEAST_LONG)
+    own = docs.join(chosen, ["doc_id", "mark"]).select("node", "text")
+    with bloom_filtered(docs.sparkSession, wanted.count()):
+        return materialise(in_arrow(own, build, "node long, shingles binary"), "sets")
 
 
 def _texts_of(nodes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -190,11 +215,13 @@ def _star_links(near: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return in_arrow(both.select(F.col("pivot").alias("a"), F.col("node").alias("b"), "shingles", "other"), confirm, "a long, b long")
 
 
-def _block_pairs(members: DataFrame) -> DataFrame:
-    """pivot, first, second, node, component, signature: cells dealt into pairs of blocks of about BLOCK members.
+MEMBER = "struct<node:long,component:long,n_shingles:long,signature:binary>"
+
 
-    Within a cell, a component of half a block or more has blocks of its own; pairs of these are left out, as their
-    members are joined already. Smaller components share blocks.
+def _blocks(members: DataFrame) -> DataFrame:
+    """pivot, block, members: cells dealt into blocks of about BLOCK members, each member in one.
+
+    Within a cell, a component of half a block or more has blocks of its own; smaller components share blocks.
     """
     sizes = members.groupBy("pivot", "component").agg(F.count(F.lit(1)).alias("n"))
     large = F.col("n") >= BLOCK // 2
@@ -205,27 +232,76 @@ def _block_pairs(members: DataFrame) -> DataFrame:
     salt = F.when(F.col("large"), F.xxhash64("node")).otherwise(F.xxhash64("component"))
     owner = F.when(F.col("large"), F.concat(F.lit("c"), F.col("component").cast("string"))).otherwise("small")
     block = F.concat_ws(":", owner, F.pmod(salt, F.col("parts")).cast("string"))
-    dealt = members.join(kinds, ["pivot", "component"]).select("pivot", "node", "component", "signature", block.alias("block"))
-    blocks = dealt.select("pivot", "block").distinct()
-    one, two = blocks.withColumnRenamed("block", "first"), blocks.withColumnRenamed("block", "second")
+    dealt = members.join(kinds, ["pivot", "component"]).withColumn("block", block)
+    held = F.collect_list(F.struct("node", "component", "n_shingles", "signature"))  # about BLOCK members
+    return dealt.groupBy("pivot", "block").agg(held.alias("members"))
+
+
+def _block_pairs(blocks: DataFrame) -> DataFrame:
+    """members, others of each two blocks of a cell that may hold links; `others` is null for a block with itself.
+
+    Blocks of one large component are left out, with themselves and with one another: their members are joined already. Pairs are
+    found by name first, so that those of one cell are dealt out over tasks.
+    """
+    names = materialise(blocks.select("pivot", "block"), "block-names")
     own = F.substring_index("first", ":", 1)
-    apart = (F.col("first") <= F.col("second")) & ((own == "small") | (own != F.substring_index("second", ":", 1)))
-    pairs = one.join(two, "pivot").where(apart)
-    left = dealt.withColumnRenamed("block", "first").join(pairs, ["pivot", "first"])
-    right = dealt.withColumnRenamed("block", "second").join(pairs.where("first <> second"), ["pivot", "second"])
-    columns = ["pivot", "first", "second", "node", "component", "signature"]
-    return left.select(columns).unionByName(right.select(columns))
-
-
-def _close_pairs(signatures: np.ndarray, component: np.ndarray, distance: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs across components within the distance."""
-    a, b = [], []
-    for i in range(len(component) - 1):
-        other = np.flatnonzero(component[i + 1 :] != component[i]) + i + 1
+    apart = (own == "small") | (own != F.substring_index("second", ":", 1))
+    pairs = names.withColumnRenamed("block", "first").join(names.withColumnRenamed("block", "second"), "pivot").where("first < second").where(apart)
+    first = blocks.select("pivot", F.col("block").alias("first"), "members")
+    second = blocks.select("pivot", F.col("block").alias("second"), F.col("members").alias("others"))
+    two = pairs.join(first, ["pivot", "first"]).join(second, ["pivot", "second"]).select("members", "others")
+    one = blocks.where("block like 'small:%'").select("members", F.lit(None).cast(f"array<{MEMBER}>").alias("others"))
+    return one.unionByName(two)
+
+
+def _tiles(sizes: np.ndarray) -> list[slice]:
+    """Runs of at most TILE members, or of about TILE_BYTES of sets."""
+    out, start, held = [], 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if i - start == TILE or (i > start and held + 8 * size > TILE_BYTES):
+            out.append(slice(start, i))
+            start, held = i, 0
+        held += 8 * size
+    return out + [slice(start, len(sizes))] * (start < len(sizes))
+
+
+def _close_pairs(signatures: np.ndarray, component: np.ndarray, distance: int, others_from: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs across components within the distance; with `others_from`, of one row before it and one from it on."""
+    a, b = [np.zeros(0, int)], [np.zeros(0, int)]
+    for i in range(others_from or len(component) - 1):
+        at = others_from or i + 1
+        other = np.flatnonzero(component[at:] != component[i]) + at
         close = other[(signatures[other] != signatures[i]).sum(axis=1) <= distance]
         a.append(np.full(len(close), i))
         b.append(close)
-    return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, int), np.zeros(0, int))
+    return np.concatenate(a), np.concatenate(b)
+
+
+def _close_tiles(pairs: DataFrame, distance: int) -> DataFrame:
+    """bytes, members: for each two tiles of a block pair, the members close to one of another component; none where nothing is."""
+
+    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                one, two = batch.column(0)[row].values, batch.column(1)[row].values
+                held = one if two is None else pa.concat_arrays([one, two])
+                node, component, size = (held.field(i).to_numpy() for i in range(3))
+                signatures = _matrix(held.field(3).to_pylist())
+                first = _tiles(size[: len(one)])
+                second = [slice(t.start + len(one), t.stop + len(one)) for t in _tiles(size[len(one) :])]
+                for x, y in product(first, second) if two is not None else combinations_with_replacement(first, 2):
+                    at = np.r_[x] if x == y else np.r_[x, y]
+                    cut = 0 if x == y else x.stop - x.start
+                    a, b = _close_pairs(signatures[at], component[at], distance, cut)
+                    if len(a):
+                        at = at[np.unique(np.concatenate([a, b]))]
+                        yield _tile_row(8 * int(size[at].sum()), held.take(pa.array(at)))
+
+    return in_arrow(pairs, find, f"bytes long, members array<{MEMBER}>")
+
+
+def _tile_row(size: int, members: pa.StructArray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([size]), pa.ListArray.from_arrays(pa.array([0, len(members)], pa.int32()), members)], ["bytes", "members"])
 
 
 def _overlaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -275,84 +351,82 @@ def block_links(sets: list[np.ndarray], signatures: np.ndarray, component: np.nd
     return out
 
 
-def _in_groups(rows: DataFrame, count: int, function, schema: str) -> DataFrame:
-    """Apply to frames that hold whole block pairs, about GROUP_ROWS of the `count` rows each."""
-    groups = max(1, -(-count // GROUP_ROWS))
-    dealt = rows.withColumn("_g", F.pmod(F.xxhash64("pivot", "first", "second"), F.lit(groups)))
-    return in_pandas(dealt.groupBy("_g"), rows.sparkSession, function, schema)
-
-
-BLOCK_KEY = ["pivot", "first", "second"]
-
-
 def _cross_links(members: DataFrame, docs: DataFrame, nodes: DataFrame, width: int, distance: int, percent: int) -> DataFrame:
     """Links between members of a cell that lie in different components."""
-    rows = materialise(_block_pairs(members), "block-pairs")
-
-    def survivors(frame: pd.DataFrame) -> pd.DataFrame:
-        parts = []
-        for _, part in frame.groupby(BLOCK_KEY, sort=False):
-            a, b = _close_pairs(_matrix(part["signature"]), part["component"].to_numpy(), distance)
-            parts.append(part.iloc[np.unique(np.concatenate([a, b]))])
-        return pd.concat(parts).drop(columns="_g")
-
-    schema = "pivot long, first string, second string, node long, component long, signature binary"
-    close = materialise(_in_groups(rows, rows.count(), survivors, schema), "close-members")
-    sets = materialise(_sets_of(docs, _texts_of(nodes, close.select("node")), width), "cross-sets")
+    blocks = materialise(_blocks(members), "blocks")
+    close = materialise(_close_tiles(_block_pairs(blocks), distance).withColumn("tile", F.monotonically_increasing_id()), "close-tiles")
+    rows = close.select("tile", F.inline("members"))
+    sets = _sets_of(docs, _texts_of(nodes, rows.select("node")), width)
 
     def confirm(frame: pd.DataFrame) -> pd.DataFrame:
         out = []
-        for _, part in frame.groupby(BLOCK_KEY, sort=False):
+        for _, part in frame.groupby("tile", sort=False):
             shingles = [np.frombuffer(s, np.uint64) for s in part["shingles"]]
             nodes = part["node"].to_numpy()
             found = block_links(shingles, _matrix(part["signature"]), part["component"].to_numpy(), distance, percent)
             out += [(nodes[i], nodes[j]) for i, j in found]
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
-    return _in_groups(close.join(sets, "node"), close.count(), confirm, "a long, b long")
+    # whole tiles in frames of about GROUP_BYTES of sets
+    held = close.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
+    group = F.pmod(F.xxhash64("tile"), F.lit(1 + held // GROUP_BYTES)).alias("_g")
+    dealt = rows.join(sets, "node").select(group, "tile", "node", "component", "signature", "shingles")
+    return in_pandas(dealt.groupBy("_g"), docs.sparkSession, confirm, "a long, b long")
 
 
-def near_duplicates(
-    docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
-) -> DataFrame:
-    """doc_id, mark, n_shingles, component_id, kept of each input row; `mark` is a hash of the text.
-
-    A text's set is its distinct shingles of `shingle_words` words; with fewer words the whole sequence is one shingle; a
-    text without words, or null, has none and links with nothing. Texts link when 100 * intersection >= `percent` *
-    union. component_id is the smallest id reachable; `kept` where it is the row's own, and of several texts under that id in
-    the component, for the one with the smallest mark. Rows without an id are linked with nothing and kept
-    (component_id null). Rows that repeat an id are judged each by its text.
-    """
-    own = id_and_text(docs, id_col, text_col)
-    own = own.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_mark(F.col("text")).alias("mark"))
-    rows = materialise(sketches(own, shingle_words), "sketches")
+def _joined(own: DataFrame, nodes: DataFrame, width: int, percent: int) -> DataFrame:
+    """u, v: the nodes that link, and the smallest of their component."""
     distance = max_distance(percent)
-    text = F.struct("doc_id", "mark")
-    classes = rows.where("doc_id is not null and set_id is not null").groupBy("set_id")
-    classes = classes.agg(F.min(text).alias("text"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
-    # a number of its own for each class, as texts may share an id; fixed by the write
-    nodes = materialise(classes.select(F.monotonically_increasing_id().alias("node"), "set_id", "text.*", "n_shingles", "signature"), "classes")
     # different sets of fewer than `least` shingles cannot reach the similarity
     least = -(-percent // (100 - percent)) if percent < 100 else 1
     large = nodes.where(F.col("n_shingles") >= least)
     stars = materialise(cells(large, distance), "cells")
     near = materialise(_near(stars, large, distance), "near")
     ends = near.select("pivot").unionByName(near.select(F.col("node").alias("pivot"))).withColumnRenamed("pivot", "node")
-    sets = materialise(_sets_of(own, materialise(_texts_of(nodes, ends), "wanted"), shingle_words), "sets")
+    sets = _sets_of(own, _texts_of(nodes, ends), width)
     links = materialise(_star_links(near, sets, percent), "star-links")
     joined = components(links)
     # its members are dealt out by several figures of their own: written once, not joined for each
     members = materialise(_open_cells(stars, joined, large), "open-cells")
-    more = materialise(_cross_links(members, own, nodes, shingle_words, distance, percent), "cross-links")
+    more = materialise(_cross_links(members, own, nodes, width, distance, percent), "cross-links")
     if more.take(1):
         joined = components(joined.select(F.col("u").alias("a"), F.col("v").alias("b")).unionByName(more))
-    placed = nodes.join(joined.withColumnRenamed("u", "node"), "node", "left")
-    placed = placed.select("set_id", F.coalesce("v", "node").alias("root"), text.alias("text"))
-    firsts = placed.groupBy("root").agg(F.min("text").alias("first"))
-    found = rows.join(placed.select("set_id", "root").join(firsts, "root").drop("root"), "set_id", "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("first.doc_id", "doc_id")).alias("component_id")
-    kept = F.col("doc_id").isNull() | F.col("first").isNull() | (text == F.col("first"))
-    return found.select("doc_id", "mark", "n_shingles", component, kept.alias("kept"))
+    return joined
+
+
+def near_duplicates(
+    docs: DataFrame, *, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """doc_id, mark, n_shingles, component_id, kept, chosen of each input row; `mark` is a hash of the text.
+
+    A text's set is its distinct shingles of `shingle_words` words; with fewer words the whole sequence is one shingle; a
+    text without words, or null, has none and links with nothing. Texts link when 100 * intersection >= `percent` *
+    union. component_id is the smallest id reachable; `kept` where it is the row's own. `chosen`: of the component's texts
+    under that id, the one with the smallest mark. Rows without an id are linked with nothing, kept and chosen
+    (component_id null). Rows that repeat an id are judged each by its text.
+    """
+    spark = docs.sparkSession
+    own = id_and_text(docs, id_col, text_col)
+    own = own.select(F.col("doc_id").cast("long").alias("doc_id"), "text", text_mark(F.col("text")).alias("mark"))
+    rows = materialise(sketches(own, shingle_words), "sketches")
+    text = F.struct("doc_id", "mark")
+    path = scratch_path(spark, "places")
+    with temporary_copies(spark):
+        classes = rows.where("doc_id is not null and set_id is not null").groupBy("set_id")
+        classes = classes.agg(F.min(text).alias("text"), F.first("n_shingles").alias("n_shingles"), F.first("signature").alias("signature"))
+        # a number of its own for each class, as texts may share an id; fixed by the write
+        nodes = materialise(classes.select(F.monotonically_increasing_id().alias("node"), "set_id", "text.*", "n_shingles", "signature"), "classes")
+        joined = _joined(own, nodes, shingle_words, percent)
+        placed = nodes.join(joined.withColumnRenamed("u", "node"), "node", "left")
+        placed = placed.select("set_id", F.coalesce("v", "node").alias("root"), text.alias("text"))
+        firsts = placed.groupBy("root").agg(F.min("text").alias("first"))
+        placed = placed.select("set_id", "root").join(firsts, "root").drop("root")
+        placed.write.parquet(path)
+    found = rows.join(spark.read.schema(placed.schema).parquet(path), "set_id", "left")
+    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("first.doc_id", "doc_id"))
+    kept = F.coalesce(F.col("doc_id") == component, F.lit(True))
+    chosen = F.col("doc_id").isNull() | F.col("first").isNull() | (text == F.col("first"))
+    return found.select("doc_id", "mark", "n_shingles", component.alias("component_id"), kept.alias("kept"), chosen.alias("chosen"))
 
 
 def drop_near_duplicates(
@@ -363,22 +437,25 @@ def drop_near_duplicates(
     Of rows that repeat an id with its text one stays. Rows without an id or without words stay.
     """
     found = near_duplicates(docs, shingle_words=shingle_words, percent=percent, id_col=id_col, text_col=text_col)
-    rows = found.where("doc_id is not null").groupBy("doc_id", "mark").agg(F.bool_or("kept").alias("kept"), F.count(F.lit(1)).alias("n"))
-    odd = materialise(rows.where("not kept or n > 1").select(F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), "kept"), "dropped")
-    same = (F.col(id_col) == F.col("_id")) & (text_mark(F.col(text_col)) == F.col("_mark"))
-    rest = docs.join(odd, same, "left_anti")
-    repeated = odd.where("kept")
+    rows = found.where("doc_id is not null").groupBy("doc_id", "mark").agg(F.bool_or("chosen").alias("chosen"), F.count(F.lit(1)).alias("n"))
+    odd = materialise(rows.where("not chosen or n > 1"), "dropped")
+    # the row as one column, so that its names cannot clash
+    held = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("doc_id"), text_mark(F.col(text_col)).alias("mark"))
+    rest = held.join(odd, ["doc_id", "mark"], "left_anti").select("row.*")
+    repeated = odd.where("chosen")
     if not repeated.take(1):
         return rest
-    return rest.unionByName(docs.join(repeated, same, "left_semi").dropDuplicates([id_col, text_col]))
+    return rest.unionByName(held.join(repeated, ["doc_id", "mark"], "left_semi").dropDuplicates(["doc_id", "mark"]).select("row.*"))
 
 
 def _open_cells(stars: DataFrame, joined: DataFrame, nodes: DataFrame) -> DataFrame:
-    """pivot, node, component, signature of the cells that have two or more members, in more than one component.
+    """pivot, node, component, n_shingles, signature of the cells that have two or more members, in more than one component.
 
     The pivot itself was compared with all of them.
     """
     component = F.coalesce("v", "node").alias("component")
-    placed = stars.join(joined.withColumnRenamed("u", "node"), "node", "left").select("pivot", "node", component)
+    placed = materialise(stars.join(joined.withColumnRenamed("u", "node"), "node", "left").select("pivot", "node", component), "placed")
     open_ = placed.groupBy("pivot").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a < b").select("pivot")
-    return placed.join(open_, "pivot", "left_semi").join(nodes.select("node", "signature"), "node")
+    # written, so that the join below can split a hot pivot
+    open_ = materialise(open_, "open-pivots")
+    return placed.join(open_, "pivot", "left_semi").join(nodes.select("node", "n_shingles", "signature"), "node")

@@ -140,7 +140,7 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_hamming_minhash")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of documents whose sets of four-word shingles are alike by 80 per cent."""
-    return hamming_dedup.near_duplicates(table(spark, folder, "documents"), shingle_words=4, percent=80).drop("mark")
+    return hamming_dedup.near_duplicates(table(spark, folder, "documents"), shingle_words=4, percent=80).drop("mark", "chosen")
 
 
 BYTE_VOCABULARY, PIECE_VOCABULARY = "byte_bpe_50k.json", "piece_bpe_32k.model"

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyloom.llm.common import bind, id_and_text
+from tallyloom.llm.common import bind, id_and_text, running
 
 # kind, pattern, group that must be long enough, its least length; the order settles ties of start
 ASSIGN = r"""(?i)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -22,6 +22,7 @@ LONG = {"access": "AKIA[A-Z0-9]{16,}", "hex": "[0-9a-f]{24,}"}
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 SYMBOLS = len(ALPHABET) + 1  # 0: any other character
 KEY_RUN = "[A-Za-z0-9+/_=-]{%d,}"
+KEY_PART = "[A-Za-z0-9+_]{%d,}"
 IDENTIFIER = "[A-Za-z_][A-Za-z0-9_]{3,}"
 SPAN = "array<struct<start:int,kind:int,end:int,value:string>>"
 
@@ -84,25 +85,54 @@ def samples_from(docs: DataFrame, *, sample_docs: int, id_col: str = "doc_id", t
     return texts.select(F.inline(F.concat(labelled(words, False), labelled(F.array(*forms), True))))
 
 
+def _matches(text: Column, pattern: str, group: int) -> Column:
+    """gaps, hits, parts: what lies around the pattern's non-overlapping matches, the matches, and one group of each."""
+    whole, part = (F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in (0, group))
+    return F.struct(F.split(text, pattern, -1).alias("gaps"), whole.alias("hits"), part.alias("parts"))
+
+
 def located(text: Column, pattern: str, kind: int, group: int = 0, least: int = 0) -> Column:
     """Spans (code points, end exclusive) of the pattern's non-overlapping matches whose group is long enough."""
-    whole, part = (F.regexp_extract_all(text, F.lit(pattern), F.lit(g)) for g in (0, group))
-    parts = F.struct(F.split(text, pattern, -1).alias("gaps"), whole.alias("hits"), part.alias("parts"))
 
-    def step(m: Column):
-        def add(state: Column, i: Column) -> Column:
-            start = state["at"] + F.length(F.get(m["gaps"], i))
-            end = start + F.length(F.get(m["hits"], i))
+    def spans(m: Column) -> Column:
+        def span(end: Column, i: Column) -> Column:
             value = F.get(m["parts"], i)
-            span = F.struct(start.alias("start"), F.lit(kind).alias("kind"), end.alias("end"), value.alias("value"))
-            spans = F.when(F.length(value) >= least, F.array_append(state["spans"], span)).otherwise(state["spans"])
-            return F.struct(end.alias("at"), spans.cast(SPAN).alias("spans"))
+            return F.struct((end - F.length(F.get(m["hits"], i))).alias("start"), F.lit(kind).alias("kind"), end.alias("end"), value.alias("value"))
+
+        sizes = F.transform(m["hits"], lambda hit, i: F.length(F.get(m["gaps"], i)) + F.length(hit))
+        found = F.transform(running(sizes, lambda a, b: a + b), span)
+        return F.filter(found, lambda s: F.length(s["value"]) >= least) if least else found
+
+    return F.when(F.rlike(text, F.lit(pattern)), bind(_matches(text, pattern, group), spans).cast(SPAN)).otherwise(F.array().cast(SPAN))
+
+
+def blanked(text: Column, pattern: str, group: int, least: int) -> Column:
+    """`text` with a blank for every character of the matches that `located` reports."""
+
+    def clear(m: Column) -> Column:
+        blank = lambda i: F.when(F.length(F.get(m["parts"], i)) >= least, F.repeat(F.lit(" "), F.length(F.get(m["hits"], i)))).otherwise(F.get(m["hits"], i))
+        return F.array_join(F.transform(m["gaps"], lambda gap, i: F.concat(gap, F.coalesce(blank(i), F.lit("")))), "")
 
-        return add
+    return F.when(F.rlike(text, F.lit(pattern)), bind(_matches(text, pattern, group), clear)).otherwise(text)
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("spans"))
-    walk = lambda m: F.aggregate(F.sequence(F.lit(0), F.size(m["hits"]) - 1), start, step(m), lambda s: s["spans"])
-    return F.when(F.rlike(text, F.lit(pattern)), bind(parts, walk)).otherwise(F.array().cast(SPAN))
+
+def apart_from(spans: Column, base: Column) -> Column:
+    """The `spans` that overlap none of `base`, both sorted: one pass over both in order of start."""
+
+    def clear(merged: Column) -> Column:
+        def judge(ends: Column) -> Column:
+            def rest(starts: Column) -> Column:
+                free = lambda s, i: s["own"] & (F.get(ends, i) <= s["span"]["start"]) & (F.get(starts, F.size(starts) - 1 - i) >= s["span"]["end"])
+                return F.transform(F.filter(merged, free), lambda s: s["span"])
+
+            later = F.transform(F.reverse(merged), lambda s: F.when(s["own"], (1 << 31) - 1).otherwise(s["start"]))
+            return bind(running(later, F.least), rest)
+
+        return bind(running(F.transform(merged, lambda s: F.when(s["own"], 0).otherwise(s["span"]["end"])), F.greatest), judge)
+
+    marked = lambda array, own: F.transform(array, lambda s: F.struct(s["start"].alias("start"), F.lit(own).alias("own"), s.alias("span")))
+    both = F.array_sort(F.concat(marked(base, False), marked(spans, True)))
+    return F.when((F.size(spans) > 0) & (F.size(base) > 0), bind(both, clear)).otherwise(spans)
 
 
 def rendered(spans: Column) -> Column:
@@ -113,29 +143,35 @@ def rendered(spans: Column) -> Column:
 
 
 def find_secrets(
-    docs: DataFrame, model: Model, *, min_chars: int = 20, min_ratio: float = 15.0, min_per_char: float = 0.5, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame, model: Model, *, min_chars: int = 12, min_ratio: float = 15.0, min_per_char: float = 0.5, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """doc_id, base, added: spans by the fixed patterns and those the model adds, each sorted by start and kind.
 
-    The model judges maximal runs of key characters of `min_chars` or more with a letter in them, which no base
-    span overlaps; `min_ratio` is the least log-likelihood ratio, `min_per_char` that by the character.
-    One row per input row; a null text is empty.
+    The model judges what the base spans leave of the text: runs of `min_chars` or more key characters, and where such a run
+    is no secret, its parts of that length between `/`, `=` and `-`. A secret has a letter, a log-likelihood ratio of at
+    least `min_ratio`, and of `min_per_char` by the character. Shorter random strings are not found. Time grows with the
+    length of a text and hardly more (n log n in its matches). One row per input row; a null text is empty.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
-    base = [located(text, LONG.get(kind, pattern), i, group, least) for i, (kind, pattern, group, least) in enumerate(KINDS)]
-    found = id_and_text(docs, id_col, text_col).select(
-        "doc_id",
-        F.array_sort(F.concat(*base)).alias("base"),
-        located(text, KEY_RUN % min_chars, len(KINDS)).alias("runs"),
-    )
-
-    def random(run: Column) -> Column:
-        score = model.score(run["value"])
-        clear = ~F.exists("base", lambda b: (b["start"] < run["end"]) & (run["start"] < b["end"]))
-        high = bind(score, lambda s: (s >= min_ratio) & (s >= min_per_char * F.length(run["value"])))
-        return clear & F.rlike(run["value"], F.lit("[A-Za-z]")) & high
-
-    return found.select("doc_id", "base", F.filter("runs", random).alias("added"))
+    kinds = [(LONG.get(kind, pattern), i, group, least) for i, (kind, pattern, group, least) in enumerate(KINDS)]
+    rest = text
+    for pattern, _, group, least in kinds:
+        rest = blanked(rest, pattern, group, least)
+    added = len(KINDS)
+    found = id_and_text(docs, id_col, text_col).select("doc_id", F.array_sort(F.concat(*[located(text, *kind) for kind in kinds])).alias("base"), rest.alias("rest"))
+    found = found.select("doc_id", "base", located(F.col("rest"), KEY_RUN % min_chars, added).alias("runs"))
+
+    def random(value: Column) -> Column:
+        return F.rlike(value, F.lit("[A-Za-z]")) & bind(model.score(value), lambda s: (s >= min_ratio) & (s >= min_per_char * F.length(value)))
+
+    def parts(run: Column) -> Column:
+        within = F.filter(located(run["value"], KEY_PART % min_chars, added), lambda part: random(part["value"]))
+        moved = lambda s: F.struct((s["start"] + run["start"]).alias("start"), s["kind"].alias("kind"), (s["end"] + run["start"]).alias("end"), s["value"].alias("value"))
+        return F.when(F.rlike(run["value"], F.lit("[/=-]")), F.transform(within, moved)).otherwise(F.array().cast(SPAN))
+
+    secrets = F.flatten(F.transform("runs", lambda run: F.when(random(run["value"]), F.array(run)).otherwise(parts(run))))
+    # a base span may have been cut by one of another kind
+    return found.select("doc_id", "base", secrets.alias("found")).select("doc_id", "base", apart_from(F.col("found"), F.col("base")).alias("added"))
 
 
 def count_kind(spans: Column, kind: int) -> Column:

@@ -28,25 +28,41 @@ def letters(text: str) -> str:
     return BETWEEN.sub(" ", text.lower()).strip()
 
 
+def shares(parts: list[bytes], room: int) -> list[bytes]:
+    """The parts cut to one length, the largest at which all of them fit; shorter parts leave their room to the others."""
+    left, most = room, 0
+    for done, size in enumerate(sorted(map(len, parts))):
+        most = left // (len(parts) - done)
+        if size > most:
+            break
+        left -= size
+    return [part[: max(most, 1)].decode(errors="ignore").encode() for part in parts]
+
+
 def learn_dictionaries(labelled: DataFrame, *, dict_bytes: int = 65_536, sample_docs: int = 200, label_col: str = "lang", text_col: str = "text") -> list[tuple[str, bytes]]:
-    """(language, dictionary) by falling number of texts: `dict_bytes` from about `sample_docs` texts, dealt evenly.
+    """(language, dictionary) by falling number of texts: `dict_bytes` from about `sample_docs` texts a language.
 
-    A bounded, even sample: texts are taken by a hash, at a rate by language that its count sets, each text giving an
-    equal share. Rows without label or text are left out; copies of a text count once.
+    A bounded sample: texts are taken by a hash, at a rate by language that its count sets. Each gives one stretch, at a place
+    of the whole text that the hash chooses, and all stretches taken fit the dictionary. Rows without label or text are left
+    out; copies of a text count once. Rows that are not taken stay in their tasks.
     """
-    share = max(1, 4 * dict_bytes // sample_docs)
     own = labelled.select(F.col(label_col).alias("lang"), F.col(text_col).alias("text")).where("lang is not null and text is not null and text <> ''")
-    hashed = own.select("lang", F.xxhash64("text").alias("h"), F.substring("text", 1, share).alias("part"))
-    counts = hashed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
+    hashed = own.withColumn("h", F.xxhash64("text"))
+    counts = hashed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).where("n > 0")
     # one row a language
-    rate = counts.select("lang", "n", (F.lit(2.0 * sample_docs) / F.col("n")).alias("rate"))
+    rate = F.broadcast(counts.select(F.col("lang").alias("named"), "n", (F.lit(float(sample_docs)) / F.col("n")).alias("rate")))
     even = F.pmod(F.col("h"), F.lit(1_000_003)) / 1_000_003.0
-    taken = hashed.join(rate, "lang").where(even < F.col("rate")).groupBy("lang", "h").agg(F.first("part").alias("part"), F.first("n").alias("n"))
+    taken = hashed.join(rate, (F.col("lang") == F.col("named")) & (even < F.col("rate")))
+    # twice a share in characters, as letters are fewer
+    width = F.ceil(2.0 * dict_bytes / F.least("n", F.lit(sample_docs))).cast("int")
+    room = F.greatest(F.length("text") - width + 1, F.lit(1))
+    place = (F.pmod(F.shiftrightunsigned("h", 20), room) + 1).cast("int")
+    taken = taken.select("lang", "h", "n", F.substring("text", place, width).alias("part")).dropDuplicates(["lang", "h"])
     rows = taken.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("h", "part"))).alias("parts"), F.first("n").alias("n")).collect()
     out = []
     for row in sorted(rows, key=lambda r: (-r["n"], r["lang"])):
-        whole = "\n".join(letters(p["part"]) for p in row["parts"]).encode()
-        out.append((row["lang"], whole[-dict_bytes:]))
+        parts = [letters(p["part"]).encode() for p in row["parts"]]
+        out.append((row["lang"], b"\n".join(shares(parts, dict_bytes - len(parts) + 1))))
     return out
 
 

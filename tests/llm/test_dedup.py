@@ -144,8 +144,55 @@ def test_near_copies_around_the_threshold(spark):
 
 
 def test_cells_with_many_components_go_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(hamming_dedup, "BLOCK", 8)
+    for name, value in (("BLOCK", 24), ("TILE", 8), ("GROUP_BYTES", 4_000)):
+        monkeypatch.setattr(hamming_dedup, name, value)
     test_near_copies_around_the_threshold(spark)
+    monkeypatch.setattr(hamming_dedup, "TILE_BYTES", 3_000)
+    test_near_copies_around_the_threshold(spark)
+
+
+def test_blocks_hold_each_member_once(spark):
+    # 20,000 look-alikes of one pivot, all of them apart
+    size = 20_000
+    members = spark.range(1, size + 1).select(
+        F.lit(0).cast("long").alias("pivot"), F.col("id").alias("node"), F.col("id").alias("component"), F.lit(9).cast("long").alias("n_shingles"), F.lit(b"").alias("signature")
+    )
+    blocks = hamming_dedup._blocks(members)
+    held = blocks.select(F.size("members").alias("n")).toPandas()["n"]
+    assert held.sum() == size and held.max() < 2 * hamming_dedup.BLOCK
+    assert hamming_dedup._block_pairs(blocks).count() == len(held) * (len(held) + 1) // 2
+
+
+def test_tiles_are_bounded_in_bytes():
+    sizes = np.array([10, 20, 3 << 20, 5, 5] + [1] * 1_200)
+    tiles = hamming_dedup._tiles(sizes)
+    assert [t.start for t in tiles[1:]] == [t.stop for t in tiles[:-1]] and tiles[-1].stop == len(sizes)
+    assert all(t.stop - t.start <= hamming_dedup.TILE for t in tiles)
+    assert all(8 * sizes[t].sum() <= hamming_dedup.TILE_BYTES or t.stop - t.start == 1 for t in tiles)
+
+
+def test_other_texts_stay_out_of_the_exchange(spark):
+    docs = spark.range(5_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"), (F.col("id") * 7).alias("mark"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = hamming_dedup.materialise(docs, "texts")
+        wanted = docs.where("doc_id % 50 = 0").select(F.col("doc_id").alias("node"), "doc_id", "mark")
+        sets = hamming_dedup._sets_of(docs, wanted, 2)
+        assert sets.count() == 100
+        with hamming_dedup.bloom_filtered(spark, 100):
+            chosen = hamming_dedup.materialise(wanted, "wanted").where(F.col("doc_id") >= hamming_dedup.LEAST_LONG)
+            plan = docs.join(chosen, ["doc_id", "mark"])._jdf.queryExecution().optimizedPlan().toString()
+        assert "might_contain" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_clashing_names(spark):
+    names = ["_id", "_mark", "row", "mark", "first", "chosen", "component", "node", "_keep", "_gone"]
+    docs = spark.createDataFrame([(1, "a b c d e f", *names), (2, "A b c d e f", *names), (3, None, *names)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    kept = hamming_dedup.drop_near_duplicates(docs)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [1, 3]
 
 
 def test_pigeonhole_misses_no_signature_within_the_distance():
@@ -212,6 +259,8 @@ def test_texts_that_share_an_id(spark):
     got = {(r.doc_id, r.text): (r.component_id, r.kept) for r in found.collect()}
     assert got[rows[0]] == (3, True)
     assert got[(5, a)] == (3, False) and got[(5, b)] == (5, True)
-    assert {got[rows[3]], got[rows[4]]} == {(7, True), (7, False)}
+    # kept by the id; one of the two is chosen
+    assert got[rows[3]] == got[rows[4]] == (7, True)
+    assert [r.chosen for r in found.where("doc_id = 7").orderBy("mark").collect()] == [True, False]
     kept = [(r.doc_id, r.text) for r in hamming_dedup.drop_near_duplicates(docs).collect()]
     assert len(kept) == 4 and {rows[0], (5, b), rows[5]} <= set(kept)

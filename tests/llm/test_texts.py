@@ -65,6 +65,71 @@ def test_markov_models_add_random_strings_only(spark, model):
     assert first == ",".join(f"assign:{a}:{b}" for a, _, b in plain_secrets(SECRETS[0]))
 
 
+def test_parts_of_runs_and_short_keys(spark, model):
+    key, short = "QmFzZTY0U3RyaW5nV2l0aFJhbmRvbQxZ9qk3VvT7rLw0", "x7Kq9ZpL2vRw"
+    rows = [
+        (1, "see " + "some/long/path/of/ordinary/words/" * 6 + f"{key}/readme"), (2, f"id {short} end"),
+        (3, f"token=abcdefgh/{key} {key}"), (4, "0123456789abcdef0123456789abcdefapi_key=zzzzzz"), (5, "someordinarywords another-ordinary-word"),
+    ]
+    got = {r.doc_id: [rows[r.doc_id - 1][1][s.start : s.end] for s in r.added] for r in secret_scan.find_secrets(odd_documents(spark, rows), model).collect()}
+    assert got == {1: [key], 2: [short], 3: [key], 4: [], 5: []}
+
+
+def plain_added(text, model, least=12):
+    """Markov spans by plain loops over the characters that no base span covers."""
+    base = plain_secrets(text)
+    at = lambda c: secret_scan.ALPHABET.find(c) + 1
+
+    def secret(v):
+        score = sum(model.ratios[at(a) * secret_scan.SYMBOLS + at(b)] for a, b in zip(v, v[1:]))
+        return bool(re.search("[A-Za-z]", v)) and score >= 15 and score >= 0.5 * len(v)
+
+    rest = list(text)
+    for a, _, b in base:
+        rest[a:b] = " " * (b - a)
+    out = []
+    for run in re.finditer("[A-Za-z0-9+/_=-]{%d,}" % least, "".join(rest)):
+        if secret(run[0]):
+            out.append((run.start(), run.end()))
+        else:
+            out += [(run.start() + p.start(), run.start() + p.end()) for p in re.finditer("[A-Za-z0-9+_]{%d,}" % least, run[0]) if run[0] != p[0] and secret(p[0])]
+    return out
+
+
+def test_markov_spans_against_plain_loops(spark, model):
+    rng = random.Random(9)
+    letters = secret_scan.ALPHABET
+    pieces = [lambda: "".join(rng.choice(letters) for _ in range(rng.randint(5, 40))), lambda: rng.choice(SECRETS), lambda: prose(rng.randint(1, 99), 6), lambda: f"token={rng.getrandbits(90):x}"]
+    rows = [(i, rng.choice([" ", "", "/"]).join(rng.choice(pieces)() for _ in range(rng.randint(1, 12)))) for i in range(150)]
+    got = {r.doc_id: [(s.start, s.end) for s in r.added] for r in secret_scan.find_secrets(odd_documents(spark, rows), model).collect()}
+    assert got == {i: plain_added(t, model) for i, t in rows}
+    assert sum(map(len, got.values())) > 100
+
+
+def test_many_matches_in_one_text(spark, model):
+    count = 60_000
+    rows = [(1, "token=abcdef12 " * count), (2, "x" * 2_000_000 + " " + "AKIA" + "Z" * 16)]
+    got = {r.doc_id: r for r in secret_scan.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"), model).collect()}
+    assert [(s.start, s.end) for s in got[1].base] == [(15 * i, 15 * i + 14) for i in range(count)] and not got[1].added
+    assert [(s.start, s.end) for s in got[2].base] == [(2_000_001, 2_000_021)]
+
+
+def test_spans_apart_from_others(spark):
+    rng = random.Random(2)
+    rows = []
+    for i in range(60):
+        base = sorted((s, 0, s + rng.randint(1, 20), "b") for s in rng.choices(range(300), k=rng.randint(0, 8)))
+        own, at = [], 0
+        while at < 300:
+            end = at + rng.randint(1, 15)
+            own.append((at, 3, end, "o"))
+            at = end + rng.randint(0, 10)
+        rows.append((i, own, base))
+    df = spark.createDataFrame(rows, f"i int, own {secret_scan.SPAN}, base {secret_scan.SPAN}")
+    got = {r.i: [tuple(s) for s in r.x] for r in df.select("i", secret_scan.apart_from(F.col("own"), F.col("base")).alias("x")).collect()}
+    assert got == {i: [s for s in own if not any(b[0] < s[2] and s[0] < b[2] for b in base)] for i, own, base in rows}
+
+
 def test_scores_add_up(spark, model):
     values = ["", "a", "ab", "a-é/Z9"]
     scored = spark.createDataFrame([(v,) for v in values], "v string").select("v", model.score(F.col("v")).alias("s"))
@@ -160,6 +225,50 @@ def test_language(spark):
     assert len(sure) > len(test) / 2 and all(sure)
 
 
+def plain_language(text, learned):
+    """The smallest result, by compressing each block with each dictionary; the odds from the sizes."""
+    import zstandard
+
+    if not any(map(str.isalpha, text or "")) or not learned:
+        return "und", 0.0
+    data = re.sub(r"[\W\d_]+", " ", text.lower()).strip().encode()
+    sizes = []
+    for _, content in learned:
+        packer = zstandard.ZstdCompressor(level=6, dict_data=zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_dict_id=False)
+        sizes.append(sum(len(packer.compress(data[at : at + 4_096])) for at in range(0, len(data), 4_096)))
+    odds = [2.0 ** ((min(sizes) - s) / 3) for s in sizes]
+    return learned[sizes.index(min(sizes))][0], 1 / sum(odds)
+
+
+def test_languages_against_plain_compression(spark):
+    rows = [(100 * n + k, language(100 * n + k, s, 3 + 40 * k), tongue) for n, (tongue, s) in enumerate(TONGUES.items()) for k in range(25)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    learned = zstd_lang.learn_dictionaries(docs, dict_bytes=3_000, sample_docs=10)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in zstd_lang.classify(docs, learned).collect()}
+    for i, text, _ in rows:
+        name, score = plain_language(text, learned)
+        assert got[i][0] == name and got[i][1] == pytest.approx(score)
+
+
+def test_dictionaries_take_stretches_of_whole_texts(spark):
+    # every text opens with the same words of another language; the rest has its own
+    rows = [(i, "opening " * 400 + f"own{'abcdefghij'[i % 10]} " * 800, "aa") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    ((_, content),) = zstd_lang.learn_dictionaries(docs.withColumn("text", F.concat("text", F.lit(" "), F.col("doc_id"))), dict_bytes=8_000, sample_docs=100)
+    parts = content.decode().split("\n")
+    assert 60 < len(parts) < 140 and 7_000 < len(content) <= 8_000
+    assert sum("own" in p for p in parts) > len(parts) / 3
+    # equal shares
+    assert len({len(p) for p in parts}) == 1
+
+
+def test_shares_fit():
+    parts = [b"a" * n for n in (3, 50, 200, 1_000)]
+    assert [len(p) for p in zstd_lang.shares(parts, 303)] == [3, 50, 125, 125]
+    assert zstd_lang.shares(parts, 5_000) == parts and zstd_lang.shares([], 9) == []
+    assert zstd_lang.shares(["é".encode() * 9], 5) == ["éé".encode()]
+
+
 def test_languages_odd_cases(spark):
     learned = [("aa", language(1, TONGUES["aa"], 500).encode()), ("bb", language(2, TONGUES["bb"], 500).encode())]
     rows = texts() + [(50, "12 + 7 = 19"), (51, "²"), (52, language(3, TONGUES["bb"], 60_000))]
