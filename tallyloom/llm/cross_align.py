@@ -4,7 +4,7 @@ A text's tokens under either tokenizer end at ascending byte offsets. The shorte
 longer: from the place of the last find in steps that double, then by halves within the last step. The common ends cut both
 token lists into groups, a group's tokens being the difference of their ranks; tokens that end together link.
 
-Texts are encoded once. What they link goes as (A id, B id, how often) per text to Spark, which counts pairs over all
+Texts are encoded once, word by word where neither tokenizer can join characters across the blank before a word. What they link goes as (A id, B id, how often) per text to Spark, which counts pairs over all
 texts and joins the counts back.
 """
 
@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
@@ -25,6 +26,13 @@ from tallyloom.llm.files import in_arrow
 from tallyloom.session import materialise
 
 SPACE_PIECE = "▁"
+ID = np.dtype("<u4")
+CACHED_WORDS, LONGEST_WORD = 500_000, 64
+# blanks of which tokenizers make different things; texts that have them are encoded whole
+ODD_BLANKS = "\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+# a word: from a blank after other than white space up to the next such blank
+WORD_START = re.compile(r"(?<=[^ \t\n\r])(?= )")
+BLANKS_IN_WORDS = ("  ", "\t ", "\n ", "\r ")
 
 
 class ByteLevel:
@@ -44,6 +52,9 @@ class ByteLevel:
         for entry, i in self.model.get_vocab().items():
             self.bytes[i] = bytes(byte_of[c] for c in entry) if all(c in byte_of for c in entry) else entry.encode()
 
+        # its pattern starts a token at every such blank
+        self.by_word = type(self.model.pre_tokenizer).__name__ == "ByteLevel" and self.model.normalizer is None
+
     def encode(self, text: str) -> list[int]:
         return self.model.encode(" " + text, add_special_tokens=False).ids
 
@@ -56,13 +67,41 @@ class Pieces:
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
         self.bytes = [self._bytes(i) for i in range(self.model.get_piece_size())]
+        # no piece reaches from a word into the next, and blanks are kept
+        within = all(SPACE_PIECE not in self.model.id_to_piece(i).lstrip(SPACE_PIECE) for i in range(len(self.bytes)))
+        self.by_word = within and self.model.decode(self.encode(" a  b ")) == " a  b "
 
     def _bytes(self, i: int) -> bytes:
         piece = self.model.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.model.is_byte(i) else piece.replace(SPACE_PIECE, " ").encode()
 
     def encode(self, text: str) -> list[int]:
-        return self.model.encode(text)
+        return self.model.encode(text) if text else [self.model.piece_to_id(SPACE_PIECE)]
+
+
+class Words(dict):
+    """Ids of a blank and a word as bytes, None where they do not give its bytes back; cleared at CACHED_WORDS words."""
+
+    def __init__(self, tokenizer: ByteLevel | Pieces):
+        self.tokenizer = tokenizer
+
+    def __missing__(self, word: str) -> bytes | None:
+        ids = self.tokenizer.encode(word)
+        exact = b"".join(map(self.tokenizer.bytes.__getitem__, ids)) == b" " + word.encode()
+        packed = np.array(ids, ID).tobytes() if exact else None
+        if len(word) <= LONGEST_WORD:
+            if len(self) >= CACHED_WORDS:
+                self.clear()
+            self[word] = packed
+        return packed
+
+
+def words_of(text: str) -> list[str]:
+    """The words of a blank and the text, each without its first blank."""
+    whole = " " + text
+    if any(blanks in whole for blanks in BLANKS_IN_WORDS):
+        return [word[1:] for word in WORD_START.split(whole)]
+    return text.split(" ")
 
 
 def common_ends(shorter: Sequence[int], longer: Sequence[int]) -> tuple[list[int], list[int]]:
@@ -91,23 +130,25 @@ class Aligner:
 
     def __init__(self, a: str, b: str):
         self.a, self.b = ByteLevel(a), Pieces(b)
+        self.words = Words(self.a), Words(self.b)
+        self.by_word = self.a.by_word and self.b.by_word
         self.sizes = [np.array([len(x) for x in t.bytes], np.int64) for t in (self.a, self.b)]
         # an id and what follows it: another of its group's side, the other side, the next group, nothing
         most = max(len(self.a.bytes), len(self.b.bytes))
         self.forms = [str(i).encode() + mark for i in range(most) for mark in (b",", b"|", b";", b"")]
 
-    def tokens(self, text: str | None) -> tuple[list[int], list[int]]:
+    def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids by both; none where the text is null or empty, or either's bytes are not those of a blank and the text."""
+        none = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if not text:
-            return [], []
-        whole = b" " + text.encode()
-        a = self.a.encode(text)
-        if b"".join(map(self.a.bytes.__getitem__, a)) != whole:
-            return [], []
-        b = self.b.encode(text)
-        if b"".join(map(self.b.bytes.__getitem__, b)) != whole:
-            return [], []
-        return a, b
+            return none
+        split = self.by_word and not any(blank in text for blank in ODD_BLANKS)
+        words = words_of(text) if split else [text]
+        try:
+            a, b = (b"".join(map(table.__getitem__, words)) for table in self.words)
+        except TypeError:  # a word that is not given back
+            return none
+        return np.frombuffer(a, ID).astype(np.int64), np.frombuffer(b, ID).astype(np.int64)
 
     def align(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ranks of the tokens of A and of B that end together."""
@@ -158,7 +199,7 @@ def align(docs: DataFrame, a: str, b: str, *, with_groups: bool = False, id_col:
         for batch in batches:
             sizes, digests, texts, found, cuts = [], [], [], [], [0]
             for text in batch.column(1):
-                ids_a, ids_b = (np.array(ids, np.int64) for ids in both.tokens(text.as_py()))
+                ids_a, ids_b = both.tokens(text.as_py())
                 at_a, at_b = both.align(ids_a, ids_b)
                 groups = both.groups(ids_a, ids_b, at_a, at_b)
                 sizes.append((len(ids_a), len(ids_b), len(at_a)))

@@ -112,6 +112,22 @@ def test_galloping_skips():
     assert mine == [0, 1, 2] and other == [5, 40_000, 99_999] and Counted.reads < 150
 
 
+def test_words_give_the_ids_of_whole_texts(both):
+    rng = random.Random(8)
+    signs = ["a", "The", "don't", "é", "日本", " ", "  ", "\n", "\t", "\r\n", ".", "12", "!", "\xa0", "\u3000", "\x1c", "\x85", "'s", "\u200b", "́", "😀", "<s>", "\x00", "-"]
+    assert both.by_word
+    for _ in range(4_000):
+        text = "".join(rng.choice(signs) for _ in range(rng.randint(1, 14)))
+        a, b = both.tokens(text)
+        assert a.tolist() == both.a.encode(text) and b.tolist() == both.b.encode(text), repr(text)
+    assert sum(map(len, both.tokens("▁ x"))) == 0
+
+
+def test_long_words_are_not_held(both):
+    both.tokens("y" * 5_000 + " z")
+    assert all("y" * 5_000 not in table and "z" in table for table in both.words)
+
+
 def test_token_bytes_join_to_the_text(both):
     for text in ["plain words", "  two  blanks", "ünïcödé 日本", "<s> <|endoftext|>"]:
         a, b = both.tokens(text)
