@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from typing import TYPE_CHECKING
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,8 +11,12 @@ from pyspark.sql import functions as F
 from tallyloom.functions.ladders import at_most
 from tallyloom.operators.joins import attach_by_key
 from tallyloom.operators.scalars import with_scalar
+from tallyloom.operators.selection import select_quantiles, selectable
 from tallyloom.session import materialise
 
+if TYPE_CHECKING:
+    from tallyloom.operators.fitted import Fitted
+
 
 def group_mode(df: DataFrame, keys: Sequence[str], column: str, name: str = "mode_value") -> DataFrame:
     """The most frequent value per key, the smallest among equals; plus the group's row count.
@@ -69,12 +74,16 @@ def running_count(df: DataFrame, by: str, name: str = "row_num") -> DataFrame:
     return attach_by_key(df, keyed, [by]).drop("__n")
 
 
-def flag_upper_outliers(df: DataFrame, columns: Mapping[str, str], sigmas: float = 3) -> DataFrame:
+def flag_upper_outliers(
+    df: DataFrame, columns: Mapping[str, str], sigmas: float = 3, figures: Fitted | None = None
+) -> DataFrame:
     """Flag values above mean + `sigmas` · sample deviation; `columns` maps value to flag.
 
-    The moments come from one scalar subquery that reads the value columns only. Null values,
-    and columns with fewer than two values, give false.
+    The moments come from one scalar subquery that reads the value columns only, or from `figures` fitted
+    before; rows may be a stream then. Null values, and columns with fewer than two values, give false.
     """
+    if figures is not None:
+        return df.withColumns({flag: figures.above(c, sigmas) for c, flag in columns.items()})
     moments = [
         F.struct(F.avg(c).alias("mean"), F.stddev_samp(c).alias("sd")).alias(c) for c in columns
     ]
@@ -88,9 +97,19 @@ def flag_upper_outliers(df: DataFrame, columns: Mapping[str, str], sigmas: float
 
 
 def add_zscore(
-    df: DataFrame, column: str, score: str = "zscore", flag: str = "is_outlier", sigmas: float = 3
+    df: DataFrame,
+    column: str,
+    score: str = "zscore",
+    flag: str = "is_outlier",
+    sigmas: float = 3,
+    figures: Fitted | None = None,
 ) -> DataFrame:
-    """Absolute z-score and a two-sided outlier flag; both null where there is no spread."""
+    """Absolute z-score and a two-sided outlier flag; both null where there is no spread.
+
+    With `figures` fitted before, rows may be a stream.
+    """
+    if figures is not None:
+        return df.withColumn(score, figures.zscore(column)).withColumn(flag, F.col(score) > sigmas)
     moments = F.struct(F.avg(column).alias("mean"), F.stddev_samp(column).alias("sd"))
     stats = df.agg(moments.alias("stats")).scalar()
     scored = with_scalar(
@@ -102,11 +121,12 @@ def add_zscore(
 def quartiles(
     df: DataFrame, columns: Sequence[str], method: str = "exact", accuracy: int = 10_000
 ) -> Column:
-    """A scalar struct of `[q1, median, q3]` arrays by column, nulls left out; null without values.
+    """A struct of `[q1, median, q3]` arrays by column, nulls left out; null without values.
 
     Exact at any size: each is the smallest value that a quarter, a half, three quarters of the
-    values do not exceed. `method="approx"` is one pass of a mergeable sketch instead, with a
-    rank error of 1/`accuracy` that depends on the partitioning.
+    values do not exceed. Numbers are selected by passes of counts (`select_quantiles`), which run at
+    once and leave literals in the plan; other types by `exact_quantiles`. `method="approx"` is one pass
+    of a mergeable sketch instead, with a rank error of 1/`accuracy` that depends on the partitioning.
     """
     if method == "approx":
         shares = F.array(*[F.lit(share) for share in QUARTERS])
@@ -114,14 +134,24 @@ def quartiles(
         return df.agg(F.struct(*sketches).alias("quartiles")).scalar()
     if method != "exact":
         raise ValueError(f"method must be 'exact' or 'approx', not {method!r}")
-    return exact_quantiles(df, columns, QUARTERS).select(F.struct(*columns).alias("quartiles")).scalar()
+    kinds = {c: df.schema[c].dataType for c in columns}
+    if not all(map(selectable, kinds.values())):
+        return exact_quantiles(df, columns, QUARTERS).select(F.struct(*columns).alias("quartiles")).scalar()
+    found = select_quantiles(df, columns, QUARTERS)
+
+    def literal(c: str) -> Column:
+        if found[c] is None:
+            return F.lit(None).cast(f"array<{kinds[c].simpleString()}>")
+        return F.array(*[F.lit(v).cast(kinds[c]) for v in found[c]])
+
+    return F.struct(*[literal(c).alias(c) for c in columns])
 
 
 QUARTERS = (0.25, 0.5, 0.75)
 
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> DataFrame:
-    """One row: for each column the array of its discrete quantiles.
+    """One row: for each column of any ordered type the array of its discrete quantiles.
 
     Rows are counted per column and value; these counts are range-partitioned by value and written
     once, so that their partitions stay put; each partition adds the total of those before it. The
