@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import os
 import re
+import struct
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 
@@ -54,8 +55,15 @@ class ByteLevel:
 
         # its pattern starts a token at every such blank
         self.by_word = type(self.model.pre_tokenizer).__name__ == "ByteLevel" and self.model.normalizer is None
+        self.blank = next(c for c, b in byte_of.items() if b == 0x20)
+        self.marks = {mark: self.model.token_to_id(mark) for mark in ".,"}
 
     def encode(self, text: str) -> list[int]:
+        if self.by_word and text.isascii():  # letters, and a mark after them, are tokens apart
+            letters = text[:-1] if text[-1:] in self.marks else text
+            if letters.isalpha():
+                ids = [t.id for t in self.model.model.tokenize(self.blank + letters)]
+                return ids if letters is text else ids + [self.marks[text[-1]]]
         return self.model.encode(" " + text, add_special_tokens=False).ids
 
 
@@ -88,7 +96,7 @@ class Words(dict):
     def __missing__(self, word: str) -> bytes | None:
         ids = self.tokenizer.encode(word)
         exact = b"".join(map(self.tokenizer.bytes.__getitem__, ids)) == b" " + word.encode()
-        packed = np.array(ids, ID).tobytes() if exact else None
+        packed = struct.pack(f"<{len(ids)}I", *ids) if exact else None
         if len(word) <= LONGEST_WORD:
             if len(self) >= CACHED_WORDS:
                 self.clear()

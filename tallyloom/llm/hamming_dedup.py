@@ -32,7 +32,7 @@ from tallyloom.session import materialise, scratch_path, temporary_copies
 SLOTS, BITS, RADIUS, MISS = 64, 16, 1, 1e-5
 BLOCK = 4_096
 # members compared by signature at once, and those compared by their full sets: so many, or of so many bytes
-TILE, TILE_BYTES, GROUP_BYTES = 512, 8 << 20, 48 << 20
+TILE, TILE_BYTES, GROUP_BYTES = 512, 2 << 20, 8 << 20
 LEAST_LONG = -(1 << 63)
 CACHED_WORDS = 300_000
 FACTORS = (np.random.default_rng(20_231).integers(0, 1 << 63, SLOTS, dtype=np.uint64) << np.uint64(1)) | np.uint64(1)
