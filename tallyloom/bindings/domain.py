@@ -265,6 +265,42 @@ def prefer_reference(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@bound(
+    "lookup_text_key",
+    """with m as (select o_custkey, o_orderpriority as p from (select *, row_number() over
+           (partition by o_custkey order by n desc, o_orderpriority) as rn from
+           (select o_custkey, o_orderpriority, count(*) as n from orders group by 1, 2)) where rn = 1)
+       select case when c_custkey % 10 = 0 then 'n/a' else lpad(c_custkey::varchar, 8, '0') end as code,
+         coalesce(p, c_mktsegment) as c_mktsegment
+       from customer left join m on c_custkey = o_custkey and c_custkey % 10 <> 0""",
+)
+def lookup_text_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Padded text codes, some of them no number, looked up among integers."""
+    key = F.col("c_custkey")
+    code = F.when(key % 10 == 0, "n/a").otherwise(F.lpad(key.cast("string"), 8, "0"))
+    rows = table(spark, folder, "customer").select(code.alias("code"), "c_mktsegment")
+    return joins.prefer_reference(
+        rows, table(spark, folder, "orders"), "code", "c_mktsegment", "o_custkey", "o_orderpriority"
+    )
+
+
+@bound(
+    "lookup_integer_key",
+    """with m as (select o_custkey, o_orderstatus as s from (select *, row_number() over
+           (partition by o_custkey order by n desc, o_orderstatus) as rn from
+           (select o_custkey, o_orderstatus, count(*) as n from orders where o_orderkey % 7 <> 0 group by 1, 2))
+           where rn = 1)
+       select c_custkey, s as status from customer left join m on c_custkey = o_custkey""",
+)
+def lookup_integer_key(spark: SparkSession, folder: str) -> DataFrame:
+    """Integers looked up among text codes, padded in two ways and some of them no number."""
+    order, key = F.col("o_orderkey"), F.col("o_custkey").cast("string")
+    code = F.when(order % 7 == 0, "abc").when(order % 2 == 0, F.lpad(key, 8, "0")).otherwise(key)
+    codes = table(spark, folder, "orders").select(code.alias("code"), "o_orderstatus")
+    rows = table(spark, folder, "customer").select("c_custkey", F.col("c_custkey").alias("status"))
+    return joins.replace_by_lookup(rows, codes, "status", "code", "o_orderstatus")
+
+
 def _dictionary(spark: SparkSession, folder: str) -> DataFrame:
     """Two-word part names and their title-cased form, as far as the first letter is below `o`."""
     names = table(spark, folder, "part").filter("p_name < 'o'").select(F.col("p_name").alias("source_text"))

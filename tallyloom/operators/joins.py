@@ -6,7 +6,56 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FractionalType,
+    LongType,
+    MapType,
+    NumericType,
+    StringType,
+    TimestampNTZType,
+    TimestampType,
+)
+
+
+def key_type(left: DataType, right: DataType) -> DataType | None:
+    """The type in which keys of two types are compared; None where they are of one type already.
+
+    Text meets numbers as a number and dates as a date: `01310` is 1310, and a text that is neither
+    matches nothing. Types without such a common one are an error.
+    """
+    if left == right:
+        return None
+    pair = (left, right)
+    if all(isinstance(t, NumericType) for t in pair):
+        return _widest(*pair)
+    if any(isinstance(t, StringType) for t in pair):
+        other = right if isinstance(left, StringType) else left
+        if isinstance(other, NumericType):
+            return _widest(other, LongType())
+        if isinstance(other, (DateType, TimestampType, TimestampNTZType, StringType)):
+            return other
+    raise ValueError(f"keys of type {left.simpleString()} and {right.simpleString()} cannot be compared")
+
+
+def _widest(left: NumericType, right: NumericType) -> DataType:
+    kinds = {type(left), type(right)}
+    if kinds & {DoubleType} or any(isinstance(t, FractionalType) and not isinstance(t, DecimalType) for t in (left, right)):
+        return DoubleType()
+    exact = [t for t in (left, right) if isinstance(t, DecimalType)]
+    if not exact:
+        return LongType()
+    scale = max(t.scale for t in exact)
+    whole = max([t.precision - t.scale for t in exact] + [19] * (len(exact) == 1))
+    return DecimalType(min(38, whole + scale), scale)
+
+
+def _as_key(value: Column, kind: DataType | None) -> Column:
+    return value if kind is None else value.try_cast(kind)
+
 
 def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
     condition = F.lit(True)
@@ -51,9 +100,12 @@ def one_per_key(lookup: DataFrame, key: str, value: str) -> DataFrame:
     return votes.groupBy(key).agg(F.min(ballot)["value"].alias(value))
 
 
-def _unique(lookup: DataFrame, key: str, value: str, on_ambiguous: str) -> DataFrame:
-    """`__key` and `__value` of a lookup: one value per key, or with "expand" every distinct one."""
-    narrow = lookup.select(F.col(key).alias("__key"), F.col(value).alias("__value"))
+def _unique(lookup: DataFrame, key: str, value: str, on_ambiguous: str, kind: DataType | None) -> DataFrame:
+    """`__key` and `__value` of a lookup: one value per key, or with "expand" every distinct one.
+
+    Keys are compared as `kind`: those that are one there vote together.
+    """
+    narrow = lookup.select(_as_key(F.col(key), kind).alias("__key"), F.col(value).alias("__value"))
     if on_ambiguous == "mode":
         return one_per_key(narrow, "__key", "__value")
     if on_ambiguous == "expand":
@@ -61,19 +113,23 @@ def _unique(lookup: DataFrame, key: str, value: str, on_ambiguous: str) -> DataF
     raise ValueError(f"on_ambiguous must be 'mode' or 'expand', not {on_ambiguous!r}")
 
 
-def _look_up(df: DataFrame, narrow: DataFrame, column: str, absent: Column | None = None) -> DataFrame:
-    """Left join to `__key`, `__value` that keeps rows without a key from piling up in one task.
+def _look_up(
+    df: DataFrame, lookup: DataFrame, column: str, key: str, value: str, on_ambiguous: str, absent: Column | None = None
+) -> DataFrame:
+    """Left join to the lookup's `__key`, `__value` that keeps rows without a key from piling up in one task.
 
-    Rows whose key is null, or `absent`, match nothing: they are dealt out by a hash of the row, the others
-    by a hash of the key, and equality decides. No side is forced to broadcast.
+    Keys of unlike types are compared in their common type (`key_type`). Rows whose key is null, or
+    `absent`, match nothing: they are dealt out by a hash of the row, the others by a hash of the key,
+    and equality decides. No side is forced to broadcast.
     """
-    if absent is None:
-        absent = F.col(column).isNull()
-    kind = df.schema[column].dataType
-    narrow = narrow.where(F.col("__key").isNotNull()).withColumn("__spot", F.xxhash64(F.col("__key").cast(kind)))
+    kind = key_type(df.schema[column].dataType, lookup.schema[key].dataType)
+    narrow = _unique(lookup, key, value, on_ambiguous, kind)
+    narrow = narrow.where(F.col("__key").isNotNull()).withColumn("__spot", F.xxhash64("__key"))
+    sought = _as_key(F.col(column), kind)
+    absent = sought.isNull() if absent is None else absent | sought.isNull()
     spread = [f.name for f in df.schema.fields if not isinstance(f.dataType, MapType)]
-    own = F.when(absent, F.xxhash64(*spread)).otherwise(F.xxhash64(column))
-    keyed = df.withColumns({"__own": own, "__sought": F.when(~absent, F.col(column))})
+    own = F.when(absent, F.xxhash64(*spread)).otherwise(F.xxhash64(sought))
+    keyed = df.withColumns({"__own": own, "__sought": F.when(~absent, sought)})
     on = (keyed["__own"] == narrow["__spot"]) & (keyed["__sought"] == narrow["__key"])
     return keyed.join(narrow, on, "left").drop("__own", "__sought", "__spot", "__key")
 
@@ -92,7 +148,7 @@ def prefer_reference(
     `on_ambiguous="mode"` keeps one row per input row; `"expand"` yields a row for every
     distinct lookup value.
     """
-    joined = _look_up(df, _unique(lookup, lookup_key, lookup_value, on_ambiguous), key)
+    joined = _look_up(df, lookup, key, lookup_key, lookup_value, on_ambiguous)
     preferred = F.coalesce(F.col("__value"), F.col(column)).alias(column)
     return joined.select(*[preferred if c == column else F.col(c) for c in df.columns])
 
@@ -110,7 +166,7 @@ def replace_by_lookup(
     A key with several values has its most frequent one, the smallest among equals, or with
     `on_ambiguous="expand"` a row for each.
     """
-    joined = _look_up(df, _unique(lookup, lookup_key, lookup_value, on_ambiguous), column)
+    joined = _look_up(df, lookup, column, lookup_key, lookup_value, on_ambiguous)
     return joined.drop(column).withColumnRenamed("__value", column)
 
 
@@ -129,7 +185,7 @@ def translate_by_dictionary(
     row is multiplied unless `on_ambiguous="expand"`. Null and blank texts are not looked up.
     """
     blank = F.coalesce(F.length(F.trim(F.col(column))) == 0, F.lit(True))
-    joined = _look_up(df, _unique(dictionary, source, target, on_ambiguous), column, blank)
+    joined = _look_up(df, dictionary, column, source, target, on_ambiguous, blank)
     return joined.withColumn(name, F.coalesce("__value", column)).drop("__value")
 
 
@@ -143,10 +199,15 @@ def untranslated(df: DataFrame, dictionary: DataFrame, column: str, source: str)
 def orphans(
     child: DataFrame, child_keys: Sequence[str], parent: DataFrame, parent_keys: Sequence[str]
 ) -> DataFrame:
-    """Child rows whose foreign key has no parent. A key with a null part is not a violation."""
+    """Child rows whose foreign key has no parent. A key with a null part is not a violation.
+
+    Keys of unlike types are compared in their common type (`key_type`); a text that is no number has
+    no parent among numbers.
+    """
+    kinds = [key_type(child.schema[c].dataType, parent.schema[p].dataType) for c, p in zip(child_keys, parent_keys)]
     present = child.dropna(subset=list(child_keys))
-    parents = parent.select(*[F.col(p).alias(f"__{c}") for c, p in zip(child_keys, parent_keys)])
+    parents = parent.select(*[_as_key(F.col(p), kind).alias(f"__{c}") for c, p, kind in zip(child_keys, parent_keys, kinds)])
     condition = F.lit(True)
-    for key in child_keys:
-        condition = condition & (present[key] == parents[f"__{key}"])
+    for key, kind in zip(child_keys, kinds):
+        condition = condition & (_as_key(present[key], kind) == parents[f"__{key}"])
     return present.join(parents, condition, "left_anti")
