@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.bindings.registry import bound, sql_pct, table
-from tallyloom.operators import differences, profiles
+from tallyloom.operators import differences, profiles, validate
+from tallyloom.operators.validate import Relation
 from tallyloom.session import scratch_path
-from tallyloom.sources import footers, publish
+from tallyloom.sources import catalog, footers, publish, versions
+from tallyloom.streaming.unique import land_unique, read_landed
 
 _SPOILED_SQL = """select o_orderkey, o_custkey, o_orderstatus,
     case when o_orderkey % 991 = 1 then o_totalprice + 1 else o_totalprice end as o_totalprice, o_orderdate,
@@ -102,3 +104,55 @@ def footer_counts(spark: SparkSession, folder: str) -> DataFrame:
         publish.publish(raw.filter("o_orderstatus <> 'P'") if name == "orders" else raw, f"{zone}/{name}.parquet")
     places = {"raw": folder, "ready": zone}
     return footers.footer_counts(spark, {p: {n: f"{root}/{n}.parquet" for n in ("customer", "orders")} for p, root in places.items()})
+
+
+@bound("land_unique", "select * from events")
+def land_unique_events(spark: SparkSession, folder: str) -> DataFrame:
+    """Events whose files overlap and arrive twice, some of them late, landed once each."""
+    events = table(spark, folder, "events")
+    root = scratch_path(spark, "unique")
+    key = F.col("event_id")
+    # the second arrival overlaps the first, the third brings old events again
+    for arrived in (events.where(key % 3 <= 1), events.where(key % 3 >= 1), events.where((key % 3 != 2) & (key % 5 == 0))):
+        arrived.repartition(3).write.mode("append").parquet(f"{root}/inbox")
+        land_unique(
+            spark, f"{root}/inbox", events.schema, f"{root}/landed", f"{root}/progress", ["event_id"], event_time="ts", buckets=4, files_per_batch=2
+        )
+    return read_landed(spark, f"{root}/landed")
+
+
+@bound(
+    "version_publish",
+    """select 'published' as reader, count(*) as row_count, sum(o_custkey)::bigint as checksum, 3 as versions from orders
+       union all select 'kept', count(*) filter (where o_orderstatus <> 'P'), sum(o_custkey) filter (where o_orderstatus <> 'P')::bigint, 3
+       from orders""",
+)
+def version_publish(spark: SparkSession, folder: str) -> DataFrame:
+    """Four versions published one after the other; a reader of the third goes on while the fourth is published."""
+    orders, root = table(spark, folder, "orders"), scratch_path(spark, "versions")
+    for state in ("F", "O"):
+        versions.publish_version(orders.where(F.col("o_orderstatus") == state), "vw_orders_versioned", root)
+    versions.publish_version(orders.where("o_orderstatus <> 'P'"), "vw_orders_versioned", root)
+    held = spark.table("vw_orders_versioned")
+    versions.publish_version(orders, "vw_orders_versioned", root)
+    kept = len(versions.versions(spark, root))
+
+    def read(rows: DataFrame, reader: str) -> DataFrame:
+        figures = rows.agg(F.count(F.lit(1)).alias("row_count"), F.sum("o_custkey").alias("checksum"))
+        return figures.select(F.lit(reader).alias("reader"), "*", F.lit(kept).alias("versions"))
+
+    return read(spark.table("vw_orders_versioned"), "published").unionByName(read(held, "kept"))
+
+
+@bound(
+    "bucketed_fk_audit",
+    """select 'lines without order' as relation, count(*) as child_rows, count(*) filter (where l_orderkey not in
+         (select o_orderkey from orders where o_orderstatus <> 'P')) as orphan_rows from lineitem""",
+)
+def bucketed_fk_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """A foreign key audited between tables stored by key: neither is exchanged."""
+    root = scratch_path(spark, "bucketed")
+    lines = catalog.create_bucketed_table(table(spark, folder, "lineitem"), "lines_by_order", f"{root}/lines", ["l_orderkey"], 8)
+    orders = catalog.create_bucketed_table(table(spark, folder, "orders"), "orders_by_key", f"{root}/orders", ["o_orderkey"], 8)
+    kept = orders.where("o_orderstatus <> 'P'")
+    return validate.foreign_key_audit([Relation("lines without order", lines, ["l_orderkey"], kept, ["o_orderkey"])])

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?")
 
@@ -35,6 +37,24 @@ def create_external_table(spark: SparkSession, name: str, source: str, location:
     return spark.table(name)
 
 
+def create_bucketed_table(
+    df: DataFrame, name: str, location: str, keys: Sequence[str], buckets: int, sort: bool = True
+) -> DataFrame:
+    """Store `df` as a table by the hash of `keys`, each bucket sorted by them, replacing an older entry.
+
+    Joins and groupings by the keys of tables with equally many buckets need no exchange of them. Rows are dealt to buckets before the
+    write, so that each is one file. Keys that fill a large share of the table belong in no bucket: a bucket is read by
+    one task. Dropping the entry leaves earlier files where they are; pass a fresh location per version.
+    """
+    spark = df.sparkSession
+    spark.sql(f"drop table if exists {_checked(name)}")
+    # the hash of the bucketed writer is that of the exchange
+    dealt = df.repartition(buckets, *[F.col(f"`{k}`") for k in keys])
+    writer = dealt.write.format("parquet").option("path", location).option("compression", "snappy").bucketBy(buckets, *keys)
+    (writer.sortBy(*keys) if sort else writer).saveAsTable(name)
+    return spark.table(name)
+
+
 def query_published(spark: SparkSession, statement: str) -> DataFrame:
     """Spark SQL over the published names."""
     return spark.sql(statement)
