@@ -287,21 +287,51 @@ def clean_cased(text: Column) -> Column:
 def correct_words(text: Column, corrections: Mapping[str, str]) -> Column:
     """Replace whole words, in any case. Letters with accents are part of a word.
 
-    A text is searched once for any of the words; the others are left alone. The pattern of a word looks
-    for it before it looks at what surrounds it.
+    As if the corrections were made one after the other. Words are corrected together: a text is taken apart
+    once into words and what lies between them, each word is looked up, and the text is put together again. A
+    correction that an earlier one may have written takes another pass; so does a phrase, as a pattern of its own.
     """
-    if not corrections:
-        return text
-    anywhere = "(?iu)" + "|".join(re.escape(word) for word in corrections)
-    return bind(text, lambda t: F.when(t.rlike(anywhere), _corrected(t, corrections)).otherwise(t))
+    for words in _correction_passes(corrections):
+        text = _looked_up(text, words) if isinstance(words, dict) else _phrase_corrected(text, *words)
+    return text
 
 
-def _corrected(text: Column, corrections: Mapping[str, str]) -> Column:
-    for word, correction in corrections.items():
-        before = rf"(?<![\p{{L}}\p{{N}}_].{{{len(word)}}})"
-        pattern = rf"(?ius){re.escape(word)}{before}(?![\p{{L}}\p{{N}}_])"
-        text = F.regexp_replace(text, pattern, correction.replace("\\", "\\\\").replace("$", "\\$"))
-    return text
+_WORD = "[\\p{L}\\p{N}_]"
+
+
+def _correction_passes(corrections: Mapping[str, str]) -> list[dict[str, str] | tuple[str, str]]:
+    """Words that can be looked up together, and phrases alone, in an order that gives what one after the other gives."""
+    passes: list[dict[str, str] | tuple[str, str]] = []
+    written: set[str] = set()
+    for wrong, right in corrections.items():
+        key = wrong.lower()
+        if not re.fullmatch(r"\w+", wrong):
+            passes.append((wrong, right))
+            continue
+        if not passes or isinstance(passes[-1], tuple) or key in written:
+            passes.append({})
+            written = set()
+        passes[-1].setdefault(key, right)
+        written.update(w.lower() for w in re.findall(r"\w+", right))
+    return passes
+
+
+def _looked_up(text: Column, words: Mapping[str, str]) -> Column:
+    """Each word of the text that the table has, in lower case, replaced by its entry."""
+    table, known = _constant_map(words), list(words)
+
+    def corrected(piece: Column) -> Column:
+        return bind(F.lower(piece), lambda word: F.when(word.isin(known), table[word]).otherwise(piece))
+
+    pieces = F.regexp_extract_all(text, F.lit(f"{_WORD}+|[^{_WORD[1:]}+"), F.lit(0))
+    return F.array_join(F.transform(pieces, corrected), "")
+
+
+def _phrase_corrected(text: Column, phrase: str, correction: str) -> Column:
+    """The pattern looks for the phrase before it looks at what surrounds it."""
+    before = rf"(?<!{_WORD}.{{{len(phrase)}}})"
+    pattern = rf"(?ius){re.escape(phrase)}{before}(?!{_WORD})"
+    return F.regexp_replace(text, pattern, correction.replace("\\", "\\\\").replace("$", "\\$"))
 
 
 def change_metrics(before: Column, after: Column) -> dict[str, Column]:

@@ -2,6 +2,7 @@
 
 import html
 import random
+import re
 from html.entities import html5
 
 import pytest
@@ -187,6 +188,30 @@ def test_corrections_are_literal(spark):
     expect(spark, lambda c: text.correct_words(c, {}), [("usd", "usd")])
 
 
+def plain_corrected(value, words):
+    for wrong, right in words.items():
+        value = re.sub(rf"(?i)(?<!\w){re.escape(wrong)}(?!\w)", lambda _: right, value)
+    return value
+
+
+def test_corrections_are_as_one_after_the_other(spark):
+    words = {
+        "one": "two three", "two": "2", "THREE": "a b", "a b": "phrase", "four": "one", "x": "", "five": "Five", "été": "summer", "c.d": "one",
+        "one_": "keeps", "phrase": "last", "One": "never",
+    }
+    assert len(text._correction_passes(words)) == 6
+    rng = random.Random(5)
+    signs = [*words, "One", "FOUR", "x1", "oné", "_", "-", " ", ". ", "ÉTÉ", "a", "b", "c", "d", "\n"]
+    values = ["".join(rng.choice(signs) + rng.choice(["", " ", " ", ","]) for _ in range(rng.randint(0, 12))) for _ in range(400)]
+    expect(spark, lambda c: text.correct_words(c, words), [(v, plain_corrected(v, words)) for v in values])
+
+
+def test_many_corrections_take_one_pass(spark):
+    words = {f"wrong{i}": f"right{i}" for i in range(100)}
+    assert len(text._correction_passes(words)) == 1
+    expect(spark, lambda c: text.correct_words(c, words), [("Wrong7, wrong99 wrong100", "right7, right99 wrong100"), ("", ""), (None, None)])
+
+
 def test_correct_words(spark):
     expect(
         spark,
