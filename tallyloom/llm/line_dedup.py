@@ -3,7 +3,7 @@
 Native: DataFrame functions only. Lines become (hash, document, position) rows without their text.
 These are range-partitioned by hash and sorted by document and position inside it, so that one
 streaming pass sees the first occurrence of each key and counts its documents. Keys with at least a
-thousandth of all lines are split into salted sub-ranges first; there are at most a thousand.
+thousandth of all lines, or a million of them, are split by document into as many sub-ranges as keep each below that.
 
 A keep bitmap is a map from container number to bytes, 32,768 lines a container, lowest bit first;
 a set bit keeps the line. Containers and trailing bytes that keep everything are left out, and a
@@ -22,8 +22,7 @@ WHITE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 HEX, HEX_NOT = "0123456789ABCDEF", "FEDCBA9876543210"
 CONTAINER = 32_768
-HOT_PARTS = 1_000
-SALTS = 64
+HOT_PARTS, HOT_ROWS = 1_000, 1_000_000
 
 
 def split_lines(text: Column) -> Column:
@@ -41,28 +40,32 @@ def _hashed_lines(docs: DataFrame, min_key_chars: int) -> DataFrame:
 
 
 def _salted(lines: DataFrame) -> DataFrame:
-    """With `salt`: -1, or for keys of at least 1/HOT_PARTS of all lines a number by document."""
-    least = max(1_000, -(-lines.count() // HOT_PARTS))
+    """With `salts`, the number of parts that a key's rows are dealt into by document, and `salt`, the row's own.
+
+    No part of a key in many documents has much over 1/HOT_PARTS of all lines, or over HOT_ROWS.
+    """
+    count = lines.count()
+    least = max(1_000, min(HOT_ROWS, -(-count // HOT_PARTS)))
     hot = lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    hot = hot.select("h1", "h2", F.lit(True).alias("hot"))
-    salt = F.when(F.col("hot"), F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int")).otherwise(F.lit(-1))
-    # at most HOT_PARTS rows, by the threshold
-    return lines.join(F.broadcast(hot), ["h1", "h2"], "left").withColumn("salt", salt).drop("hot")
+    hot = hot.select("h1", "h2", F.ceil(F.col("n") / least).cast("int").alias("salts"))
+    # lines / least rows at most: HOT_PARTS, or one for HOT_ROWS lines
+    joined = lines.join(F.broadcast(hot), ["h1", "h2"], "left").withColumn("salts", F.coalesce("salts", F.lit(1)))
+    return joined.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.col("salts")).cast("int"))
 
 
 def key_figures(lines: DataFrame) -> DataFrame:
-    """Per key and salt group total: documents, first document and position; one row per key."""
+    """Per key and part of it in total: documents, first document and position, parts; one row per key."""
     ranged = lines.repartitionByRange("h1", "h2", "salt").sortWithinPartitions("h1", "h2", "salt", "doc_id", "mark", "pos")
     stream = Window.partitionBy("h1", "h2", "salt").orderBy("doc_id", "mark", "pos")
     marked = ranged.select(
-        "h1", "h2", "salt", "doc_id", "mark", "pos",
+        "h1", "h2", "salt", "salts", "doc_id", "mark", "pos",
         ((F.row_number().over(stream) == 1) | ~F.lag("doc_id").over(stream).eqNullSafe(F.col("doc_id"))).alias("new_doc"),
     )
     parts = marked.where("new_doc").groupBy("h1", "h2", "salt").agg(
-        F.count(F.lit(1)).alias("n_docs"), F.min(F.struct("doc_id", "mark", "pos")).alias("first")
+        F.count(F.lit(1)).alias("n_docs"), F.min(F.struct("doc_id", "mark", "pos")).alias("first"), F.max("salts").alias("salts")
     )
     return parts.groupBy("h1", "h2").agg(
-        F.sum("n_docs").alias("n_docs"), F.min("first").alias("first"), (F.max("salt") >= 0).alias("hot")
+        F.sum("n_docs").alias("n_docs"), F.min("first").alias("first"), F.max("salts").alias("salts")
     )
 
 
@@ -95,9 +98,8 @@ def keep_bitmaps(
     lines = materialise(_hashed_lines(id_and_text(docs, id_col, text_col), min_key_chars), "line-hashes")
     lines = _salted(lines)
     doomed = key_figures(lines).where(F.col("n_docs") >= min_docs)
-    salts = F.when(F.col("hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(-1)))
-    doomed = doomed.select("h1", "h2", "first", F.explode(salts).alias("salt"))
-    dropped = lines.join(doomed, ["h1", "h2", "salt"])
+    doomed = doomed.select("h1", "h2", "first", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    dropped = lines.drop("salts").join(doomed, ["h1", "h2", "salt"])
     if keep_first:
         own = F.struct("doc_id", "mark", "pos")
         dropped = dropped.where(~own.eqNullSafe(F.col("first")))
@@ -129,16 +131,17 @@ def dedup_lines(docs: DataFrame, bitmaps: DataFrame, *, id_col: str = "doc_id",
 
     A null text becomes empty. A document that loses all its lines stays, with an empty text.
     """
-    marks = bitmaps.select(
-        F.col("doc_id").alias("_id"), F.col("mark").alias("_mark"), F.col("keep").alias("_keep"), F.col("n_dropped").alias("_gone")
-    )
-    same = F.col(id_col).eqNullSafe(F.col("_id")) & (text_mark(F.col(text_col)) == F.col("_mark"))
-    joined = docs.join(marks, same, "left")
-    return joined.withColumns({
-        "n_lines": F.size(split_lines(F.col(text_col))).cast("long"),
-        "n_dropped": F.coalesce(F.col("_gone"), F.lit(0)).cast("long"),
-        text_col: kept_text(F.col(text_col), F.col("_keep")),
-    }).drop("_id", "_mark", "_keep", "_gone")
+    # the row as one column, so that its names cannot clash
+    own = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    marks = bitmaps.select(F.col("doc_id").alias("marked"), "mark", "keep", F.col("n_dropped").alias("gone"))
+    joined = own.join(marks, F.col("id").eqNullSafe(F.col("marked")) & (text_mark(F.col("text")) == F.col("mark")), "left")
+    made = {
+        text_col.lower(): kept_text(F.col("text"), F.col("keep")),
+        "n_lines": F.size(split_lines(F.col("text"))).cast("long"),
+        "n_dropped": F.coalesce("gone", F.lit(0)).cast("long"),
+    }
+    names = docs.columns + [name for name in made if name not in {c.lower() for c in docs.columns}]
+    return joined.select(*[made[n.lower()].alias(n) if n.lower() in made else F.col("row")[n].alias(n) for n in names])
 
 
 def drop_repeated_lines(docs: DataFrame, *, min_docs: int, min_key_chars: int = 1, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -50,6 +50,10 @@ def test_line_dedup(spark, keep_first, min_docs):
 def test_hot_lines_and_large_documents(spark, monkeypatch):
     # one line in every document, salted; one document of several containers
     monkeypatch.setattr(line_dedup, "HOT_PARTS", 10)
+    lines = line_dedup._salted(line_dedup._hashed_lines(spark.range(3_000).select(F.col("id").alias("doc_id"), F.lit("hot\nhot").alias("text")), 1))
+    # in as many parts as keep each about a tenth of all lines
+    assert lines.groupBy("salt").count().agg(F.count("*"), F.max("count")).first()[0] == 10
+    monkeypatch.setattr(line_dedup, "HOT_ROWS", 1_000)
     rows = [(i, f"hot\nown {i}\nhot") for i in range(1_500)] + [(9_999, "\n".join(["hot", "u"] * 40_000 + ["end"]))]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     got = line_dedup.dedup_lines(docs, line_dedup.keep_bitmaps(docs, min_docs=10))
@@ -264,3 +268,12 @@ def test_texts_that_share_an_id(spark):
     assert [r.chosen for r in found.where("doc_id = 7").orderBy("mark").collect()] == [True, False]
     kept = [(r.doc_id, r.text) for r in hamming_dedup.drop_near_duplicates(docs).collect()]
     assert len(kept) == 4 and {rows[0], (5, b), rows[5]} <= set(kept)
+
+
+def test_clashing_names_of_lines(spark):
+    names = ["_id", "_mark", "_keep", "_gone", "id", "marked", "mark", "keep", "gone", "row", "N_Lines"]
+    docs = spark.createDataFrame([(i, "same\nown" + str(i), *names) for i in range(3)], "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    got = line_dedup.dedup_lines(docs, line_dedup.keep_bitmaps(docs, min_docs=3))
+    assert got.columns == [*docs.columns, "n_dropped"]
+    assert {(r.text, r.N_Lines, r.n_dropped, r._id, r.row) for r in got.collect()} == {(f"own{i}", 2, 1, "_id", "row") for i in range(3)}
+    assert line_dedup.drop_repeated_lines(docs, min_docs=3).columns == docs.columns
