@@ -175,38 +175,50 @@ class Bins:
         return bin_of, offset, room
 
 
-def _packed(pieces: DataFrame, capacity: int, groups: int, salt: int) -> DataFrame:
-    dealt = pieces.withColumn("_group", F.pmod(F.xxhash64(F.lit(salt), "_piece_id"), F.lit(groups)))
+def _free_names(taken: list[str], *names: str) -> list[str]:
+    """The names, each with as many underscores before it as keep it apart from those taken."""
+    used = {n.lower() for n in taken}
+    out = []
+    for name in names:
+        while name in used:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
+def _packed(pieces: DataFrame, capacity: int, groups: int, salt: int, number: str, room: str, group: str) -> DataFrame:
+    dealt = pieces.withColumn(group, F.pmod(F.xxhash64(F.lit(salt), number), F.lit(groups)))
 
     def pack(key: tuple, frame: pd.DataFrame) -> pd.DataFrame:
-        frame = frame.sort_values("_piece_id", ignore_index=True)
+        frame = frame.sort_values(number, ignore_index=True)
         bins = Bins(frame["length"].to_numpy(), capacity)
         bins.fill()
         bins.search()
-        number, offset, room = bins.rows()
-        return frame.drop(columns="_group").assign(sequence_id=2 * ((int(key[0]) << 32) + number) + salt, offset=offset, _room=room)
+        place, offset, left = bins.rows()
+        return frame.drop(columns=group).assign(sequence_id=2 * ((int(key[0]) << 32) + place) + salt, offset=offset, **{room: left})
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces.schema.fields)
-    return in_pandas(dealt.groupBy("_group"), pieces.sparkSession, pack, f"{fields}, sequence_id long, offset long, _room long")
+    return in_pandas(dealt.groupBy(group), pieces.sparkSession, pack, f"{fields}, sequence_id long, offset long, `{room}` long")
 
 
 def pack(pieces: DataFrame, *, capacity: int, group_pieces: int = GROUP_PIECES, near_full: float = 0.998) -> DataFrame:
-    """`pieces` (any columns, with doc_id, piece and length) and their sequence_id and offset.
+    """`pieces` (any columns, with doc_id, piece and length) and their sequence_id and offset, in place of columns of that name.
 
     Lengths lie in 1..capacity; a sequence holds at most `capacity`; offsets are gapless from 0.
     Full pieces are sequences of their own. Repeated rows are packed each for itself. No pieces: no rows.
     """
-    names = pieces.columns
-    numbered = materialise(pieces.withColumn("_piece_id", F.monotonically_increasing_id()), "pieces")
+    names = [c for c in pieces.columns if c.lower() not in ("sequence_id", "offset")]
+    own = number, room, _ = _free_names(names, "_piece_id", "_room", "_group")
+    numbered = materialise(pieces.select(names).withColumn(number, F.monotonically_increasing_id()), "pieces")
     whole = numbered.where(F.col("length") >= capacity)
     part = numbered.where(F.col("length") < capacity)
     count = part.count()
-    first = materialise(_packed(part, capacity, max(1, -(-count // group_pieces)), 0), "packed")
+    first = materialise(_packed(part, capacity, max(1, -(-count // group_pieces)), 0, *own), "packed")
     loose = (1 - near_full) * capacity
-    rest = first.where(F.col("_room") > loose).drop("sequence_id", "offset", "_room")
-    again = _packed(rest, capacity, max(1, -(-rest.count() // group_pieces)), 1)
+    rest = first.where(F.col(room) > loose).drop("sequence_id", "offset", room)
+    again = _packed(rest, capacity, max(1, -(-rest.count() // group_pieces)), 1, *own)
     # ids of full pieces are negative
-    full = whole.withColumns({"sequence_id": -1 - F.col("_piece_id"), "offset": F.lit(0).cast("long")})
-    kept = first.where(F.col("_room") <= loose)
+    full = whole.withColumns({"sequence_id": -1 - F.col(number), "offset": F.lit(0).cast("long")})
+    kept = first.where(F.col(room) <= loose)
     columns = [*names, "sequence_id", "offset"]
     return full.select(columns).unionByName(kept.select(columns)).unionByName(again.select(columns))
