@@ -2,8 +2,8 @@
 
 A run of texts is sorted as one: the first rank of a suffix holds its text's number, so suffixes of
 different texts never share a prefix. Ranks double in length until all suffixes differ; only suffixes that
-are still tied are sorted again. The stored ranks then give the longest common prefix of neighbours, and with
-it, for each suffix, its deepest longest-common-prefix interval: the longest substring from there that occurs
+are still tied are sorted again. The stored ranks then give the longest common prefix of neighbours (of long texts, whose
+ranks would not fit, one pass over the words in their order does), and with it, for each suffix, its deepest longest-common-prefix interval: the longest substring from there that occurs
 twice. The union of these spans is that of all maximal repeated substrings.
 """
 
@@ -22,6 +22,7 @@ from tallyloom.llm.files import in_arrow
 WHITE = b" \t\n\x0b\x0c\r"
 CONTINUATION = bytes(range(0x80, 0xC0))
 SYMBOLS = b"#*$%&|<>"
+KEPT_RANKS = 1 << 20  # words sorted at once of which all ranks are kept
 WINDOW = 3  # words of a window that counts as repeated
 
 
@@ -38,14 +39,14 @@ class Rules:
     max_repeat: int = 200
 
 
-def suffix_order(words: np.ndarray, text_of: np.ndarray) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
-    """Suffix array of words (ids below 2**31), text by text, and the ranks by prefix length 1, 2, 4, ..."""
+def suffix_order(words: np.ndarray, text_of: np.ndarray, keep: bool = True) -> tuple[np.ndarray, list[tuple[int, np.ndarray]]]:
+    """Suffix array of words (ids below 2**31), text by text, and the ranks by prefix length 1, 2, 4, ..., the last only without `keep`."""
     n = len(words)
     key = (text_of.astype(np.int64) << 32) | words
     order = np.argsort(key, kind="stable")
     tied = key[order]
     head = np.append(True, tied[1:] != tied[:-1])
-    rank = np.empty(n, np.int64)
+    rank = np.empty(n, np.int32)
     rank[order] = np.flatnonzero(head)[np.cumsum(head) - 1]
     levels, length = [(1, rank)], 1
     ends = np.searchsorted(text_of, text_of, side="right")
@@ -60,10 +61,10 @@ def suffix_order(words: np.ndarray, text_of: np.ndarray) -> tuple[np.ndarray, li
         at, first, second = at[new], first[new], second[new]
         order[slots] = at
         head = np.append(True, (first[1:] != first[:-1]) | (second[1:] != second[:-1]))
-        rank = rank.copy()
+        rank = rank.copy() if keep else rank
         rank[at] = slots[np.flatnonzero(head)[np.cumsum(head) - 1]]
         length *= 2
-        levels.append((length, rank))
+        levels = [*levels, (length, rank)] if keep else [(length, rank)]
         slots = slots[~head | ~np.append(head[1:], True)]
     return order, levels
 
@@ -73,7 +74,16 @@ def longest_repeats(words: np.ndarray, text_of: np.ndarray) -> np.ndarray:
     n = len(words)
     if n == 0:
         return np.zeros(0, np.int64)
-    order, levels = suffix_order(words, text_of)
+    order, levels = suffix_order(words, text_of, keep=n <= KEPT_RANKS)
+    common = _common_by_ranks(order, levels, text_of) if n <= KEPT_RANKS else _common_in_order(words, order, text_of)
+    longest = np.empty(n, np.int64)
+    longest[order] = np.maximum(common[:-1], common[1:])
+    return longest
+
+
+def _common_by_ranks(order: np.ndarray, levels: list[tuple[int, np.ndarray]], text_of: np.ndarray) -> np.ndarray:
+    """Longest common prefix of each suffix and the one before it in the array, 0 at both ends, from the longest ranks down."""
+    n = len(order)
     ends = np.searchsorted(text_of, text_of, side="right")
     near = np.flatnonzero(levels[0][1][order[1:]] == levels[0][1][order[:-1]])  # neighbours that share a word
     a, b = order[near].copy(), order[near + 1].copy()
@@ -88,9 +98,34 @@ def longest_repeats(words: np.ndarray, text_of: np.ndarray) -> np.ndarray:
         shared += step
     common = np.zeros(n + 1, np.int64)
     common[near + 1] = shared
-    longest = np.empty(n, np.int64)
-    longest[order] = np.maximum(common[:-1], common[1:])
-    return longest
+    return common
+
+
+def _common_in_order(words: np.ndarray, order: np.ndarray, text_of: np.ndarray) -> np.ndarray:
+    """The same, suffix by suffix in the order of the text: the next one shares all but one word of what this one shares."""
+    n = len(order)
+    common = np.zeros(n + 1, np.int32)
+    before = np.full(n, -1, np.int32)  # the suffix before it in the array
+    before[order[1:]] = order[:-1]
+    rank = np.empty(n, np.int32)
+    rank[order] = np.arange(n)
+    apart = np.flatnonzero(before >= 0)
+    before[apart[text_of[apart] != text_of[before[apart]]]] = -1
+    ends = np.searchsorted(text_of, text_of, side="right").astype(np.int32)
+    word, previous, place, end, out = (memoryview(np.ascontiguousarray(x)) for x in (words.astype(np.int32), before, rank, ends, common))
+    shared = 0
+    for i in range(n):
+        j = previous[i]
+        if j < 0:
+            shared = 0
+            continue
+        most = min(end[i] - i, end[j] - j)
+        shared = min(shared, most)
+        while shared < most and word[i + shared] == word[j + shared]:
+            shared += 1
+        out[place[i]] = shared
+        shared -= shared > 0
+    return common
 
 
 def covered(longest: np.ndarray, text_of: np.ndarray, n_texts: int, least: int) -> np.ndarray:
