@@ -3,7 +3,7 @@
 A test item that occurs with at most k edits contains one of its k + 1 pieces unedited. All pieces of a block of
 items go into one automaton, which every text is run through; each hit says where the item would lie, and the
 bit-parallel distance of the item to that stretch decides. Item and text are lower-cased, runs of white space
-being one blank. Short items are found word for word only, with word boundaries at both ends.
+being one blank. Short items count as whole words only: their occurrences neither begin nor end inside a word.
 """
 
 from __future__ import annotations
@@ -60,17 +60,16 @@ def whole_words(text: str, start: int, end: int) -> bool:
 
 
 class Finder:
-    """A block of items, ready to be looked for; those under `min_chars` unedited and as whole words."""
+    """A block of items, ready to be looked for; those under `whole_chars` characters as whole words."""
 
-    def __init__(self, items: list[tuple[int, str]], error_share: float, min_chars: int):
+    def __init__(self, items: list[tuple[int, str]], error_share: float, whole_chars: int):
         import ahocorasick
 
         self.items, self.automaton, self.short = [], ahocorasick.Automaton(), set()
         where: dict[str, list[tuple[int, int]]] = {}
         for number, (item_id, text) in enumerate(items):
             errors = int(error_share * len(text))
-            if len(text) < min_chars:
-                errors = 0
+            if len(text) < whole_chars:
                 self.short.add(number)
             self.items.append((item_id, text, errors))
             for offset, piece in pieces(text, errors):
@@ -86,8 +85,6 @@ class Finder:
         if len(self.automaton):
             for last, (length, at) in self.automaton.iter(text):
                 for number, offset in at:
-                    if number in self.short and not whole_words(text, last + 1 - length, last + 1):
-                        continue
                     starts.setdefault(number, set()).add(last + 1 - length - offset)
         out = {}
         for number, found in starts.items():
@@ -107,21 +104,44 @@ class Finder:
         plain, out = normalised(text), []
         for number, stretches in self.stretches(plain).items():
             item_id, item, errors = self.items[number]
-            best = (errors + 1, 0)
-            for low, high in stretches:
-                distances = myers(item, plain[low:high])
-                least = min(distances, default=errors + 1)
-                if least < best[0]:
-                    best = (least, low + distances.index(least) + 1)
-            distance, end = best
-            if distance <= errors:
-                back = plain[max(0, end - len(item) - errors) : end][::-1]
-                lengths = [i + 1 for i, d in enumerate(myers(item[::-1], back, anchored=True)) if d == distance]
-                out.append((item_id, distance, end - (lengths[0] if lengths else 0), end))
+            if number in self.short:
+                best = self._whole(plain, item, errors, stretches)
+            else:
+                best = self._anywhere(plain, item, errors, stretches)
+            if best is not None:
+                out.append((item_id, *best))
                 if first_only:
                     break
         return out
 
+    @staticmethod
+    def _lengths(plain: str, item: str, errors: int, end: int, distance: int) -> list[int]:
+        """Lengths, ascending, of the stretches that end at `end` and have this distance."""
+        back = plain[max(0, end - len(item) - errors) : end][::-1]
+        return [i + 1 for i, d in enumerate(myers(item[::-1], back, anchored=True)) if d == distance]
+
+    def _anywhere(self, plain: str, item: str, errors: int, stretches: list[tuple[int, int]]) -> tuple[int, int, int] | None:
+        best = (errors + 1, 0)
+        for low, high in stretches:
+            distances = myers(item, plain[low:high])
+            least = min(distances, default=errors + 1)
+            if least < best[0]:
+                best = (least, low + distances.index(least) + 1)
+        distance, end = best
+        if distance > errors:
+            return None
+        lengths = self._lengths(plain, item, errors, end, distance)
+        return distance, end - (lengths[0] if lengths else 0), end
+
+    def _whole(self, plain: str, item: str, errors: int, stretches: list[tuple[int, int]]) -> tuple[int, int, int] | None:
+        """As `_anywhere`, among the occurrences that are whole words."""
+        ends = [(d, low + i + 1) for low, high in stretches for i, d in enumerate(myers(item, plain[low:high])) if d <= errors]
+        for distance, end in sorted(ends):
+            for length in self._lengths(plain, item, errors, end, distance):
+                if whole_words(plain, end - length, end):
+                    return distance, end - length, end
+        return None
+
 
 def item_blocks(items: DataFrame, *, block_chars: int, min_chars: int, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
     """The test items, normalised, in blocks of about `block_chars`; shorter ones than `min_chars`, and empty ones, are left out."""
@@ -142,14 +162,15 @@ HITS = pa.schema({"doc_id": pa.int64(), "item_id": pa.int64(), "distance": pa.in
 
 
 def find_leaks(
-    docs: DataFrame, items: DataFrame, *, error_share: float = 0.05, min_chars: int = 40, block_chars: int = 4_000_000,
+    docs: DataFrame, items: DataFrame, *, error_share: float = 0.05, whole_chars: int = 40, block_chars: int = 4_000_000,
     id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
     """doc_id, item_id, distance, start, end: items found with at most `error_share` of their characters edited.
 
-    Items under `min_chars` characters are found unedited only, as whole words. One row per input row and item, its best occurrence, in characters of the normalised text. The items are the query
-    set: each block of them is broadcast, bounded by `block_chars`, and run over all texts; several blocks are written one
-    by one. Null texts hold nothing; repeated documents and items are reported each.
+    Occurrences of items under `whole_chars` characters are whole words. One row per input row and item, its best occurrence, in
+    characters of the normalised text. The items are the query set: each block of them is broadcast, bounded by
+    `block_chars`, and run over all texts; several blocks are written one by one. Null texts hold nothing; repeated documents
+    and items are reported each.
     """
     spark, own = docs.sparkSession, id_and_text(docs, id_col, text_col)
     own = own.withColumn("doc_id", own["doc_id"].cast("long"))
@@ -159,7 +180,7 @@ def find_leaks(
         shared = spark.sparkContext.broadcast(block)
 
         def search(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            finder = Finder(shared.value, error_share, min_chars)
+            finder = Finder(shared.value, error_share, whole_chars)
             for batch in batches:
                 rows = [(d, *hit) for d, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for hit in finder.find(t)]
                 if rows:
@@ -171,15 +192,18 @@ def find_leaks(
 
 
 def drop_leaks(
-    docs: DataFrame, items: DataFrame, *, error_share: float = 0.05, min_chars: int = 40, block_chars: int = 4_000_000,
+    docs: DataFrame, items: DataFrame, *, error_share: float = 0.05, whole_chars: int = 40, min_chars: int = 20, block_chars: int = 4_000_000,
     text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text",
 ) -> DataFrame:
-    """The rows of `docs`, all columns, in which no item of `min_chars` characters or more is found."""
+    """The rows of `docs`, all columns, in which no item of `min_chars` characters or more is found.
+
+    Shorter items are phrases that any text may hold: `find_leaks` reports them, no document goes for them.
+    """
     for block in item_blocks(items, block_chars=block_chars, min_chars=min_chars, id_col=item_id_col, text_col=item_text_col):
         shared = docs.sparkSession.sparkContext.broadcast(block)
 
         def sift(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            finder = Finder(shared.value, error_share, min_chars)
+            finder = Finder(shared.value, error_share, whole_chars)
             for batch in batches:
                 texts = batch.column(batch.schema.get_field_index(text_col)).to_pylist()
                 yield batch.filter(pa.array([not finder.find(t, first_only=True) for t in texts], pa.bool_()))

@@ -185,6 +185,29 @@ def test_no_documents_or_items(spark):
     assert edit_decontam.find_leaks(no_documents(spark), some).count() == 0
 
 
+def test_short_items_may_be_edited(spark):
+    item = "what colour is the sky"  # 22 characters: one edit
+    rows = [(1, "Q: What color is the sky?"), (2, "what colour is the skys"), (3, "somewhat colour is the sky"), (4, "what colr is the sky"), (5, "what colour is the skyy what colour is  THE sky!")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    items = spark.createDataFrame([(1, item), (2, "the sky")], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): (r.distance, r.start, r.end) for r in edit_decontam.find_leaks(docs, items).collect()}
+    assert {k: v[0] for k, v in got.items() if k[1] == 1} == {(1, 1): 1, (2, 1): 1, (5, 1): 0}
+    plain = edit_decontam.normalised(rows[4][1])
+    assert plain[got[(5, 1)][1] : got[(5, 1)][2]] == item
+    # eight characters have no budget and are no evidence for dropping
+    assert {k[0] for k in got if k[1] == 2} == {1, 3, 4, 5}
+    assert sorted(r.doc_id for r in edit_decontam.drop_leaks(docs, items).collect()) == [3, 4]
+
+
+def test_pack_with_clashing_names(spark):
+    rows = [(1, 0, 30, "s", "o", "p", "r", "g"), (2, 0, 60, "s", "o", "p", "r", "g"), (3, 0, 100, "s", "o", "p", "r", "g")]
+    pieces = spark.createDataFrame(rows, "doc_id long, piece int, length long, sequence_id string, Offset string, _piece_id string, _room string, _group string")
+    got = packing.pack(pieces, capacity=100)
+    assert got.columns == ["doc_id", "piece", "length", "_piece_id", "_room", "_group", "sequence_id", "offset"]
+    out = {r.doc_id: r for r in got.collect()}
+    assert out[1].sequence_id == out[2].sequence_id != out[3].sequence_id and out[1]._piece_id == "p" and out[1]._group == "g"
+
+
 def test_short_items_are_found_as_whole_words(spark):
     rows = [(1, "So: What is\n RUST? Yes."), (2, "what is rusty? what is rust"), (3, "concat cat_ cats"), (4, "cats, a Cat."), (5, "cat"), (6, None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string")

@@ -184,6 +184,31 @@ def test_repetition(spark):
     assert found == collections.Counter((i, *plain_repeats(t, 4)) for i, t in rows)
 
 
+def test_long_texts_in_linear_memory(spark, monkeypatch):
+    monkeypatch.setattr(repetition, "KEPT_RANKS", 0)
+    test_repetition(spark)
+
+
+def test_both_ways_of_common_prefixes_agree():
+    rng = np.random.default_rng(3)
+    for alphabet, size in ((1, 400), (2, 3_000), (50, 5_000), (5_000, 5_000)):
+        words, text_of = rng.integers(0, alphabet, size), np.sort(rng.integers(0, 6, size))
+        words[size // 2 : size // 2 + size // 4] = words[: size // 4]
+        order, levels = repetition.suffix_order(words, text_of)
+        same, last = repetition.suffix_order(words, text_of, keep=False)
+        assert (order == same).all() and len(last) == 1
+        assert (repetition._common_by_ranks(order, levels, text_of) == repetition._common_in_order(words, order, text_of)).all()
+
+
+def test_a_very_long_text(spark):
+    # beyond the words of which all ranks are kept: one passage of 300,000 words four times, and one word on and on
+    passage = " ".join(f"w{i}" for i in range(300_000))
+    rows = [(1, "\n".join([passage] * 4)), (2, "so " * 1_200_000)]
+    names = ["doc_id", "n_words", "n_dup_lines", "n_repeat_words", "n_covered_words", "longest_repeat"]
+    got = repetition.repetition_figures(spark.createDataFrame(rows, "doc_id long, text string")).select(*names)
+    assert {tuple(r) for r in got.collect()} == {(1, 1_200_000, 3, 1_200_000, 1_200_000, 900_000), (2, 1_200_000, 0, 1_200_000, 1_200_000, 1_199_999)}
+
+
 def test_verdicts(spark):
     clean, twice = prose(11, 300), prose(12, 120)
     rows = [(1, clean), (2, "few words"), (3, twice + " " + twice), (4, "a b c " * 60), (5, clean + "\n" + prose(13, 30) + "\n" + prose(13, 30)), (6, None)]
@@ -329,6 +354,39 @@ def test_ngrams_across_strips(monkeypatch):
     assert (nbsvm.ngram_set(text) == whole).all() and len(nbsvm.ngram_set(b"")) == 0
 
 
+def test_coordinate_descent_reaches_the_optimum():
+    """Against projected gradient ascent on the dual, by plain matrices."""
+    rng = np.random.default_rng(5)
+    good = rng.random(40) < 0.3
+    grams = [np.unique(rng.integers(0, 30, 8)) for _ in good]
+    rows = [(g, rng.normal(size=len(g)) + label) for g, label in zip(grams, good)]
+    weights, bias = nbsvm.dual_coordinate_descent(rows, good, 1.0, 3_000)
+    x = np.zeros((40, 31))
+    for i, (g, values) in enumerate(rows):
+        x[i, g] = values
+    x[:, 30] = 1.0
+    sign = np.where(good, 1.0, -1.0)
+    limit = np.where(good, 20.0 / good.sum(), 20.0 / (~good).sum())
+    signed = x * sign[:, None]
+    square = signed @ signed.T
+    alpha, rate = np.zeros(40), 1.0 / np.linalg.eigvalsh(square).max()
+    for _ in range(200_000):
+        alpha = np.clip(alpha + rate * (1.0 - square @ alpha), 0.0, limit)
+    plain = signed.T @ alpha
+    primal = lambda w: 0.5 * w @ w + (limit * np.maximum(0.0, 1.0 - signed @ w)).sum()
+    own = np.append(weights[:30], bias)
+    assert primal(own) == pytest.approx(primal(plain), rel=1e-3)
+    assert np.abs(own - plain).max() < 0.02
+
+
+def test_ratios_are_smoothed_log_shares():
+    sets, good = [np.array([1, 2]), np.array([2, 3]), np.array([3])], np.array([True, False, False])
+    ratios = nbsvm.log_count_ratios(sets, good)
+    size = 1 << nbsvm.BITS
+    for gram, (a, b) in {1: (2, 1), 2: (2, 2), 3: (1, 3), 9: (1, 1)}.items():
+        assert ratios[gram] == pytest.approx(np.log((a / (size + 2)) / (b / (size + 3))))
+
+
 def test_hinge_fit_separates():
     rng = np.random.default_rng(0)
     good = np.arange(200) % 2 == 0
