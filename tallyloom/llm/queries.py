@@ -100,7 +100,18 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return figures.select(*first, "n_covered_words", "longest_repeat")
 
 
-@query("op3_warc_normaliser")
+# base 32 of a SHA-1 in hexadecimal: five digits are four letters
+_LETTERS_SQL = " || ".join(f"'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((v >> {bits}) & 31) + 1]" for bits in (15, 10, 5, 0))
+PAGE_SQL = f"""
+select page_id, strlen(payload)::bigint as payload_bytes,
+  array_to_string(list_transform(list_transform(range(8), lambda i: ('0x' || sha1(payload)[5 * i + 1 : 5 * i + 5])::int), lambda v: {_LETTERS_SQL}), '')
+    as payload_digest,
+  case when page_id = last then 'response' else 'revisit' end as record_type, case when page_id <> last then last end as refers_to
+from (select page_id, coalesce(html, '') as payload, max(page_id) over (partition by coalesce(html, '')) as last from pages)
+"""
+
+
+@query("op3_warc_normaliser", PAGE_SQL)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     """All pages as WARC records in whole-file streams, normalised to a member a record, and read back."""
     pages = warc.mark_revisits(table(spark, folder, "pages"))
@@ -137,7 +148,30 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
     return rated.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
-@query("op5_hamming_minhash")
+NEAR_SQL = r"""
+with recursive words as materialized (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w
+  from documents
+), sets as materialized (
+  select distinct doc_id, unnest(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+    else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' ')) end) as shingle from words
+), sizes as materialized (
+  select doc_id, count(shingle) as n from documents left join sets using (doc_id) group by doc_id
+), shared as materialized (
+  select a.doc_id as x, b.doc_id as y, count(*) as c from sets a join sets b on a.shingle = b.shingle and a.doc_id < b.doc_id group by 1, 2
+), links as materialized (
+  select x, y from shared join sizes a on a.doc_id = x join sizes b on b.doc_id = y where 100 * c >= 80 * (a.n + b.n - c)
+), ways as materialized (
+  select x, y from links union all select y, x from links
+), reached as (
+  select doc_id, doc_id as component from documents union select y, component from reached join ways on doc_id = x
+)
+select doc_id, n::bigint as n_shingles, least as component_id, doc_id = least as kept
+from sizes join (select doc_id, min(component) as least from reached group by doc_id) using (doc_id)
+"""
+
+
+@query("op5_hamming_minhash", NEAR_SQL)
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     """Classes of documents whose sets of four-word shingles are alike by 80 per cent."""
     return hamming_dedup.near_duplicates(table(spark, folder, "documents"), shingle_words=4, percent=80).drop("mark", "chosen")
