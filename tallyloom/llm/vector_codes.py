@@ -25,19 +25,31 @@ from tallyloom.session import materialise
 
 PARTS, ENTRIES, ROUNDS, SCALE = 4, 256, 4, 1024
 MOST = 1 << 24  # components are held between -MOST and MOST, so that distances fit 64 bits
-STRIDE = 16  # places of a list measured at once
+STRIDE = 32  # places of a list measured at once
 ROWS = 2_048  # vectors searched at once
 FAR = np.iinfo(np.int64).max
 
 
 @dataclass(frozen=True)
 class Lists:
-    """A codebook's entries in the order of their distance from each entry, in strides: places, squared distances, values."""
+    """A codebook's entries in the order of their distance from each entry, in strides: places, squared distances, values, squared lengths."""
 
     entries: np.ndarray
     places: np.ndarray
     spans: np.ndarray
     values: np.ndarray
+    lengths: np.ndarray
+
+    def valued(self, parts: np.ndarray) -> np.ndarray:
+        """The values in a type in which products with `parts` add up exactly."""
+        kind = exact_type(self.entries, parts)
+        return self.values if kind == self.values.dtype else self.entries.astype(kind)[self.places]
+
+
+def exact_type(a: np.ndarray, b: np.ndarray) -> np.dtype:
+    """The fastest type whose sums of products of rows of whole numbers `a` and `b` are exact."""
+    most = a.shape[1] * int(np.abs(a).max(initial=0)) * int(np.abs(b).max(initial=0))
+    return np.dtype(np.float32 if most < 1 << 24 else np.float64 if most < 1 << 53 else np.int64)
 
 
 def neighbour_lists(entries: np.ndarray, stride: int = STRIDE) -> Lists:
@@ -46,21 +58,16 @@ def neighbour_lists(entries: np.ndarray, stride: int = STRIDE) -> Lists:
     spans = np.stack([((entries - e) ** 2).sum(axis=1) for e in entries])
     order = np.argsort(spans, axis=1, kind="stable")
     fill = ((0, 0), (0, -count % stride))
-    places = np.pad(order, fill, mode="edge")
-    spans = np.pad(np.take_along_axis(spans, order, axis=1), fill, constant_values=FAR)
-    shape = (count, -1, stride)
-    # 32 bits where no squared distance can pass them
-    widest = np.abs(entries).max(initial=0)
-    narrow = np.int32 if 4 * size * widest**2 < 1 << 31 else np.int64
-    return Lists(entries, places.reshape(shape), spans.reshape(shape), entries.astype(narrow)[places].reshape(*shape, size))
+    places = np.pad(order, fill, mode="edge").reshape(count, -1, stride)
+    spans = np.pad(np.take_along_axis(spans, order, axis=1), fill, constant_values=FAR).reshape(places.shape)
+    values = entries.astype(exact_type(entries, entries))[places]
+    return Lists(entries, places, spans, values, (entries**2).sum(axis=1))
 
 
 def _walk(parts: np.ndarray, lists: Lists) -> tuple[np.ndarray, np.ndarray]:
     count, strides = len(lists.entries), lists.places.shape[1]
-    narrow = lists.values.dtype
-    if 4 * parts.shape[1] * int(np.abs(parts).max(initial=0)) ** 2 >= 1 << 31:
-        narrow = np.dtype(np.int64)
-    own = parts.astype(narrow)
+    values = lists.valued(parts)
+    own, length = parts.astype(values.dtype), (parts**2).sum(axis=1)
     best = ((parts - lists.entries[0]) ** 2).sum(axis=1)
     entry, stride = np.zeros(len(parts), np.int64), np.zeros(len(parts), np.int64)
     seen = np.zeros((len(parts), count), bool)
@@ -72,8 +79,8 @@ def _walk(parts: np.ndarray, lists: Lists) -> tuple[np.ndarray, np.ndarray]:
         reached = lists.spans[at] <= 4 * now[:, None]  # squares: twice the distance
         fresh = reached & ~seen[live[:, None], place]
         seen[live[:, None], place] |= reached
-        apart = lists.values[at].astype(narrow, copy=False) - own[live, None, :]
-        distance = np.einsum("nsd,nsd->ns", apart, apart).astype(np.int64)
+        product = np.einsum("nsd,nd->ns", values[at], own[live]).astype(np.int64)
+        distance = length[live, None] + lists.lengths[place] - 2 * product
         distance[~fresh] = FAR
         nearest = distance.min(axis=1)
         index = np.where(distance == nearest[:, None], place, count).min(axis=1)

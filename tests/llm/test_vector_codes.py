@@ -83,7 +83,7 @@ def test_lengths_that_do_not_divide(spark):
         vector_codes.compress(spark.createDataFrame(rows_of([(1, [1.0, 2.0, 3.0], "a")]), SCHEMA))
 
 
-@pytest.mark.parametrize("spread", [5, 1_000, 1 << 24])
+@pytest.mark.parametrize("spread", [5, 1_000, 1_670, 1 << 20, 1 << 24])
 def test_search_is_exact(spread):
     rng = np.random.default_rng(spread)
     entries = rng.integers(-spread, spread + 1, (100, 6))
@@ -91,6 +91,19 @@ def test_search_is_exact(spread):
     index, distance = vector_codes.nearest(parts, vector_codes.neighbour_lists(entries))
     full = ((parts[:, None, :] - entries[None]) ** 2).sum(axis=2)
     assert (index == full.argmin(axis=1)).all() and (distance == full.min(axis=1)).all()
+    if spread > 10_000:
+        return
+    # codebook and vectors of other magnitudes
+    index, distance = vector_codes.nearest(parts * 999, vector_codes.neighbour_lists(entries // 999))
+    full = ((parts[:, None, :] * 999 - (entries // 999)[None]) ** 2).sum(axis=2)
+    assert (index == full.argmin(axis=1)).all() and (distance == full.min(axis=1)).all()
+
+
+def test_types_are_exact():
+    a = np.array([[4_095, 4_096]])
+    assert vector_codes.exact_type(a, np.array([[2_047, 0]])) == np.float32
+    assert vector_codes.exact_type(a, np.array([[2_048, 0]])) == np.float64
+    assert vector_codes.exact_type(a, np.array([[1 << 40, 0]])) == np.int64
 
 
 def test_search_leaves_entries_unmeasured():
