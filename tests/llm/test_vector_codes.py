@@ -109,7 +109,7 @@ def test_types_are_exact():
 def test_search_leaves_entries_unmeasured():
     # clusters far apart: the lists end long before all entries are reached
     entries = np.repeat(np.arange(16)[:, None] * 10_000, 16, axis=0) + np.arange(256)[:, None] % 16
-    lists = vector_codes.neighbour_lists(entries.astype(np.int64))
+    lists = vector_codes.neighbour_lists(entries.astype(np.int64), stride=16)
     assert (lists.spans[:, 0] < 4 * 16**2).all() and (lists.spans[:, 1] > 4 * 16**2).all()
     index, _ = vector_codes.nearest(entries.astype(np.int64), lists)
     assert (index == np.arange(256)).all()
