@@ -25,8 +25,12 @@ def packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+# texts by which a tokenizer shows that it drops white space and lower-cases
+PROBES = ("Ab cD", "  a\t\nB  c ", "É ü.X, y", "it's 12 A's", "a <b> -C")
+
+
 class WordEncoder(dict):
-    """Ids of texts under a tokenizer that drops white space and lower-cases, word by word.
+    """Ids of texts, word by word under a tokenizer that drops white space and lower-cases, else of whole texts.
 
     Such a tokenizer never joins characters across a blank, so a text's ids are those of its words
     in turn, and words recur. Each distinct word is encoded once by the tokenizers library; the
@@ -39,6 +43,8 @@ class WordEncoder(dict):
         self.whole, self.most = Tokenizer.from_file(path), most
         self.model = self.whole.model
         self.as_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
+        ids = lambda text: self.whole.encode(text, add_special_tokens=False).ids
+        self.by_word = all(ids(text) == [i for word in text.lower().split() for i in ids(word)] for text in PROBES)
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= self.most:
@@ -55,6 +61,8 @@ class WordEncoder(dict):
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if not self.by_word:
+            return packed(self.whole.encode(text, add_special_tokens=False).ids)
         # lower case first, to meet fewer words; not where that may depend on neighbours or composition
         if "Σ" not in text and "İ" not in text and "<|" not in text and unicodedata.is_normalized("NFC", text):
             text = text.lower()

@@ -178,3 +178,14 @@ def test_long_header_lines(spark):
     pages = spark.createDataFrame([(i, u, f"page {i}", None) for i, u in urls.items()], "page_id long, url string, html string, refers_to long")
     back = warc.read_archives(warc.normalise(warc.write_monolithic(pages)))
     assert {r.page_id: (r.url, bytes(r.payload)) for r in back.collect()} == {i: (u, f"page {i}".encode()) for i, u in urls.items()}
+
+
+@pytest.mark.parametrize("name, by_word", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_other_tokenizers_encode_whole_texts(name, by_word):
+    from tokenizers import Tokenizer
+
+    path = tokens.vocabulary(name)
+    own, whole = tokens.WordEncoder(path), Tokenizer.from_file(path)
+    assert own.by_word is by_word
+    for text in ["Two  Words\nand more", "ÀB c<|endoftext|>", " x", "It's 12.", "", None]:
+        assert np.frombuffer(own.encode(text), tokens.ID).tolist() == (whole.encode(text, add_special_tokens=False).ids if text else [])

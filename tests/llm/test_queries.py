@@ -15,10 +15,16 @@ import corpus_pipeline
 from tallyloom.llm import edit_decontam, line_dedup, tokens, warc
 from tallyloom.llm.queries import ORACLES, QUERIES
 
+from tallyloom.session import materialise, shared_root
+
+from .test_cross_align import plain_rows
 from .test_dedup import plain_components, plain_lines
 from .test_files import plain_records, whole_ids
 from .test_packing_and_leaks import check_packed
+from .test_simhash import plain_components as plain_classes
+from .test_simhash import plain_fingerprint
 from .test_texts import plain_repeats, plain_secrets
+from .test_vector_codes import plain as plain_codes
 
 FOLDER = pathlib.Path("/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not FOLDER.exists(), reason="test tables are not here")
@@ -56,7 +62,7 @@ def crc(i, of):
 def test_registered():
     names = entry_points.queries()
     assert set(QUERIES) <= set(names) and "pipeline" in names
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(entry_points.oracle_sql())
 
 
@@ -146,13 +152,33 @@ def test_op10(docs, result):
     assert check_packed(rows, 4_096) <= -(-sum(r.length for r in rows) // 4_096) + 1
 
 
+def test_op11(docs, result):
+    names = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256"]
+    got = collections.Counter(tuple(r[n] for n in names) for r in result("op11_cross_alignment"))
+    assert got == collections.Counter({(*k[:7], k[8]): n for k, n in plain_rows(docs).items()})
+
+
+def test_op12(duck, result):
+    vectors = duck.sql("select vec_id, embedding, label from embeddings").fetchall()
+    want, books = plain_codes(vectors, 4, 256, 4)
+    digest = hashlib.sha256(",".join(str(x) for book in books for e in book for x in e).encode()).hexdigest()
+    got = collections.Counter((r.vec_id, r.code, r.error, r.label_error, r.codebooks_sha256) for r in result("op12_vector_codes"))
+    assert got == collections.Counter({(i, code.hex(), error, total, digest): n for (i, _, code, error, total), n in want.items()})
+
+
+def test_op13(docs, result):
+    rows = [(i, plain_fingerprint(t)) for i, t in docs]
+    want = collections.Counter((i, f"{f:016x}", c) for (i, f), c in zip(rows, plain_classes(rows, 2)))
+    assert collections.Counter((r.doc_id, r.fingerprint, r.component_id) for r in result("op13_simhash_dedup")) == want
+
+
 def test_pipeline_stage_by_stage(spark, duck):
     docs = spark.read.parquet(f"{FOLDER}/documents.parquet")
     names = [name for name, _ in corpus_pipeline.STAGES]
     assert len(names) == 5 and corpus_pipeline.ORACLE_SQL is None
     tables = [docs]
     for _, stage in corpus_pipeline.STAGES:
-        tables.append(corpus_pipeline.materialise(stage(spark, tables[-1], str(FOLDER)), "stage"))
+        tables.append(materialise(stage(spark, tables[-1], str(FOLDER)), "stage"))
     assert all(t.columns == docs.columns for t in tables[:-1])
     read = [[(r.doc_id, r.text) for r in t.collect()] for t in tables[:-1]]
     raw, good, lines, single, clean = read
@@ -180,5 +206,9 @@ def test_pipeline_stage_by_stage(spark, duck):
 
 
 def test_run(spark):
+    root = pathlib.Path(shared_root(spark).removeprefix("file://")) / "tallyloom"
+    before = set(root.iterdir()) if root.exists() else set()
     assert entry_points.queries()["pipeline"](spark, str(FOLDER)).count() > 100
+    # only the result stays
+    assert [p.name.split("-")[0] for p in set(root.iterdir()) - before if p.is_dir()] == ["pipeline"]
     assert tokens.vocabulary(corpus_pipeline.VOCABULARY).endswith(".json")
