@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyloom.llm import edit_decontam, hamming_dedup, line_dedup, nbsvm, packing
 from tallyloom.llm.queries import END_ID, SEQUENCE, VOCABULARY, fold, table
 from tallyloom.llm.tokens import vocabulary
-from tallyloom.session import materialise
+from tallyloom.session import scratch_path, temporary_copies
 
 LEAST_SCORE = 0.3
 LINE_DOCS = 10
@@ -60,7 +60,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+    """The last stage's rows. What the stages store on their way, and the tables between them, are removed."""
+    docs, last = table(spark, sf_dir, "documents"), scratch_path(spark, "pipeline")
+    with temporary_copies(spark):
+        for number, (name, stage) in enumerate(STAGES, 1):
+            path = last if number == len(STAGES) else scratch_path(spark, name.replace(" ", "-"))
+            with temporary_copies(spark):
+                kept = stage(spark, docs, sf_dir)
+                kept.write.parquet(path)
+            docs = spark.read.schema(kept.schema).parquet(path)
     return docs
