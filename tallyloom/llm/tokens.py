@@ -9,7 +9,7 @@ import unicodedata
 import numpy as np
 
 ID = np.dtype("<u4")
-CACHED_WORDS = 1_200_000
+CACHED_WORDS = 800_000
 # whole words of letters whose lower case is one letter each
 LATIN_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 
