@@ -24,11 +24,12 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.common import id_and_text
 from tallyloom.llm.files import in_arrow
+from tallyloom.llm.tokens import LATIN_LETTERS
 from tallyloom.session import materialise
 
 SPACE_PIECE = "▁"
 ID = np.dtype("<u4")
-CACHED_WORDS, LONGEST_WORD = 500_000, 64
+CACHED_WORDS, LONGEST_WORD, TEXTS = 800_000, 64, 256
 # blanks of which tokenizers make different things; texts that have them are encoded whole
 ODD_BLANKS = "\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 # a word: from a blank after other than white space up to the next such blank
@@ -55,17 +56,30 @@ class ByteLevel:
 
         # its pattern starts a token at every such blank
         self.by_word = type(self.model.pre_tokenizer).__name__ == "ByteLevel" and self.model.normalizer is None
-        self.blank = next(c for c, b in byte_of.items() if b == 0x20)
+        sign_of = {b: c for c, b in byte_of.items()}
+        self.signs = [sign_of[b] for b in range(256)]
         self.marks = {mark: self.model.token_to_id(mark) for mark in ".,"}
+        self.merges = self.model.model
 
     def encode(self, text: str) -> list[int]:
-        if self.by_word and text.isascii():  # letters, and a mark after them, are tokens apart
-            letters = text[:-1] if text[-1:] in self.marks else text
-            if letters.isalpha():
-                ids = [t.id for t in self.model.model.tokenize(self.blank + letters)]
-                return ids if letters is text else ids + [self.marks[text[-1]]]
         return self.model.encode(" " + text, add_special_tokens=False).ids
 
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        """Ids of each word: of letters, and a mark after them, straight from the merges, of others as texts."""
+        out: list[list[int] | None] = []
+        others = []
+        for word in words:
+            letters = word[:-1] if word[-1:] in self.marks else word
+            if LATIN_LETTERS(letters):
+                signs = letters if letters.isascii() else "".join(map(self.signs.__getitem__, letters.encode()))
+                ids = [t.id for t in self.merges.tokenize(self.signs[0x20] + signs)]
+                out.append(ids if letters is word else ids + [self.marks[word[-1]]])
+            else:
+                out.append(None)
+                others.append(" " + word)
+        texts = iter(self.model.encode_batch_fast(others, add_special_tokens=False))
+        return [next(texts).ids if ids is None else ids for ids in out]
+
 
 class Pieces:
     """A sentencepiece model with byte fallback; adds a blank by itself."""
@@ -86,6 +100,9 @@ class Pieces:
     def encode(self, text: str) -> list[int]:
         return self.model.encode(text) if text else [self.model.piece_to_id(SPACE_PIECE)]
 
+    def encode_words(self, words: list[str]) -> list[list[int]]:
+        return [ids or self.encode(word) for word, ids in zip(words, self.model.encode(words, num_threads=1))]
+
 
 class Words(dict):
     """Ids of a blank and a word as bytes, None where they do not give its bytes back; cleared at CACHED_WORDS words."""
@@ -94,14 +111,21 @@ class Words(dict):
         self.tokenizer = tokenizer
 
     def __missing__(self, word: str) -> bytes | None:
-        ids = self.tokenizer.encode(word)
-        exact = b"".join(map(self.tokenizer.bytes.__getitem__, ids)) == b" " + word.encode()
-        packed = struct.pack(f"<{len(ids)}I", *ids) if exact else None
-        if len(word) <= LONGEST_WORD:
-            if len(self) >= CACHED_WORDS:
-                self.clear()
-            self[word] = packed
-        return packed
+        return self._exact(word, self.tokenizer.encode(word))
+
+    def _exact(self, word: str, ids: list[int]) -> bytes | None:
+        if b"".join(map(self.tokenizer.bytes.__getitem__, ids)) != b" " + word.encode():
+            return None
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def learn(self, words: set[str]) -> None:
+        """Hold the ids of these words, encoded together; words that are long, or too many, are left to be encoded when met."""
+        new = [word for word in words if word not in self and len(word) <= LONGEST_WORD]
+        if len(self) + len(new) > CACHED_WORDS:
+            self.clear()
+            new = [word for word in words if len(word) <= LONGEST_WORD][:CACHED_WORDS]
+        for word, ids in zip(new, self.tokenizer.encode_words(new)):
+            self[word] = self._exact(word, ids)
 
 
 def words_of(text: str) -> list[str]:
@@ -145,13 +169,22 @@ class Aligner:
         most = max(len(self.a.bytes), len(self.b.bytes))
         self.forms = [str(i).encode() + mark for i in range(most) for mark in (b",", b"|", b";", b"")]
 
+    def _split(self, text: str) -> list[str]:
+        whole = not self.by_word or any(blank in text for blank in ODD_BLANKS)
+        return [text] if whole else words_of(text)
+
+    def learn(self, texts: list[str | None]) -> None:
+        """Encode the words of these texts that are not held yet, each once."""
+        words = {word for text in texts if text for word in self._split(text)}
+        for table in self.words:
+            table.learn(words)
+
     def tokens(self, text: str | None) -> tuple[np.ndarray, np.ndarray]:
         """Ids by both; none where the text is null or empty, or either's bytes are not those of a blank and the text."""
         none = np.zeros(0, np.int64), np.zeros(0, np.int64)
         if not text:
             return none
-        split = self.by_word and not any(blank in text for blank in ODD_BLANKS)
-        words = words_of(text) if split else [text]
+        words = self._split(text)
         try:
             a, b = (b"".join(map(table.__getitem__, words)) for table in self.words)
         except TypeError:  # a word that is not given back
@@ -205,22 +238,25 @@ def align(docs: DataFrame, a: str, b: str, *, with_groups: bool = False, id_col:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = aligner(a, b)
         for batch in batches:
-            sizes, digests, texts, found, cuts = [], [], [], [], [0]
-            for text in batch.column(1):
-                ids_a, ids_b = both.tokens(text.as_py())
+            sizes, digests, shown, found, cuts = [], [], [], [], [0]
+            texts = batch.column(1).to_pylist()
+            for row, text in enumerate(texts):
+                if row % TEXTS == 0:
+                    both.learn(texts[row : row + TEXTS])
+                ids_a, ids_b = both.tokens(text)
                 at_a, at_b = both.align(ids_a, ids_b)
                 groups = both.groups(ids_a, ids_b, at_a, at_b)
                 sizes.append((len(ids_a), len(ids_b), len(at_a)))
                 digests.append(hashlib.sha256(groups).hexdigest() if groups else "")
                 if with_groups:
-                    texts.append(groups.decode())
+                    shown.append(groups.decode())
                 keys, counts = np.unique(ids_a[at_a] << 32 | ids_b[at_b], return_counts=True)
                 found.append(np.stack([keys >> 32, keys & 0xFFFFFFFF, counts]).astype(np.int32))
                 cuts.append(cuts[-1] + len(keys))
             flat = np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int32)
             pairs = pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), pa.StructArray.from_arrays(list(map(pa.array, flat)), fields=list(pair)))
             numbers = [pa.array(n, pa.int64()) for n in (zip(*sizes) if sizes else ([], [], []))]
-            columns = [batch.column(0), *numbers, pa.array(digests, pa.string()), pairs] + [pa.array(texts, pa.large_string())] * with_groups
+            columns = [batch.column(0), *numbers, pa.array(digests, pa.string()), pairs] + [pa.array(shown, pa.large_string())] * with_groups
             yield pa.RecordBatch.from_arrays(columns, names)
 
     own = id_and_text(docs, id_col, text_col)

@@ -114,18 +114,32 @@ def test_galloping_skips():
 
 def test_words_give_the_ids_of_whole_texts(both):
     rng = random.Random(8)
-    signs = ["a", "The", "word.", "End,", "don't", "é", "日本", " ", "  ", "\n", "\t", "\r\n", ".", "12", "!", "\xa0", "\u3000", "\x1c", "\x85", "'s", "\u200b", "́", "😀", "<s>", "\x00", "-"]
+    signs = ["a", "The", "word.", "End,", "don't", "é", "日本", " ", "  ", "\n", "\t", "\r\n", ".", "12", "!", "\xa0", "\u3000", "\x1c", "\x85", "'s", "Größe,", "été", "\u200b", "́", "😀", "<s>", "\x00", "-"]
     assert both.by_word
     for _ in range(4_000):
         text = "".join(rng.choice(signs) for _ in range(rng.randint(1, 14)))
+        if rng.random() < 0.9:
+            both.learn([text])
         a, b = both.tokens(text)
         assert a.tolist() == both.a.model.encode(" " + text, add_special_tokens=False).ids and b.tolist() == both.b.encode(text), repr(text)
     assert sum(map(len, both.tokens("▁ x"))) == 0
 
 
 def test_long_words_are_not_held(both):
-    both.tokens("y" * 5_000 + " z")
+    both.learn(["y" * 5_000 + " z", None, ""])
     assert all("y" * 5_000 not in table and "z" in table for table in both.words)
+    assert len(both.tokens("y" * 5_000)[0]) > 0
+
+
+def test_full_tables_start_anew(monkeypatch):
+    own = cross_align.Aligner(*PATHS)
+    monkeypatch.setattr(cross_align, "CACHED_WORDS", 5)
+    rng = random.Random(4)
+    for _ in range(50):
+        text = " ".join(rng.choice("abcdefghij") * rng.randint(1, 3) for _ in range(rng.randint(1, 9)))
+        own.learn([text])
+        assert all(len(table) <= 5 for table in own.words)
+        assert own.tokens(text)[0].tolist() == own.a.encode(text)
 
 
 def test_token_bytes_join_to_the_text(both):
