@@ -291,7 +291,7 @@ def _sql_products(keep: str, photos: str) -> str:
             then 'Home & Decor' when cat = 'Baby' then 'Kids & Baby' else 'Other' end as category_group from t, q"""
 
 
-_PRODUCT_OUT = (
+PRODUCT_OUT = (
     "product_id", "product_category_name", "product_volume_cm3", "product_density_g_cm3", "volume_tier",
     "weight_category", "product_complexity", "shipping_complexity", "category_group",
 )
@@ -300,14 +300,14 @@ _PRODUCT_OUT = (
 @bound("products_cleaned", _sql_products("category is not null", "case when pho <= 0 then null else pho end"))
 def products_cleaned(spark: SparkSession, folder: str) -> DataFrame:
     categories = products.clean_categories(retail_categories(spark, folder))
-    return products.clean_products(retail_products(spark, folder), categories).select(*_PRODUCT_OUT)
+    return products.clean_products(retail_products(spark, folder), categories).select(*PRODUCT_OUT)
 
 
 @bound("products_kept", _sql_products("true", "pho"))
 def products_kept(spark: SparkSession, folder: str) -> DataFrame:
     categories = products.clean_categories(retail_categories(spark, folder))
     cleaned = products.clean_products(retail_products(spark, folder), categories, drop_missing=False)
-    return cleaned.select(*_PRODUCT_OUT)
+    return cleaned.select(*PRODUCT_OUT)
 
 
 # ---------------------------------------------------------------- places

@@ -95,6 +95,19 @@ _DURATIONS_SQL = f"""select *, date_diff('day', bought, approved) as p, date_dif
     from ({REPAIRED_SQL})"""
 
 
+CLEANED_ORDERS = (
+    "order_id",
+    "customer_id",
+    "order_status",
+    "order_delivered_customer_date",
+    "processing_time",
+    "delivery_time",
+    "delivery_performance",
+    "is_processing_outlier",
+    "is_delivery_outlier",
+)
+
+
 @bound(
     "orders_cleaned",
     f"""with t as ({_DURATIONS_SQL}), s as (select avg(p) + 3 * stddev_samp(p) as pl,
@@ -105,17 +118,7 @@ _DURATIONS_SQL = f"""select *, date_diff('day', bought, approved) as p, date_dif
         from t, s""",
 )
 def orders_cleaned(spark: SparkSession, folder: str) -> DataFrame:
-    return order_plans.clean_orders(retail_orders(spark, folder)).select(
-        "order_id",
-        "customer_id",
-        "order_status",
-        "order_delivered_customer_date",
-        "processing_time",
-        "delivery_time",
-        "delivery_performance",
-        "is_processing_outlier",
-        "is_delivery_outlier",
-    )
+    return order_plans.clean_orders(retail_orders(spark, folder)).select(*CLEANED_ORDERS)
 
 
 @bound(

@@ -5,9 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyloom.bindings.registry import bound, table
+from tallyloom.bindings import cleaners, domain
+from tallyloom.bindings.registry import ORACLES, bound, table
 from tallyloom.operators import fitted, stats
-from tallyloom.session import scratch_path
+from tallyloom.plans import orders as order_plans
+from tallyloom.plans import products
+from tallyloom.session import materialise, scratch_path
 from tallyloom.streaming.incremental import land_new_files
 
 _FITTED = {"l_quantity": "double", "l_extendedprice": "double", "l_linenumber": "int", "l_orderkey": "bigint"}
@@ -69,3 +72,39 @@ def stream_scored(spark: SparkSession, folder: str) -> DataFrame:
         land_new_files(spark, f"{root}/inbox", events.schema, f"{root}/landed", f"{root}/progress", files_per_batch=2, transform=scored)
     landed = spark.read.parquet(f"{root}/landed")
     return landed.select("event_id", "value", "is_outlier", F.round("zscore", 6).alias("zscore"), "is_far", "tier")
+
+
+def _streamed(spark: SparkSession, rows: DataFrame, label: str, deal: str, transform) -> DataFrame:
+    """`rows` arriving as files on two days, each transformed and landed on its day."""
+    root = scratch_path(spark, label)
+    raw = materialise(rows, f"{label}-raw")
+    for arrived in (raw.filter(deal), raw.filter(f"not ({deal})")):
+        arrived.repartition(2).write.mode("append").parquet(f"{root}/inbox")
+        land_new_files(spark, f"{root}/inbox", raw.schema, f"{root}/landed", f"{root}/progress", transform=transform)
+    return spark.read.parquet(f"{root}/landed")
+
+
+@bound("stream_orders_cleaned", ORACLES["orders_cleaned"])
+def stream_orders_cleaned(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole order cleaner over orders that arrive as files, by duration figures fitted and stored before."""
+    orders = domain.retail_orders(spark, folder)
+    path = scratch_path(spark, "order-figures")
+    order_plans.fit_orders(orders).store(spark, path)
+    figures = fitted.load(spark, path)
+    cleaned = _streamed(spark, orders, "orders", "hash(order_id) % 2 = 0", lambda rows: order_plans.clean_orders(rows, figures))
+    return cleaned.select(*domain.CLEANED_ORDERS)
+
+
+@bound("stream_products_cleaned", ORACLES["products_cleaned"])
+def stream_products_cleaned(spark: SparkSession, folder: str) -> DataFrame:
+    """The whole product cleaner over products that arrive as files, by quartiles fitted and stored before."""
+    raw = cleaners.retail_products(spark, folder)
+    categories = materialise(products.clean_categories(cleaners.retail_categories(spark, folder)), "categories")
+    path = scratch_path(spark, "product-figures")
+    products.fit_products(raw, categories).store(spark, path)
+    figures = fitted.load(spark, path)
+
+    def clean(rows: DataFrame) -> DataFrame:
+        return products.clean_products(rows, categories, figures=figures)
+
+    return _streamed(spark, raw, "products", "hash(product_id) % 3 = 0", clean).select(*cleaners.PRODUCT_OUT)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from tallyloom.functions import dates
 from tallyloom.functions.text import tidy_label
-from tallyloom.operators import classify, stats, validate
+from tallyloom.operators import classify, fitted, stats, validate
+from tallyloom.operators.fitted import Fitted
 from tallyloom.operators.validate import Rule
 from tallyloom.plans import rules
 
@@ -27,11 +28,13 @@ PAYMENT_COLUMNS = (
 )
 
 
-def clean_orders(orders: DataFrame) -> DataFrame:
-    """Orders with repaired status, durations, calendar parts, performance and outlier flags.
+OUTLIER_FLAGS = {"processing_time": "is_processing_outlier", "delivery_time": "is_delivery_outlier"}
 
-    Rows without an id, customer, status or purchase time are dropped. Duration statistics are
-    those of the rows kept.
+
+def time_orders(orders: DataFrame) -> DataFrame:
+    """Orders with repaired status, durations, calendar parts and performance, row by row.
+
+    Rows without an id, customer, status or purchase time are dropped.
     """
     required = ["order_id", "customer_id", "order_status", "order_purchase_timestamp"]
     kept = orders.dropna(subset=required)
@@ -51,11 +54,23 @@ def clean_orders(orders: DataFrame) -> DataFrame:
             "order_status": classify.repair_status(F.col("order_status"), delivered),
         }
     )
-    rated = timed.withColumn(
+    return timed.withColumn(
         "delivery_performance", classify.delivery_performance(F.col("order_status"), delivered, estimated)
     )
-    flags = {"processing_time": "is_processing_outlier", "delivery_time": "is_delivery_outlier"}
-    return stats.flag_upper_outliers(rated, flags, rules.OUTLIER_SIGMAS)
+
+
+def fit_orders(orders: DataFrame) -> Fitted:
+    """The duration figures that `clean_orders` flags outliers by; a small table to keep."""
+    return fitted.fit(time_orders(orders), list(OUTLIER_FLAGS))
+
+
+def clean_orders(orders: DataFrame, figures: Fitted | None = None) -> DataFrame:
+    """Orders with repaired status, durations, calendar parts, performance and outlier flags.
+
+    Rows without an id, customer, status or purchase time are dropped. Duration statistics are
+    those of the rows kept, or `figures` that `fit_orders` made before; orders may arrive as a stream then.
+    """
+    return stats.flag_upper_outliers(time_orders(orders), OUTLIER_FLAGS, rules.OUTLIER_SIGMAS, figures)
 
 
 def publish_orders(cleaned: DataFrame) -> DataFrame:

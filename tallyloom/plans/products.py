@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from tallyloom.functions import text
 from tallyloom.functions.ladders import group_of
 from tallyloom.functions.numbers import floor_at_zero, null_if_not_positive, safe_ratio
-from tallyloom.operators import classify, joins, stats
+from tallyloom.operators import classify, fitted, joins, stats
+from tallyloom.operators.fitted import Fitted
 from tallyloom.operators.scalars import with_scalar
 from tallyloom.plans import rules
 
@@ -61,8 +62,11 @@ def publish_categories(cleaned: DataFrame) -> DataFrame:
     return cleaned.select("product_category_name_clean", "product_category_name_english_title")
 
 
-def clean_products(products: DataFrame, categories: DataFrame, drop_missing: bool = True) -> DataFrame:
-    """Products with English category titles, sound measures and five classes.
+TIERED = ("product_volume_cm3", "product_weight_g", "product_description_length")
+
+
+def measure_products(products: DataFrame, categories: DataFrame, drop_missing: bool = True) -> DataFrame:
+    """Products with English category titles, sound measures, volume and density, row by row.
 
     `drop_missing=False` keeps products without an id or category and a photo count of zero.
     """
@@ -84,8 +88,28 @@ def clean_products(products: DataFrame, categories: DataFrame, drop_missing: boo
     length, height, width = (F.col(c).cast("bigint") for c in SIDES)
     measured = measured.withColumn("product_volume_cm3", length * height * width)
     weight, volume = F.col("product_weight_g"), F.col("product_volume_cm3")
-    measured = measured.withColumn("product_density_g_cm3", safe_ratio(weight, volume, 3))
-    q = stats.quartiles(measured, ["product_volume_cm3", "product_weight_g", "product_description_length"])
+    return measured.withColumn("product_density_g_cm3", safe_ratio(weight, volume, 3))
+
+
+def fit_products(products: DataFrame, categories: DataFrame, drop_missing: bool = True) -> Fitted:
+    """The quartiles that `clean_products` classes by; a small table to keep."""
+    return fitted.fit(measure_products(products, categories, drop_missing), list(TIERED), quartiles=list(TIERED))
+
+
+def clean_products(
+    products: DataFrame, categories: DataFrame, drop_missing: bool = True, figures: Fitted | None = None
+) -> DataFrame:
+    """Products with English category titles, sound measures and five classes.
+
+    `drop_missing=False` keeps products without an id or category and a photo count of zero. Quartiles are
+    those of the rows kept, or `figures` that `fit_products` made before; products may arrive as a stream then.
+    """
+    measured = measure_products(products, categories, drop_missing)
+    weight, volume = F.col("product_weight_g"), F.col("product_volume_cm3")
+    if figures is None:
+        q = stats.quartiles(measured, list(TIERED))
+    else:
+        q = F.struct(*[figures.quartiles(c).alias(c) for c in TIERED])
     sides = [F.col(c) for c in SIDES]
 
     def classes(q: Column) -> dict[str, Column]:
