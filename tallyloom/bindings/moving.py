@@ -311,7 +311,7 @@ def column_reconcile(spark: SparkSession, folder: str) -> DataFrame:
     )
     path = scratch_path(spark, "changed-orders")
     publish.publish(changed, path)
-    compared = reconcile.column_reconcile(orders, spark.read.parquet(path))
+    compared = reconcile.column_reconcile(orders, spark.read.parquet(path), distinct="exact")
     return compared.select(
         "column_name",
         "source_values",

@@ -287,7 +287,7 @@ _TABLES = {
     ),
 )
 def data_dictionary(spark: SparkSession, folder: str) -> DataFrame:
-    return reconcile.data_dictionary({name: table(spark, folder, name) for name in _TABLES})
+    return reconcile.data_dictionary({name: table(spark, folder, name) for name in _TABLES}, distinct="exact")
 
 
 @bound(

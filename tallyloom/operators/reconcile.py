@@ -53,12 +53,12 @@ def distinct_values(df: DataFrame) -> DataFrame:
     return counts
 
 
-def column_contents(df: DataFrame, distinct: str | None = "exact", checksum: bool = True) -> DataFrame:
+def column_contents(df: DataFrame, distinct: str | None = "approx", checksum: bool = True) -> DataFrame:
     """Per column: type, rows, values, distinct values and an order-free checksum.
 
-    `distinct="approx"` estimates distinct values in the same single pass as the rest; `"exact"`
-    adds a shuffle of the distinct (column, value) pairs; `None` leaves them out. The checksum
-    is the sum of the value hashes.
+    `distinct="approx"` estimates distinct values in the same single pass as the rest, the same for the
+    same values in any order; `"exact"` adds a shuffle of the distinct (column, value) pairs; `None`
+    leaves them out. The checksum is the sum of the value hashes.
     """
     if distinct not in ("exact", "approx", None):
         raise ValueError(f"distinct must be 'exact', 'approx' or None, not {distinct!r}")
@@ -86,9 +86,9 @@ def column_contents(df: DataFrame, distinct: str | None = "exact", checksum: boo
 
 
 def column_reconcile(
-    source: DataFrame, copy: DataFrame, distinct: str | None = "exact", checksum: bool = True
+    source: DataFrame, copy: DataFrame, distinct: str | None = "approx", checksum: bool = True
 ) -> DataFrame:
-    """Both sides column by column. Columns of one side only are reported as such."""
+    """Both sides column by column, in one pass of each. Columns of one side only are reported as such."""
     left = column_contents(source, distinct, checksum)
     right = column_contents(copy, distinct, checksum)
     measures = [c for c in left.columns if c not in ("column_name", "row_count")]
@@ -125,17 +125,26 @@ def parity(left: DataFrame, right: DataFrame, category: str, names: tuple[str, s
     return measured(left, names[0]).unionByName(measured(right, names[1]))
 
 
-def data_dictionary(tables: Mapping[str, DataFrame], distinct: str = "exact") -> DataFrame:
+# an estimate of distinct values this far below the rows (four standard errors) rules a key out
+KEY_SHARE = 0.8
+
+
+def data_dictionary(tables: Mapping[str, DataFrame], distinct: str = "approx") -> DataFrame:
     """Table, column, position, type, rows, nulls, distinct values, and whether it could be a key.
 
-    The verdict on keys needs `distinct="exact"`; an estimate makes it a guess.
+    With estimates a column is no key (false) where it has nulls or far fewer values than rows, else that is open
+    (null); `distinct="exact"` settles it, by a shuffle of the distinct values.
     """
     parts = []
     for table, df in tables.items():
         contents = column_contents(df, distinct, checksum=False)
         positions = F.create_map(*[F.lit(x) for i, c in enumerate(df.columns, 1) for x in (c, i)])
         nulls = F.col("row_count") - F.col("values")
-        is_key = (nulls == 0) & (F.col("distinct_values") == F.col("row_count"))
+        if distinct == "exact":
+            is_key = (nulls == 0) & (F.col("distinct_values") == F.col("row_count"))
+        else:
+            ruled_out = (nulls > 0) | (F.col("distinct_values") < KEY_SHARE * F.col("row_count"))
+            is_key = F.when(ruled_out, F.lit(False))
         parts.append(
             contents.select(
                 F.lit(table).alias("table_name"),
