@@ -229,6 +229,7 @@ def _blocks(members: DataFrame) -> DataFrame:
     kinds = sizes.join(small, "pivot", "left").select(
         "pivot", "component", large.alias("large"), F.ceil(F.when(large, F.col("n")).otherwise(F.col("rest")) / BLOCK).alias("parts")
     )
+    kinds = materialise(kinds, "kinds")  # written, so that members are not dealt out by their pivot alone
     salt = F.when(F.col("large"), F.xxhash64("node")).otherwise(F.xxhash64("component"))
     owner = F.when(F.col("large"), F.concat(F.lit("c"), F.col("component").cast("string"))).otherwise("small")
     block = F.concat_ws(":", owner, F.pmod(salt, F.col("parts")).cast("string"))
