@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyloom.bindings.registry import bound, sql_pct, table
-from tallyloom.operators import differences, profiles, validate
+from tallyloom.operators import differences, profiles, stats, validate
 from tallyloom.operators.validate import Relation
 from tallyloom.session import scratch_path
 from tallyloom.sources import catalog, footers, publish, versions
@@ -80,6 +80,22 @@ def merged_profile(spark: SparkSession, folder: str) -> DataFrame:
     return merged.withColumns({c: F.round(c, 4) for c in ("mean", "stddev")})
 
 
+@bound(
+    "grown_outliers",
+    """with s as (select avg(value) as m, stddev_samp(value) as sd from events)
+       select event_id, coalesce(value > m + 2 * sd, false) as is_outlier, round(abs((value - m) / sd), 6) as zscore from events, s""",
+)
+def grown_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    """Outliers by the figures of three landings, merged from what was kept of each."""
+    events = table(spark, folder, "events").select("event_id", "value")
+    path = scratch_path(spark, "landed-figures")
+    for part in range(3):
+        profiles.store_part(events.where(F.col("event_id") % 3 == part), f"day-{part}", path)
+    figures = profiles.grown_figures(profiles.stored_profiles(spark, path), ["value"])
+    flagged = stats.flag_upper_outliers(events, {"value": "is_outlier"}, sigmas=2, figures=figures)
+    return flagged.select("event_id", "is_outlier", F.round(figures.zscore("value"), 6).alias("zscore"))
+
+
 @bound(
     "footer_figures",
     """select count(*) as row_count, min(l_orderkey) as min_l_orderkey, max(l_orderkey) as max_l_orderkey, min(l_quantity) as min_l_quantity,

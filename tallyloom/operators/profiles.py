@@ -2,18 +2,34 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, IntegralType, MapType, NumericType, StringType, StructField
+from pyspark.sql.types import (
+    BinaryType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegralType,
+    MapType,
+    NumericType,
+    StringType,
+    StructField,
+    StructType,
+)
 
 from tallyloom.functions.numbers import percent
+from tallyloom.operators.fitted import Figures, Fitted
+from tallyloom.operators.stats import QUARTERS
 
+QUANTILE_ITEMS = 400  # items of a quantile sketch: ranks are off by less than one per cent
 SKETCH_BITS = 12  # 4096 registers: the estimate's standard error is 1.04 / 64, that is 1.6 per cent
 SCHEMA = (
     "column_name string, position int, data_type string, row_count bigint, null_count bigint, min_value string, max_value string, "
-    "mean double, spread double, sketch binary, part string"
+    "mean double, spread double, sketch binary, quantiles binary, part string"
 )
 
 
@@ -44,6 +60,7 @@ def part_profile(df: DataFrame, part: str) -> DataFrame:
                 # the sum of squared distances from the mean
                 (F.var_pop(number) * F.count(number)).alias("spread"),
                 F.hll_sketch_agg(_sketched(field), F.lit(SKETCH_BITS)).alias("sketch"),
+                (F.kll_sketch_agg_double(number, F.lit(QUANTILE_ITEMS)) if numeric else F.lit(None).cast("binary")).alias("quantiles"),
             )
         )
     return df.agg(F.array(*figures).alias("columns")).select(F.inline("columns")).withColumn("part", F.lit(part))
@@ -108,3 +125,26 @@ def merged_profile(stored: DataFrame) -> DataFrame:
         }
     )
     return merged.select(*figures)
+
+
+def grown_figures(stored: DataFrame, columns: Sequence[str] | None = None) -> Fitted:
+    """Figures of numeric columns for `Fitted` to apply, from the stored parts alone.
+
+    Counts, means, deviations and ends are those of the whole table; quartiles are estimates, values of the table whose
+    rank is off by less than one per cent of the rows.
+    """
+    numeric = stored.where("mean is not null")
+    if columns is not None:
+        numeric = numeric.where(F.col("column_name").isin(list(columns)))
+    merged = {r["column_name"]: r for r in merged_profile(numeric).collect()}  # a row a column
+    shares = F.array(*[F.lit(s) for s in QUARTERS])
+    sketches = numeric.where("quantiles is not null").groupBy("column_name").agg(F.kll_merge_agg_double("quantiles").alias("sketch"))
+    quartiles = {r["column_name"]: r["q"] for r in sketches.select("column_name", F.kll_sketch_get_quantile_double("sketch", shares).alias("q")).collect()}
+    out = {}
+    for name, row in merged.items():
+        kind = StructType.fromDDL(f"v {row['data_type']}")["v"].dataType
+        typed = {FloatType: float, DoubleType: float}.get(type(kind), Decimal if isinstance(kind, DecimalType) else int)
+        ends = tuple(typed(row[c]) for c in ("min_value", "max_value"))
+        quarters = tuple(Decimal(str(q)).quantize(Decimal(1).scaleb(-kind.scale)) if typed is Decimal else typed(q) for q in quartiles[name])
+        out[name] = Figures(row["data_type"], row["row_count"] - row["null_count"], row["mean"], row["stddev"], ends, quarters)
+    return Fitted(out)

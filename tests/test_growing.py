@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tallyloom.operators import differences, profiles, report
+from tallyloom.operators import differences, fitted, profiles, report
 from tallyloom.sources import footers
 
 ROW = "a int, b string, x double, y double, s struct<p:int,q:string>, m map<string,int>, l array<int>"
@@ -127,6 +127,31 @@ def test_merged_profile_equals_one_pass(spark, tmp_path):
     assert [merged[n].position for n in merged if n == "x"] == [3]
 
 
+def test_grown_figures(spark, tmp_path):
+    rng = random.Random(8)
+    data = [(i, rng.gauss(5, 2), rng.choice([None, rng.randrange(1_000)]), decimal.Decimal(rng.randrange(10**5)).scaleb(-2), "t") for i in range(20_000)]
+    df = spark.createDataFrame(data, "i bigint, x double, n int, d decimal(10,2), t string")
+    path = str(tmp_path / "parts")
+    for part in range(5):
+        profiles.store_part(df.where(F.col("i") % 5 == part), f"p{part}", path)
+    grown = profiles.grown_figures(profiles.stored_profiles(spark, path))
+    assert set(grown.figures) == set("ixnd")
+    whole = fitted.fit(df, list("ixnd"), quartiles=list("ixnd"))
+    for c, own in grown.figures.items():
+        exact = whole.figures[c]
+        assert (own.data_type, own.value_count, own.ends) == (exact.data_type, exact.value_count, exact.ends)
+        assert own.mean == pytest.approx(exact.mean) and own.stddev == pytest.approx(exact.stddev)
+        values = sorted(r[0] for r in df.select(c).na.drop().collect())
+        for share, q in zip((0.25, 0.5, 0.75), own.quartiles):
+            rank = sum(v <= q for v in values) / len(values)
+            assert abs(rank - share) < 0.02, (c, share, rank)
+    # they are stored and applied like fitted ones
+    grown.store(spark, str(tmp_path / "figures"))
+    assert fitted.load(spark, str(tmp_path / "figures")) == grown
+    assert set(profiles.grown_figures(profiles.stored_profiles(spark, path), ["x"]).figures) == {"x"}
+    assert df.select(grown.above("x", 1).alias("a")).where("a").count() > 1_000
+
+
 def test_profiles_of_nothing(spark, tmp_path):
     df = spark.createDataFrame([], "a int, b string")
     path = str(tmp_path / "none")
