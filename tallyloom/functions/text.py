@@ -287,15 +287,23 @@ def clean_cased(text: Column) -> Column:
 def correct_words(text: Column, corrections: Mapping[str, str]) -> Column:
     """Replace whole words, in any case. Letters with accents are part of a word.
 
-    As if the corrections were made one after the other. Words are corrected together: a text is taken apart
-    once into words and what lies between them, each word is looked up, and the text is put together again. A
-    correction that an earlier one may have written takes another pass; so does a phrase, as a pattern of its own.
+    As if the corrections were made one after the other, which is how up to FEW_WORDS are made, in texts that
+    hold any of them. More are made together: a text is taken apart once into words and what lies between them,
+    each word is looked up, and the text is put together again. A correction that an earlier one may have written
+    takes another pass then; so does a phrase, as a pattern of its own.
     """
+    if not corrections:
+        return text
+    if len(corrections) <= FEW_WORDS:
+        anywhere = "(?iu)" + "|".join(re.escape(word) for word in corrections)
+        return bind(text, lambda t: F.when(t.rlike(anywhere), _corrected_in_turn(t, corrections)).otherwise(t))
     for words in _correction_passes(corrections):
         text = _looked_up(text, words) if isinstance(words, dict) else _phrase_corrected(text, *words)
     return text
 
 
+# a pass for each word costs less than taking texts apart up to about this many
+FEW_WORDS = 8
 _WORD = "[\\p{L}\\p{N}_]"
 
 
@@ -321,12 +329,18 @@ def _looked_up(text: Column, words: Mapping[str, str]) -> Column:
     table, known = _constant_map(words), list(words)
 
     def corrected(piece: Column) -> Column:
-        return bind(F.lower(piece), lambda word: F.when(word.isin(known), table[word]).otherwise(piece))
+        return F.when(F.lower(piece).isin(known), table[F.lower(piece)]).otherwise(piece)
 
     pieces = F.regexp_extract_all(text, F.lit(f"{_WORD}+|[^{_WORD[1:]}+"), F.lit(0))
     return F.array_join(F.transform(pieces, corrected), "")
 
 
+def _corrected_in_turn(text: Column, corrections: Mapping[str, str]) -> Column:
+    for wrong, right in corrections.items():
+        text = _phrase_corrected(text, wrong, right)
+    return text
+
+
 def _phrase_corrected(text: Column, phrase: str, correction: str) -> Column:
     """The pattern looks for the phrase before it looks at what surrounds it."""
     before = rf"(?<!{_WORD}.{{{len(phrase)}}})"

@@ -85,8 +85,8 @@ class Fitted:
         self.table(spark).coalesce(1).write.mode("overwrite").parquet(path)
 
 
-def fit(df: DataFrame, columns: Sequence[str], quartiles: Sequence[str] = ()) -> Fitted:
-    """Moments of `columns` in one pass, and exact quartiles of `quartiles` (among them) by selection."""
+def fit(df: DataFrame, columns: Sequence[str], quartiles: Sequence[str] = (), keep: bool = False) -> Fitted:
+    """Moments of `columns` in one pass, and exact quartiles of `quartiles` (among them) by selection (see there for `keep`)."""
     if not columns:
         return Fitted({})
     missing = set(quartiles) - set(columns)
@@ -99,7 +99,7 @@ def fit(df: DataFrame, columns: Sequence[str], quartiles: Sequence[str] = ()) ->
         for i, c in enumerate(columns)
     ]
     row = df.agg(*moments).first()
-    tiers = select_quantiles(df, list(quartiles), QUARTERS) if quartiles else {}
+    tiers = select_quantiles(df, list(quartiles), QUARTERS, keep) if quartiles else {}
     out = {}
     for i, c in enumerate(columns):
         own, kind = row[f"c{i}"], df.schema[c].dataType.simpleString()

@@ -121,7 +121,7 @@ def _counted(df: DataFrame, targets: Sequence[_Target]) -> dict[int, list[tuple]
     counts = rows.groupBy("target", "part").agg(F.count(F.lit(1)).alias("n"), *ends)
     found: dict[int, list[tuple]] = {i: [] for i in range(len(targets))}
     # a row for each target and part at most
-    for row in totals.unionByName(counts).orderBy("target", "part").collect():
+    for row in sorted(totals.unionByName(counts).collect(), key=lambda r: (r["target"], r["part"])):
         name = slot[targets[row["target"]].kind]
         found[row["target"]].append((row["part"], row["n"], row[f"least_{name}"], row[f"most_{name}"]))
     return found
@@ -142,17 +142,30 @@ def _narrow(target: _Target, parts: Sequence[tuple]) -> bool:
     return False
 
 
-def select_quantiles(df: DataFrame, columns: Sequence[str], shares: Sequence[float]) -> dict[str, list[Any] | None]:
+def select_quantiles(
+    df: DataFrame, columns: Sequence[str], shares: Sequence[float], keep: bool = False
+) -> dict[str, list[Any] | None]:
     """For each numeric column its discrete quantiles: the smallest value that the share of values does not exceed.
 
     Exact at any size. Nulls are left out; None for a column without values. Not-a-number comes after all numbers. Each pass reads
-    the columns of the open quantiles and brings PARTS figures a quantile at most to the driver; two passes are usual.
+    the columns of the open quantiles and brings PARTS figures a quantile at most to the driver; two passes are usual. `keep`
+    holds the columns in Spark's cache from pass to pass, for rows that are costly to compute; lost parts are computed again.
     """
     kinds = {c: df.schema[c].dataType for c in columns}
     for c, kind in kinds.items():
         if not selectable(kind):
             raise ValueError(f"{c} is {kind.simpleString()}, not a number")
     rows = df.select(*[F.col(f"`{c}`") for c in columns])
+    if not keep:
+        return _selected(rows, kinds, shares)
+    rows = rows.persist()
+    try:
+        return _selected(rows, kinds, shares)
+    finally:
+        rows.unpersist()
+
+
+def _selected(rows: DataFrame, kinds: Mapping[str, DataType], shares: Sequence[float]) -> dict[str, list[Any] | None]:
     found = _opened(rows, kinds, shares)
     targets = [t for values in found.values() for t in values if isinstance(t, _Target)]
     while targets:

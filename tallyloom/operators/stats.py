@@ -119,13 +119,13 @@ def add_zscore(
 
 
 def quartiles(
-    df: DataFrame, columns: Sequence[str], method: str = "exact", accuracy: int = 10_000
+    df: DataFrame, columns: Sequence[str], method: str = "exact", accuracy: int = 10_000, keep: bool = False
 ) -> Column:
     """A struct of `[q1, median, q3]` arrays by column, nulls left out; null without values.
 
     Exact at any size: each is the smallest value that a quarter, a half, three quarters of the
-    values do not exceed. Numbers are selected by passes of counts (`select_quantiles`), which run at
-    once and leave literals in the plan; other types by `exact_quantiles`. `method="approx"` is one pass
+    values do not exceed. Numbers are selected by passes of counts (`select_quantiles`, to which `keep` goes),
+    which run at once and leave literals in the plan; other types by `exact_quantiles`. `method="approx"` is one pass
     of a mergeable sketch instead, with a rank error of 1/`accuracy` that depends on the partitioning.
     """
     if method == "approx":
@@ -137,7 +137,7 @@ def quartiles(
     kinds = {c: df.schema[c].dataType for c in columns}
     if not all(map(selectable, kinds.values())):
         return exact_quantiles(df, columns, QUARTERS).select(F.struct(*columns).alias("quartiles")).scalar()
-    found = select_quantiles(df, columns, QUARTERS)
+    found = select_quantiles(df, columns, QUARTERS, keep)
 
     def literal(c: str) -> Column:
         if found[c] is None:

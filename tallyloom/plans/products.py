@@ -93,7 +93,7 @@ def measure_products(products: DataFrame, categories: DataFrame, drop_missing: b
 
 def fit_products(products: DataFrame, categories: DataFrame, drop_missing: bool = True) -> Fitted:
     """The quartiles that `clean_products` classes by; a small table to keep."""
-    return fitted.fit(measure_products(products, categories, drop_missing), list(TIERED), quartiles=list(TIERED))
+    return fitted.fit(measure_products(products, categories, drop_missing), list(TIERED), quartiles=list(TIERED), keep=True)
 
 
 def clean_products(
@@ -107,7 +107,7 @@ def clean_products(
     measured = measure_products(products, categories, drop_missing)
     weight, volume = F.col("product_weight_g"), F.col("product_volume_cm3")
     if figures is None:
-        q = stats.quartiles(measured, list(TIERED))
+        q = stats.quartiles(measured, list(TIERED), keep=True)
     else:
         q = F.struct(*[figures.quartiles(c).alias(c) for c in TIERED])
     sides = [F.col(c) for c in SIDES]

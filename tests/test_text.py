@@ -204,6 +204,8 @@ def test_corrections_are_as_one_after_the_other(spark):
     signs = [*words, "One", "FOUR", "x1", "oné", "_", "-", " ", ". ", "ÉTÉ", "a", "b", "c", "d", "\n"]
     values = ["".join(rng.choice(signs) + rng.choice(["", " ", " ", ","]) for _ in range(rng.randint(0, 12))) for _ in range(400)]
     expect(spark, lambda c: text.correct_words(c, words), [(v, plain_corrected(v, words)) for v in values])
+    few = dict(list(words.items())[: text.FEW_WORDS])
+    expect(spark, lambda c: text.correct_words(c, few), [(v, plain_corrected(v, few)) for v in values])
 
 
 def test_many_corrections_take_one_pass(spark):
