@@ -223,13 +223,14 @@ def _blocks(members: DataFrame) -> DataFrame:
 
     Within a cell, a component of half a block or more has blocks of its own; smaller components share blocks.
     """
-    sizes = members.groupBy("pivot", "component").agg(F.count(F.lit(1)).alias("n"))
+    # figures are written before they are joined, so that a join can split a hot pivot
+    sizes = materialise(members.groupBy("pivot", "component").agg(F.count(F.lit(1)).alias("n")), "component-sizes")
     large = F.col("n") >= BLOCK // 2
-    small = sizes.where(~large).groupBy("pivot").agg(F.sum("n").alias("rest"))
+    small = materialise(sizes.where(~large).groupBy("pivot").agg(F.sum("n").alias("rest")), "cell-rests")
     kinds = sizes.join(small, "pivot", "left").select(
         "pivot", "component", large.alias("large"), F.ceil(F.when(large, F.col("n")).otherwise(F.col("rest")) / BLOCK).alias("parts")
     )
-    kinds = materialise(kinds, "kinds")  # written, so that members are not dealt out by their pivot alone
+    kinds = materialise(kinds, "kinds")
     salt = F.when(F.col("large"), F.xxhash64("node")).otherwise(F.xxhash64("component"))
     owner = F.when(F.col("large"), F.concat(F.lit("c"), F.col("component").cast("string"))).otherwise("small")
     block = F.concat_ws(":", owner, F.pmod(salt, F.col("parts")).cast("string"))
