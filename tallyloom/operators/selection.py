@@ -128,17 +128,26 @@ def _counted(df: DataFrame, targets: Sequence[_Target]) -> dict[int, list[tuple]
 
 
 def _narrow(target: _Target, parts: Sequence[tuple]) -> bool:
-    """Move the target's bracket by one pass's counts; true when its value is known."""
+    """Move the target's bracket by one pass's counts; true when its value is known.
+
+    A pass always moves an open bracket; where it does not, the passes read different rows, and that is an error.
+    """
+    before = target.low, target.high
     (_, reached, _, _), *inside = parts
     if target.rank <= reached:
         target.low, target.high = target.least, target.low
-        return False
-    for _, n, least, most in inside:
-        reached += n
-        if target.rank <= reached:
-            target.low, target.high = least, most
-            return target.done
-    target.low, target.high = target.high, target.most
+    else:
+        for _, n, least, most in inside:
+            reached += n
+            if target.rank <= reached:
+                target.low, target.high = least, most
+                if target.done:
+                    return True
+                break
+        else:
+            target.low, target.high = target.high, target.most
+    if (target.low, target.high) == before:
+        raise RuntimeError(f"the rows of {target.column} changed between two passes")
     return False
 
 

@@ -66,6 +66,14 @@ def test_a_guess_that_misses_costs_a_pass_only(spark, monkeypatch):
     assert selection.select_quantiles(df, ["v"], SHARES)["v"] == plain([r[0] for r in rows], SHARES)
 
 
+def test_rows_that_change_between_passes_are_an_error():
+    target = selection._Target("v", 0, None, 50, 3, 9, 0, 9)
+    with pytest.raises(RuntimeError, match="changed"):
+        # neither below the bracket nor in it, nor beyond: fewer rows than were counted before
+        for _ in range(3):
+            selection._narrow(target, [(-1, 0, None, None)])
+
+
 def test_nothing_is_stored_and_literals_stay(spark):
     df = spark.range(1_000).select((F.col("id") * 3).alias("v"))
     plan = spark.range(1).select(stats.quartiles(df, ["v"]).alias("q"))._jdf.queryExecution().executedPlan().toString()
