@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyloom.llm.common import id_and_text
-from tallyloom.llm.files import in_arrow
+from tallyloom.llm.files import held, in_arrow
 from tallyloom.llm.tokens import LATIN_LETTERS
 from tallyloom.session import materialise
 
@@ -215,14 +215,15 @@ class Aligner:
         return b"".join(map(self.forms.__getitem__, forms.tolist()))
 
 
-ALIGNERS: dict[tuple[str, str], Aligner] = {}
+ALIGNERS = "aligners"  # the table that workers hold
 
 
 def aligner(a: str, b: str) -> Aligner:
     """One per worker process."""
-    if (a, b) not in ALIGNERS:
-        ALIGNERS[a, b] = Aligner(a, b)
-    return ALIGNERS[a, b]
+    aligners = held(ALIGNERS)
+    if (a, b) not in aligners:
+        aligners[a, b] = Aligner(a, b)
+    return aligners[a, b]
 
 
 def align(docs: DataFrame, a: str, b: str, *, with_groups: bool = False, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -261,7 +262,7 @@ def align(docs: DataFrame, a: str, b: str, *, with_groups: bool = False, id_col:
 
     own = id_and_text(docs, id_col, text_col)
     schema = "doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, pairs array<struct<a:int,b:int,n:int>>"
-    return in_arrow(own.withColumn("doc_id", F.col("doc_id").cast("long")), run, schema + ", groups string" * with_groups)
+    return in_arrow(own.withColumn("doc_id", F.col("doc_id").cast("long")), run, schema + ", groups string" * with_groups, uses=ALIGNERS)
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:

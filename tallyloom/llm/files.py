@@ -7,6 +7,7 @@ knows (file, hdfs, s3, gs, abfs).
 
 from __future__ import annotations
 
+import inspect
 import io
 import pathlib
 import uuid
@@ -89,11 +90,27 @@ def _prepare(spark: SparkSession) -> None:
         spark.conf.set(BATCH_CONF, BATCH)
 
 
-def in_arrow(df: DataFrame, function, schema) -> DataFrame:
-    """`mapInArrow`, each task giving back its unused memory at the end."""
+_HELD: dict[str, dict] = {}
+
+
+def held(name: str) -> dict:
+    """A table that a worker process keeps from task to task, for tasks that say they use it."""
+    return _HELD.setdefault(name, {})
+
+
+def let_go(uses: str = "") -> None:
+    """Empty the tables that are held for tasks of another kind: a worker serves one job after the other."""
+    for name, table in _HELD.items():
+        if name != uses:
+            table.clear()
+
+
+def in_arrow(df: DataFrame, function, schema, uses: str = "") -> DataFrame:
+    """`mapInArrow`; a task keeps no table of a worker but the one it `uses`, and gives back its unused memory at the end."""
     _prepare(df.sparkSession)
 
     def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        let_go(uses)
         yield from function(batches)
         pa.default_memory_pool().release_unused()
 
@@ -101,6 +118,15 @@ def in_arrow(df: DataFrame, function, schema) -> DataFrame:
 
 
 def in_pandas(grouped, spark: SparkSession, function, schema: str) -> DataFrame:
-    """`applyInPandas` on workers that know this library."""
+    """`applyInPandas` on workers that know this library, for functions of a frame, or of a key and a frame; no table is kept."""
     _prepare(spark)
-    return grouped.applyInPandas(function, schema)
+
+    def of_frame(frame):
+        let_go()
+        return function(frame)
+
+    def of_key(key, frame):
+        let_go()
+        return function(key, frame)
+
+    return grouped.applyInPandas(of_key if len(inspect.signature(function).parameters) == 2 else of_frame, schema)

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.common import id_and_text
 from tallyloom.llm.files import in_arrow, in_pandas
-from tallyloom.llm.tokens import ID, encoder
+from tallyloom.llm.tokens import ID, WORDS, encoder
 from tallyloom.session import materialise
 
 GROUP_PIECES = 20_000
@@ -51,7 +51,7 @@ def token_pieces(
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "ids"]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names[: len(columns)])
 
-    return in_arrow(id_and_text(docs, id_col, text_col), cut, schema)
+    return in_arrow(id_and_text(docs, id_col, text_col), cut, schema, uses=WORDS)
 
 
 class Bins:

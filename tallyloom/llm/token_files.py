@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from tallyloom.llm.common import id_and_text
 from tallyloom.llm.files import default_folder, in_arrow, new_file, one_each, open_file
-from tallyloom.llm.tokens import ID, encoder
+from tallyloom.llm.tokens import ID, WORDS, encoder
 from tallyloom.session import materialise
 
 MAGIC = b"PFORIDS1"
@@ -193,7 +193,7 @@ def write_token_files(
             part = TaskContext.get().partitionId()
             yield pa.RecordBatch.from_pylist([{"part": part, "path": path, "n_docs": len(writer.doc_ids), "n_ids": writer.n_ids}], FILES)
 
-    files = materialise(in_arrow(ordered, write, "part long, path string, n_docs long, n_ids long"), "token-manifest")
+    files = materialise(in_arrow(ordered, write, "part long, path string, n_docs long, n_ids long", uses=WORDS), "token-manifest")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each file
     return files.withColumn("start", F.coalesce(F.sum("n_ids").over(before), F.lit(0)))
 

@@ -8,8 +8,10 @@ import unicodedata
 
 import numpy as np
 
+from tallyloom.llm.files import held
+
 ID = np.dtype("<u4")
-CACHED_WORDS = 800_000
+CACHED_WORDS = 600_000
 # whole words of letters whose lower case is one letter each
 LATIN_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+").fullmatch
 
@@ -69,11 +71,12 @@ class WordEncoder(dict):
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-ENCODERS: dict[str, WordEncoder] = {}
+WORDS = "words"  # the table of encoders that workers hold
 
 
 def encoder(path: str) -> WordEncoder:
-    """One per worker process: a worker that takes further tasks keeps its words."""
-    if path not in ENCODERS:
-        ENCODERS[path] = WordEncoder(path)
-    return ENCODERS[path]
+    """One per worker process: a worker that takes further tasks of this kind keeps its words."""
+    encoders = held(WORDS)
+    if path not in encoders:
+        encoders[path] = WordEncoder(path)
+    return encoders[path]

@@ -189,3 +189,13 @@ def test_other_tokenizers_encode_whole_texts(name, by_word):
     assert own.by_word is by_word
     for text in ["Two  Words\nand more", "ÀB c<|endoftext|>", " x", "It's 12.", "", None]:
         assert np.frombuffer(own.encode(text), tokens.ID).tolist() == (whole.encode(text, add_special_tokens=False).ids if text else [])
+
+
+def test_workers_let_go_of_other_tables():
+    from tallyloom.llm import files
+
+    files.held("one")["a"], files.held("two")["b"] = 1, 2
+    files.let_go("one")
+    assert files.held("one") == {"a": 1} and files.held("two") == {}
+    files.let_go()
+    assert files.held("one") == {}
