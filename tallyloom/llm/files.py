@@ -79,7 +79,7 @@ def ship(spark: SparkSession) -> None:
 
 
 # the size Spark has by itself, and ours: a task holds a batch several times over, in the JVM and in Python
-SPARK_BATCH, BATCH = f"{64 << 20}b", f"{8 << 20}b"
+SPARK_BATCH, BATCH = f"{64 << 20}b", f"{4 << 20}b"
 BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
