@@ -14,6 +14,8 @@ from pyspark.sql.types import StructType
 from tallyloom.sources.readers import load_with_schema, read_csv
 
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+# files of partition values that a task keeps open at once; with more values it sorts the rows that are left
+OPEN_VALUES = 16
 
 
 @dataclass(frozen=True)
@@ -57,7 +59,10 @@ def publish(
     elif compact:
         counted = counted.hint("rebalance")
     writer = counted.write.mode("errorifexists")
-    with _settings(spark, _part_sizes(target_file_bytes)):
+    sizes = _part_sizes(target_file_bytes)
+    if partition_by:
+        sizes["spark.sql.maxConcurrentOutputFileWriters"] = str(OPEN_VALUES)
+    with _settings(spark, sizes):
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staged)
     written = seen.get["rows"]
     _swap(spark, staged, path)
