@@ -61,6 +61,7 @@ def publish(
     writer = counted.write.mode("errorifexists")
     sizes = _part_sizes(target_file_bytes)
     if partition_by:
+        sizes["spark.sql.adaptive.coalescePartitions.parallelismFirst"] = "true"
         sizes["spark.sql.maxConcurrentOutputFileWriters"] = str(OPEN_VALUES)
     with _settings(spark, sizes):
         (writer.partitionBy(*partition_by) if partition_by else writer).parquet(staged)

@@ -49,3 +49,11 @@ def test_more_values_than_open_files(spark, tmp_path):
     back = spark.read.parquet(str(tmp_path / "kinds"))
     assert back.exceptAll(rows.select("id", F.col("kind").cast("int"))).isEmpty()
     assert {f.name for f in (tmp_path / "kinds").glob("kind=*")} == {f"kind={k}" for k in range(kinds)}
+
+
+def test_values_go_to_tasks_of_their_own(spark, tmp_path):
+    rows = spark.range(100_000).select("id", (F.col("id") % 8).alias("kind"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    done = publish.publish(rows.repartition(6), str(tmp_path / "kinds"), partition_by=["kind"])
+    assert (done.files, done.rows_read) == (8, 100_000)
+    tasks = {f.name.split("-")[1] for f in (tmp_path / "kinds").glob("kind=*/part-*")}
+    assert len(tasks) > 1
