@@ -8,8 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# rows of about 150 bytes take some 150 MB of a task that sorts them
-BUCKET_ROWS = 1_000_000
+# rows of about 150 bytes take some 300 MB of a task that sorts them; beyond 200 buckets, tasks that deal rows out sort theirs too
+BUCKET_ROWS = 2_000_000
 
 _NAME = re.compile(r"[A-Za-z_][A-Za-z0-9_]*(\.[A-Za-z_][A-Za-z0-9_]*)?")
 
